@@ -44,19 +44,61 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
 
 
+URL_RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import url_filter
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules, keep=("page_id",))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import html_extract
+
+    return html_extract.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_topk": op3_topk,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op9_url_filter": op9_url_filter,
+    "op10_html": op10_html,
 }
 
 
+def _url_oracle() -> str:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return f"""
+WITH rules(rh, rp, verdict) AS (VALUES {rules}),
+rests AS (SELECT page_id, row_number() OVER () AS n, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, n, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+),
+fits AS (
+  SELECT p.*, rh || rp AS rule, r.verdict,
+    row_number() OVER (PARTITION BY n ORDER BY length(rh || rp) DESC NULLS LAST, length(rh) DESC) AS k
+  FROM parts p LEFT JOIN rules r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE k = 1"""
+
+
 def oracles() -> dict[str, str]:
     from quire.llm import quality_rules
 
     return {
         "op2_quality_rules": quality_rules.ORACLE,
+        "op9_url_filter": _url_oracle(),
         "op3_topk": """
 WITH good AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
 scored AS (
