@@ -12,6 +12,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per license found in a document."""
+    from quire.llm import license_scan
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select("doc_id", F.explode("licenses").alias("x")).select("doc_id", "x.*")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import quality_rules
 
@@ -44,6 +52,40 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import line_dedup
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return line_dedup.dedup(docs, n_chars="n_chars", removed="removed_chunks")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document, with the words of it that the mix takes."""
+    from quire.llm import mixing
+
+    planned = mixing.plan(_table(spark, sf_dir, "documents"))
+    rows = planned.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+#: The input's files are dealt to so many arrivals at most.
+ARRIVALS = 16
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, appended file by file, compacted, and read through the manifest."""
+    from quire.llm import common, shard_store
+
+    docs = _table(spark, sf_dir, "documents")
+    store = shard_store.ShardStore(spark, common.new_path(spark, "shards"))
+    files = sorted(docs.inputFiles())
+    for i in range(min(ARRIVALS, len(files))):
+        store.append(spark.read.schema(docs.schema).parquet(*files[i::ARRIVALS]))
+        if store.compact():
+            store.vacuum()
+    return store.read().select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 URL_RULES = [
     ("com", "/en/", "block"),
     ("example.com", "/en/7", "allow"),
@@ -67,10 +109,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_topk": op3_topk,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_mixing": op7_mixing,
+    "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_html": op10_html,
 }
@@ -98,6 +144,7 @@ def oracles() -> dict[str, str]:
 
     return {
         "op2_quality_rules": quality_rules.ORACLE,
+        "op8_sharding": "SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(text) AS text_sha256 FROM documents",
         "op9_url_filter": _url_oracle(),
         "op3_topk": """
 WITH good AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
