@@ -4,9 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm import bpe, line_dedup, mixing, quality_rules, simhash
 from quire.llm.common import materialize
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failing lines go, and documents that fail the rules or lose too much text."""
+    return quality_rules.filter_documents(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Chunks of lines that an earlier document has go."""
+    return line_dedup.dedup(docs, n_chars="n_chars")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest doc_id stays."""
+    return simhash.keep_first(docs, shingle=5)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of the documents but the text, with token ids; decoding them gives back the text."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_duplicates),
+    ("mixing", mixed),
+    ("byte-level bpe", encoded),
+]
+#: XXH64 and BPE merges have no counterpart in the SQL at hand.
 ORACLE_SQL: str | None = None
 
 

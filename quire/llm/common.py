@@ -45,9 +45,9 @@ def remove(*frames: DataFrame) -> None:
             jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for whole, very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Keep Arrow batches small enough for whole, very long texts (or larger, for short rows)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def texts(column: pa.Array) -> list[bytes | None]:

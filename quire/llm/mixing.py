@@ -225,8 +225,11 @@ def assign_shards(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) ->
     return out.withColumn("position", F.xxhash64(F.lit(seed), "shard", "h", "copy"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", shards: int = LEAVES, seed: int = SEED, **how) -> DataFrame:
-    """The mixed corpus: the rows of docs, each as often as it is taken, sorted within its shard; columns of docs, shard and position last."""
+def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", shards: int = LEAVES, seed: int = SEED, arrange: int = 0, **how) -> DataFrame:
+    """The mixed corpus: the rows of docs, each as often as it is taken; columns of docs, shard and position last.
+
+    With arrange, rows are also laid out that way: sorted by position in ``arrange`` partitions per shard, ready to be written.
+    """
     names = private(docs, "d", "s", "z")
     planned = materialize(plan(docs, doc_id, source, text, seed=seed, **how), "mix-plan")
     dealt = assign_shards(planned, shards, seed).select(
@@ -236,4 +239,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     joined = docs.join(
         dealt, _same(docs[doc_id].cast("long"), F.col(names["d"])) & _same(docs[source], F.col(names["s"])) & (size == F.col(names["z"]))
     )
-    return joined.drop(*names.values())
+    out = joined.drop(*names.values())
+    if arrange:
+        part = F.pmod(F.xxhash64("position"), F.lit(arrange))
+        out = out.repartition(shards * arrange, "shard", part).sortWithinPartitions("shard", "position")
+    return out

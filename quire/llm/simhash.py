@@ -11,6 +11,11 @@ neighbours: two words within distance two have a common neighbour, so they
 share a codeword index. Key = (i, which partner, exact segment i, codeword
 index); a pair within three bits always shares one.
 
+Links of four or five bits, if asked for: five errors over three segments of 22,
+21 and 21 bits leave two segments with at most two errors each, and two words
+within two errors have a common neighbour as above. Key = (pair of segments,
+codeword index of each).
+
 Work per key. Only distinct fingerprints are keyed. Members of a key are cut
 into blocks of at most ``BLOCK`` and every pair of blocks is one tile; a tile is
 compared by XOR and population count and gives a spanning forest of its links,
@@ -37,10 +42,12 @@ from pyspark.sql import types as T
 from quire.llm.common import arrow_map, bounded_batches, materialize, private
 from quire.llm.components import components
 
-MAX_BITS = 3
+MAX_BITS, WIDE_BITS = 3, 5
 SEED = 42
 #: Members of a key that one tile side holds at most.
 BLOCK = 2048
+#: Rows of a batch when rows are two numbers.
+SHORT_ROWS = 4096
 #: Generator polynomial of the binary Golay code (fixed value).
 GOLAY = 0b101011100011
 
@@ -86,8 +93,8 @@ def _syndromes(words: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(1)
-def segment_keys() -> list[list[int]]:
-    """For each 16-bit segment, the codeword indices that it and its one-bit neighbours decode to."""
+def _leaders() -> np.ndarray:
+    """The correctable error (of at most three bits) of each syndrome."""
     bits = [1 << i for i in range(23)]
     patterns = [0, *bits]
     patterns += [a | b for i, a in enumerate(bits) for b in bits[:i]]
@@ -95,7 +102,13 @@ def segment_keys() -> list[list[int]]:
     errors = np.array(patterns)  # 2048 correctable errors, one for each syndrome
     leader = np.zeros(2048, np.int64)
     leader[_syndromes(errors)] = errors
-    words = np.arange(1 << 16)
+    return leader
+
+
+@lru_cache(1)
+def segment_keys() -> list[list[int]]:
+    """For each 16-bit segment, the codeword indices that it and its one-bit neighbours decode to."""
+    words, leader = np.arange(1 << 16), _leaders()
     index = (words ^ leader[_syndromes(words)]) >> 11  # the code is systematic: its first 12 bits number the codeword
     near = np.stack([index, *(index[words ^ (1 << i)] for i in range(16))], axis=1)
     return [sorted(set(x)) for x in near.tolist()]
@@ -123,6 +136,34 @@ def candidate_keys(df: DataFrame, fp: str) -> DataFrame:
     return df.select(F.col(fp).cast("long").alias("fp")).mapInArrow(run, "key long, fp long")
 
 
+def _near_indices(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For 23-bit words, the codeword indices that each and its one-bit neighbours decode to, and a mask of distinct ones."""
+    leader, flips = _leaders(), np.array([0, *(1 << i for i in range(23))])
+    syndromes = _syndromes(words)[:, None] ^ _syndromes(flips)
+    index = np.sort(((words[:, None] ^ flips) ^ leader[syndromes]) >> 11, axis=1)
+    fresh = np.ones(index.shape, bool)
+    fresh[:, 1:] = index[:, 1:] != index[:, :-1]
+    return index, fresh
+
+
+def wide_keys(df: DataFrame, fp: str) -> DataFrame:
+    """Rows (key long, fp) for links of at most WIDE_BITS bits: three kinds of key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            segments = [_near_indices(x) for x in ((fps >> 42) & 0x3FFFFF, (fps >> 21) & 0x1FFFFF, fps & 0x1FFFFF)]
+            for kind, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+                (a, in_a), (b, in_b) = segments[i], segments[j]
+                row, x = np.nonzero(in_a)
+                pick = in_b[row]
+                k, y = np.nonzero(pick)
+                keys = (kind << 24) | (a[row[k], x[k]] << 12) | b[row[k], y]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[row[k]])], names=["key", "fp"])
+
+    return df.select(F.col(fp).cast("long").alias("fp")).mapInArrow(run, "key long, fp long")
+
+
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -151,9 +192,10 @@ def tile_forest(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[t
 
 def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
     """Rows (a long, b long) that connect whatever fingerprints of df are linked; df holds distinct fingerprints."""
-    if bits > MAX_BITS:
-        raise ValueError(f"the keys find links of at most {MAX_BITS} bits")
-    keyed = materialize(candidate_keys(df, fp), "simhash-keys")
+    if bits > WIDE_BITS:
+        raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
+    bounded_batches(df.sparkSession, SHORT_ROWS)
+    keyed = materialize((candidate_keys if bits <= MAX_BITS else wide_keys)(df, fp), "simhash-keys")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -225,13 +267,13 @@ def hex_digits(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, bits: int = WIDE_BITS) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id (all rows of that id, once).
 
     Rows without a doc_id are kept. The columns are those of df.
     """
     names = private(df, "id")
-    classes = near_duplicates(df, doc_id, text, shingle)
+    classes = near_duplicates(df, doc_id, text, shingle, bits)
     keep = classes.filter("doc_id = component_id").select(F.col("doc_id").alias(names["id"])).distinct()
     found = df.join(keep, F.col(doc_id) == F.col(names["id"]), "left_semi").dropDuplicates([doc_id])
     return found.unionByName(df.filter(F.col(doc_id).isNull()))
