@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import WORD, materialize, private
 
 #: Chunks hold SPREAD lines on average; a line of LONG words or more is one chunk.
-SPREAD, LONG = 4, 50
+SPREAD, LONG = 3, 50
 #: A position is doc_id * PLACE + the chunk's number in its text.
 PLACE = 1_000_000_000
 
@@ -101,7 +101,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: st
     n_chars names a column to hold the new length, removed one to append with the number of chunks removed.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    names = private(df, "id", "gone", "cut")
+    names = private(df, "id", "gone", "cut", "new")
     gone = repeats(docs).groupBy("doc_id").agg(F.collect_set("k").alias(names["gone"])).withColumnRenamed("doc_id", names["id"])
     gone = materialize(gone, "line-gone")
     joined = df.join(gone, F.col(doc_id).cast("long") == F.col(names["id"]), "left")
@@ -109,7 +109,9 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: st
     kept = F.filter(F.col(names["cut"]), lambda c: ~F.array_contains(names["gone"], c["k"]))
     rebuilt = F.array_join(F.flatten(F.transform(kept, lambda c: F.slice(lines, c["first"] + 1, c["n"]))), "\n")
     joined = joined.withColumn(names["cut"], F.when(F.col(names["gone"]).isNotNull(), chunks(F.col(text))))
-    new = F.when(F.col(names["gone"]).isNull(), F.col(text)).otherwise(rebuilt)
+    # a column of its own: text and length come from one evaluation
+    joined = joined.withColumn(names["new"], F.when(F.col(names["gone"]).isNull(), F.col(text)).otherwise(rebuilt))
+    new = F.col(names["new"])
     out = []
     for c in df.columns:
         if c == text:
