@@ -6,15 +6,16 @@ Two fingerprints are linked at ``MAX_BITS`` (3) or fewer differing bits.
 Candidate keys. A fingerprint is cut into four 16-bit segments. Three errors
 leave at least one segment i untouched, and of the two segments after it (mod 4)
 at least one has at most one error. That segment, padded with zeros to the 23
-bits of the perfect Golay code, is decoded together with its 16 one-bit
-neighbours: two words within distance two have a common neighbour, so they
-share a codeword index. Key = (i, which partner, exact segment i, codeword
+bits of the perfect Golay code, gives codeword indices: a word of even weight
+the one it decodes to, a word of odd weight those its one-bit neighbours decode
+to. Two words at most one bit apart share one: they are equal, or one is even
+and a neighbour of the other. Key = (i, which partner, exact segment i, codeword
 index); a pair within three bits always shares one.
 
-Links of four or five bits, if asked for: five errors over three segments of 22,
-21 and 21 bits leave two segments with at most two errors each, and two words
-within two errors have a common neighbour as above. Key = (pair of segments,
-codeword index of each).
+Links of four bits, if asked for: with an untouched segment the same holds (if
+both partners of i have two errors, the fourth segment is untouched too, and i
+is its partner). Else every segment has one error, and the codeword indices of
+three segments are one more key.
 
 Work per key. Only distinct fingerprints are keyed. Members of a key are cut
 into blocks of at most ``BLOCK`` and every pair of blocks is one tile; a tile is
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 from quire.llm.common import arrow_map, bounded_batches, materialize, private
 from quire.llm.components import components
 
-MAX_BITS, WIDE_BITS = 3, 5
+MAX_BITS, WIDE_BITS = 3, 4
 SEED = 42
 #: Members of a key that one tile side holds at most.
 BLOCK = 2048
@@ -106,60 +107,41 @@ def _leaders() -> np.ndarray:
 
 
 @lru_cache(1)
-def segment_keys() -> list[list[int]]:
-    """For each 16-bit segment, the codeword indices that it and its one-bit neighbours decode to."""
+def segment_keys() -> tuple[np.ndarray, np.ndarray]:
+    """For each 16-bit segment its codeword indices, as a padded table and a mask of what counts."""
     words, leader = np.arange(1 << 16), _leaders()
     index = (words ^ leader[_syndromes(words)]) >> 11  # the code is systematic: its first 12 bits number the codeword
-    near = np.stack([index, *(index[words ^ (1 << i)] for i in range(16))], axis=1)
-    return [sorted(set(x)) for x in near.tolist()]
+    near = np.sort(np.stack([index[words ^ (1 << i)] for i in range(16)], axis=1), axis=1)
+    fresh = np.ones(near.shape, bool)
+    fresh[:, 1:] = near[:, 1:] != near[:, :-1]
+    even = np.bitwise_count(words) % 2 == 0
+    near[even, 0], fresh[even, 0], fresh[even, 1:] = index[even], True, False
+    order = np.argsort(~fresh, axis=1, kind="stable")[:, : fresh.sum(axis=1).max()]
+    return np.take_along_axis(near, order, 1), np.take_along_axis(fresh, order, 1)
 
 
-def candidate_keys(df: DataFrame, fp: str) -> DataFrame:
-    """Rows (key long, fp) of distinct fingerprints: eight kinds of key, some codeword indices each."""
-    keys = segment_keys()
+def candidate_keys(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
+    """Rows (key long, fp) of distinct fingerprints: eight kinds of key, nine for four bits, some codeword indices each."""
+    table, fresh = segment_keys()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.array([k for ks in keys for k in ks], np.int64)
-        sizes = np.array([len(ks) for ks in keys], np.int64)
-        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        def rows(row: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps[row])], names=["key", "fp"])
+
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             parts = [(fps >> (16 * i)) & 0xFFFF for i in range(4)]
             for i in range(4):
                 for which in (1, 2):
                     other = parts[(i + which) % 4]
-                    n = sizes[other]
-                    at = np.repeat(first[other] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                    base = ((i * 2 + which - 1) << 28) | (parts[i] << 12)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(base, n) | flat[at]), pa.array(np.repeat(fps, n))], names=["key", "fp"])
-
-    return df.select(F.col(fp).cast("long").alias("fp")).mapInArrow(run, "key long, fp long")
-
-
-def _near_indices(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For 23-bit words, the codeword indices that each and its one-bit neighbours decode to, and a mask of distinct ones."""
-    leader, flips = _leaders(), np.array([0, *(1 << i for i in range(23))])
-    syndromes = _syndromes(words)[:, None] ^ _syndromes(flips)
-    index = np.sort(((words[:, None] ^ flips) ^ leader[syndromes]) >> 11, axis=1)
-    fresh = np.ones(index.shape, bool)
-    fresh[:, 1:] = index[:, 1:] != index[:, :-1]
-    return index, fresh
-
-
-def wide_keys(df: DataFrame, fp: str) -> DataFrame:
-    """Rows (key long, fp) for links of at most WIDE_BITS bits: three kinds of key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            segments = [_near_indices(x) for x in ((fps >> 42) & 0x3FFFFF, (fps >> 21) & 0x1FFFFF, fps & 0x1FFFFF)]
-            for kind, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-                (a, in_a), (b, in_b) = segments[i], segments[j]
-                row, x = np.nonzero(in_a)
-                pick = in_b[row]
-                k, y = np.nonzero(pick)
-                keys = (kind << 24) | (a[row[k], x[k]] << 12) | b[row[k], y]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[row[k]])], names=["key", "fp"])
+                    row, k = np.nonzero(fresh[other])
+                    yield rows(row, ((i * 2 + which - 1) << 28) | (parts[i][row] << 12) | table[other[row], k])
+            if bits > MAX_BITS:
+                row, key = np.arange(len(fps)), np.full(len(fps), 1, np.int64) << 4
+                for part in parts[:3]:
+                    at, k = np.nonzero(fresh[part[row]])
+                    row, key = row[at], (key[at] << 12) | table[part[row[at]], k]
+                yield rows(row, key)
 
     return df.select(F.col(fp).cast("long").alias("fp")).mapInArrow(run, "key long, fp long")
 
@@ -195,7 +177,7 @@ def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
     if bits > WIDE_BITS:
         raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
     bounded_batches(df.sparkSession, SHORT_ROWS)
-    keyed = materialize((candidate_keys if bits <= MAX_BITS else wide_keys)(df, fp), "simhash-keys")
+    keyed = materialize(candidate_keys(df, fp, bits), "simhash-keys")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
