@@ -22,6 +22,8 @@ repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,59 +35,71 @@ SPREAD, LONG = 3, 50
 PLACE = 1_000_000_000
 
 
-def chunks(text: Column) -> Column:
-    """array<struct<k, first, n>> of the chunks of a text: number, first line (from 0), number of lines."""
-    return F.transform(_ends(text), lambda e, k: F.struct(k.alias("k"), e["first"].alias("first"), (e["last"] - e["first"] + 1).alias("n")))
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
-def _ends(text: Column) -> Column:
-    lines = F.split(text, "\n")
-    # computed once per text: a one-element array of the hashes, and of which lines are long
-    prepared = F.array(
-        F.struct(
-            F.transform(lines, lambda x: F.xxhash64(x)).alias("h"),
-            F.transform(lines, lambda x: F.length(x) >= 2 * LONG - 1).alias("maybe"),
-            lines.alias("lines"),
-        )
-    )
+def chunks(text: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """The array of make(k, lines) over a text's chunks: k from 0, and the chunk's lines.
+
+    All in one expression over the text, so that a long text is never copied into
+    each of its chunks' rows.
+    """
+
+    def cut(lines: Column) -> Column:
+        hashes = F.transform(lines, lambda x: F.xxhash64(x))
+        return _bind(hashes, lambda h: _bind(F.transform(lines, _long), lambda long: _bind(_ends(h, long), lambda e: runs(lines, e))))
+
+    def runs(lines: Column, e: Column) -> Column:
+        def one(x: Column, k: Column) -> Column:
+            first = F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1)
+            return _bind(F.slice(lines, first + 1, x - first + 1), lambda own: make(k, own))
 
-    def cut(p: Column) -> Column:
-        long = F.transform(p["lines"], lambda x, i: F.get(p["maybe"], i) & (F.regexp_count(x, F.lit(WORD)) >= LONG))
-        return F.transform(F.array(long), lambda q: _filter_ends(p["h"], q))[0]
+        return F.transform(e, one)
 
-    return F.transform(prepared, cut)[0]
+    return _bind(F.split(text, "\n"), cut)
 
 
-def _filter_ends(h: Column, long: Column) -> Column:
+def _long(line: Column) -> Column:
+    """Whether a line has LONG words; one that is too short for that is not searched for words."""
+    return (F.length(line) >= 2 * LONG - 1) & (F.regexp_count(line, F.lit(WORD)) >= LONG)
+
+
+def _ends(h: Column, long: Column) -> Column:
+    """The last lines of the chunks."""
     last = F.size(h) - 1
-    at = F.filter(
+    return F.filter(
         F.sequence(F.lit(0), last),
         lambda i: (i == last)
         | F.get(long, i)
         | F.coalesce(F.get(long, i + 1), F.lit(False))
         | ((i > 0) & (F.pmod(F.xxhash64(F.get(h, i - 1), F.get(h, i)), F.lit(SPREAD)) == 0)),
     )
-    return F.transform(
-        F.array(at),
-        lambda e: F.transform(e, lambda x, k: F.struct(F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1).alias("first"), x.alias("last"))),
-    )[0]
 
 
-def _chunk_rows(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, k, chunk) of the chunks that are compared."""
-    cut = docs.filter("doc_id is not null and text is not null").select("doc_id", F.split("text", "\n").alias("lines"), chunks(F.col("text")).alias("cut"))
-    rows = cut.select("doc_id", "lines", F.explode("cut").alias("c"))
-    rows = rows.select("doc_id", F.col("c.k").alias("k"), F.slice("lines", F.col("c.first") + 1, F.col("c.n")).alias("own"))
-    worded = F.size(F.filter("own", lambda x: x.rlike(WORD)))
-    single = (F.size("own") == 1) & (F.length(F.element_at("own", 1)) >= 2 * LONG - 1) & (F.regexp_count(F.element_at("own", 1), F.lit(WORD)) >= LONG)
-    return rows.filter((worded >= 2) | single).select("doc_id", "k", F.array_join("own", "\n").alias("chunk"))
+def _compared(own: Column) -> Column:
+    """Whether a chunk is compared: two lines with words, or a long line."""
+    several = (F.size(own) > 1) & (F.size(F.filter(own, lambda x: x.rlike(WORD))) > 1)
+    return several | ((F.size(own) == 1) & _long(F.get(own, 0)))
+
+
+def _chunk_rows(docs: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
+    """Rows (doc_id, k, value) of the chunks that are compared; value is made of the chunk's text."""
+
+    def make(k: Column, own: Column) -> Column:
+        return F.when(_compared(own), F.struct(k.alias("k"), value(F.array_join(own, "\n")).alias("value")))
+
+    found = F.filter(chunks(F.col("text"), make), lambda c: c.isNotNull())
+    rows = docs.filter("doc_id is not null and text is not null").select("doc_id", F.explode(found).alias("c"))
+    return rows.select("doc_id", "c.k", "c.value")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, k) of chunks to remove; docs has doc_id (long) and text."""
-    hashes = _chunk_rows(docs).select(F.xxhash64("chunk").alias("hash"))
+    hashes = _chunk_rows(docs, F.xxhash64).select(F.col("value").alias("hash"))
     twice = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "line-hashes")
-    rows = _chunk_rows(docs).withColumn("hash", F.xxhash64("chunk"))
+    rows = _chunk_rows(docs, lambda c: F.struct(F.xxhash64(c).alias("hash"), c.alias("chunk"))).select("doc_id", "k", "value.*")
     shared = materialize(rows.join(twice, "hash", "left_semi"), "line-chunks")
     # grouping by the chunk itself compares bytes: chunks that differ but share a hash stay apart
     place = F.col("doc_id").cast("decimal(38,0)") * PLACE + F.col("k")
@@ -101,14 +115,12 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: st
     n_chars names a column to hold the new length, removed one to append with the number of chunks removed.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    names = private(df, "id", "gone", "cut", "new")
+    names = private(df, "id", "gone", "new")
     gone = repeats(docs).groupBy("doc_id").agg(F.collect_set("k").alias(names["gone"])).withColumnRenamed("doc_id", names["id"])
     gone = materialize(gone, "line-gone")
     joined = df.join(gone, F.col(doc_id).cast("long") == F.col(names["id"]), "left")
-    lines = F.split(F.col(text), "\n")
-    kept = F.filter(F.col(names["cut"]), lambda c: ~F.array_contains(names["gone"], c["k"]))
-    rebuilt = F.array_join(F.flatten(F.transform(kept, lambda c: F.slice(lines, c["first"] + 1, c["n"]))), "\n")
-    joined = joined.withColumn(names["cut"], F.when(F.col(names["gone"]).isNotNull(), chunks(F.col(text))))
+    own = chunks(F.col(text), lambda k, lines: F.when(~F.array_contains(names["gone"], k), lines))
+    rebuilt = F.array_join(F.flatten(F.filter(own, lambda c: c.isNotNull())), "\n")
     # a column of its own: text and length come from one evaluation
     joined = joined.withColumn(names["new"], F.when(F.col(names["gone"]).isNull(), F.col(text)).otherwise(rebuilt))
     new = F.col(names["new"])
