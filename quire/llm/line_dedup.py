@@ -100,7 +100,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     hashes = _chunk_rows(docs, F.xxhash64).select(F.col("value").alias("hash"))
     twice = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "line-hashes")
     rows = _chunk_rows(docs, lambda c: F.struct(F.xxhash64(c).alias("hash"), c.alias("chunk"))).select("doc_id", "k", "value.*")
-    shared = materialize(rows.join(twice, "hash", "left_semi"), "line-chunks")
+    shared = materialize(rows.join(twice.hint("shuffle_hash"), "hash", "left_semi"), "line-chunks")
     # grouping by the chunk itself compares bytes: chunks that differ but share a hash stay apart
     place = F.col("doc_id").cast("decimal(38,0)") * PLACE + F.col("k")
     first = shared.groupBy("hash", F.col("chunk").alias("bytes")).agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -118,7 +118,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: st
     names = private(df, "id", "gone", "new")
     gone = repeats(docs).groupBy("doc_id").agg(F.collect_set("k").alias(names["gone"])).withColumnRenamed("doc_id", names["id"])
     gone = materialize(gone, "line-gone")
-    joined = df.join(gone, F.col(doc_id).cast("long") == F.col(names["id"]), "left")
+    joined = df.join(gone.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col(names["id"]), "left")
     own = chunks(F.col(text), lambda k, lines: F.when(~F.array_contains(names["gone"], k), lines))
     rebuilt = F.array_join(F.flatten(F.filter(own, lambda c: c.isNotNull())), "\n")
     # a column of its own: text and length come from one evaluation
