@@ -6,7 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.errors import ConfigError
 from quire.operators import blocks as B
@@ -156,7 +155,7 @@ def pdf_outline(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, OUTLINE)
 
 
-PAGES = T.StructType.fromDDL(
+PAGES = (
     "book string, page_idx int, label string, width double, height double, text string, words array<struct<ord:int,x0:double,y0:double,x1:double,y1:double,word:string,block_no:int,line_no:int>>"
 )
 
@@ -175,6 +174,6 @@ def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
                 for page in pymupdf.open(stream=content, filetype="pdf"):
                     boxes = [(i, *w[:7]) for i, w in enumerate(page.get_text("words"))]
                     row = (book, page.number, page.get_label(), page.rect.width, page.rect.height, page.get_text(), boxes)
-                    yield pd.DataFrame([row], columns=[f.name for f in PAGES])
+                    yield pd.DataFrame([row], columns=["book", "page_idx", "label", "width", "height", "text", "words"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, PAGES)
