@@ -47,6 +47,8 @@ MAX_BITS, WIDE_BITS = 3, 4
 SEED = 42
 #: Members of a key that one tile side holds at most.
 BLOCK = 2048
+#: Cut keys are broadcast only up to this many.
+FEW_KEYS = 10_000
 #: Rows of a batch when rows are two numbers.
 SHORT_ROWS = 4096
 #: Generator polynomial of the binary Golay code (fixed value).
@@ -178,12 +180,15 @@ def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
     bounded_batches(df.sparkSession, SHORT_ROWS)
     keyed = materialize(candidate_keys(df, fp, bits), "simhash-keys")
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    # only keys with more members than one tile side holds are cut into blocks; they are few, or joined by shuffle
+    hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
+    hot = materialize(hot.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-hot")
+    few = hot.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+    cut = keyed.join(F.broadcast(hot) if few else hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     tiles = (
-        shared.withColumn("mine", mine)
+        cut.withColumn("mine", mine)
         .withColumn("other", F.explode(every))
         .select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "fp")
     )
@@ -204,9 +209,8 @@ def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
             near = _popcount(a ^ b) <= bits
             found_a.append(a[near])
             found_b.append(b[near])
-            for s, e in zip(starts[~two].tolist(), stops[~two].tolist(), strict=True):
-                if e - s < 2:
-                    continue
+            more = stops - starts > 2
+            for s, e in zip(starts[more].tolist(), stops[more].tolist(), strict=True):
                 split = s + int(np.searchsorted(mine[s:e], y[s], "left")) if x[s] != y[s] else e
                 got = tile_forest(fps[s:split], fps[split:e] if x[s] != y[s] else None, bits)
                 if got:
