@@ -99,14 +99,19 @@ def pages_of(tokens: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def aligned(pages: DataFrame) -> DataFrame:
-    """pages_of() rows with ``spans``: one [s, e) or null per block."""
-    return pages.withColumn("spans", align(F.col("hay"), F.transform("blocks", lambda b: b["tokens"])))
+    """pages_of() rows with ``spans``: one [s, e) or null per block.
+
+    The array of one result is exploded, so that no later expression, least of all
+    the body of a lambda, can be given the alignment itself to compute again.
+    """
+    spans = align(F.col("hay"), F.transform("blocks", lambda b: b["tokens"]))
+    return pages.select("*", F.explode(F.array(spans)).alias("spans"))
 
 
 def counts(aligned_pages: DataFrame) -> DataFrame:
     """Rows (book, page_idx, pdf_tokens, md_tokens, matched_blocks, unmatched_blocks)."""
     sizes = F.aggregate("blocks", F.lit(0), lambda a, b: a + F.size(b["tokens"]))
-    rows = aligned_pages.withColumn("pairs", F.transform("blocks", lambda b, i: F.struct(F.size(b["tokens"]).alias("n"), F.get("spans", i).alias("q"))))
+    rows = aligned_pages.withColumn("pairs", F.zip_with("blocks", "spans", lambda b, q: F.struct(F.size(b["tokens"]).alias("n"), q.alias("q"))))
     return rows.select(
         *KEYS,
         F.size("hay").alias("pdf_tokens"),
@@ -158,7 +163,7 @@ def hunks(aligned_pages: DataFrame) -> DataFrame:
     residue on either side; no shuffle, since a row holds its page.
     """
     rest = F.aggregate(F.filter("spans", lambda s: s.isNotNull()), F.lit(0), lambda a, s: a + s["e"] - s["s"])
-    unplaced = F.exists(F.transform("blocks", lambda b, i: (F.size(b["tokens"]) > 0) & F.get("spans", i).isNull()), lambda x: x)
+    unplaced = F.exists(F.zip_with("blocks", "spans", lambda b, q: (F.size(b["tokens"]) > 0) & q.isNull()), lambda x: x)
     work = aligned_pages.filter((rest < F.size("hay")) | unplaced)
 
     schema = "book string, page_idx int, seq int, anchor string, pdf_text string, md_text string, math boolean"
