@@ -45,6 +45,9 @@ from quire.llm.components import components
 
 MAX_BITS, WIDE_BITS = 3, 4
 SEED = 42
+#: Where only one document of a group is to stay, links of up to so many bits count if their ends share a key; by chance two
+#: texts come that close once in 10 ** 11 pairs.
+ACCEPT = 6
 #: Members of a key that one tile side holds at most.
 BLOCK = 2048
 #: Cut keys are broadcast only up to this many.
@@ -174,8 +177,13 @@ def tile_forest(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[t
     return edges
 
 
-def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
-    """Rows (a long, b long) that connect whatever fingerprints of df are linked; df holds distinct fingerprints."""
+def links(df: DataFrame, fp: str, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
+    """Rows (a long, b long) that connect whatever fingerprints of df are linked; df holds distinct fingerprints.
+
+    Links of at most ``bits`` bits are found without loss. With a larger ``accept``,
+    so are those of up to that many bits whose ends share a key.
+    """
+    accept = bits if accept is None else accept
     if bits > WIDE_BITS:
         raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
     bounded_batches(df.sparkSession, SHORT_ROWS)
@@ -206,13 +214,13 @@ def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
             fps, found_a, found_b = fp.view(np.uint64), [], []
             two = stops - starts == 2
             a, b = fps[starts[two]], fps[starts[two] + 1]
-            near = _popcount(a ^ b) <= bits
+            near = _popcount(a ^ b) <= accept
             found_a.append(a[near])
             found_b.append(b[near])
             more = stops - starts > 2
             for s, e in zip(starts[more].tolist(), stops[more].tolist(), strict=True):
                 split = s + int(np.searchsorted(mine[s:e], y[s], "left")) if x[s] != y[s] else e
-                got = tile_forest(fps[s:split], fps[split:e] if x[s] != y[s] else None, bits)
+                got = tile_forest(fps[s:split], fps[split:e] if x[s] != y[s] else None, accept)
                 if got:
                     pair = np.array(got, np.uint64)
                     found_a.append(pair[:, 0])
@@ -233,12 +241,12 @@ def links(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
     return parts.mapInArrow(run, "a long, b long").filter("a != b").distinct()
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = MAX_BITS) -> DataFrame:
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
     """Rows (doc_id, fingerprint long, component_id) for every row of df; component_id is the smallest reachable doc_id."""
     own = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     printed = materialize(add_fingerprint(own, "text", shingle=shingle).drop("text"), "simhash")
     distinct = materialize(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct, "fingerprint", bits), "a", "b")  # node, root: only of linked fingerprints
+    roots = components(links(distinct, "fingerprint", bits, accept), "a", "b")  # node, root: only of linked fingerprints
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -253,13 +261,13 @@ def hex_digits(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, bits: int = WIDE_BITS) -> DataFrame:
+def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, bits: int = WIDE_BITS, accept: int = ACCEPT) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id (all rows of that id, once).
 
     Rows without a doc_id are kept. The columns are those of df.
     """
     names = private(df, "id")
-    classes = near_duplicates(df, doc_id, text, shingle, bits)
+    classes = near_duplicates(df, doc_id, text, shingle, bits, accept)
     keep = classes.filter("doc_id = component_id").select(F.col("doc_id").alias(names["id"])).distinct()
     found = df.join(keep, F.col(doc_id) == F.col(names["id"]), "left_semi").dropDuplicates([doc_id])
     return found.unionByName(df.filter(F.col(doc_id).isNull()))
