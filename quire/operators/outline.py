@@ -30,9 +30,11 @@ def chapter_slug(c: Column) -> Column:
 
 
 def in_order(*, before: bool) -> W:
-    """Rows of a book before (or after) the current one, in outline order."""
-    w = W.partitionBy("book").orderBy("idx")
-    return w.rowsBetween(W.unboundedPreceding, -1) if before else w.rowsBetween(1, W.unboundedFollowing)
+    """Rows of a book before the current one, or after it in reverse: ``last`` is the nearest either way.
+
+    A frame that ends at the partition's end would be summed up anew for each row.
+    """
+    return W.partitionBy("book").orderBy("idx" if before else F.desc("idx")).rowsBetween(W.unboundedPreceding, -1)
 
 
 def _title_without(pattern: Column) -> Column:
@@ -110,7 +112,7 @@ def resolve_chapters(outline: DataFrame, config: DataFrame, pages: DataFrame, ov
     """
     level = F.broadcast(config.select("book", "chapter_level"))
     start = F.when(F.col("level") <= F.col("chapter_level"), F.col("page") - 1)
-    nexts = outline.join(level, "book").withColumn("next", F.first(start, ignorenulls=True).over(in_order(before=False)))
+    nexts = outline.join(level, "book").withColumn("next", F.last(start, ignorenulls=True).over(in_order(before=False)))
     found = chapter_entries(outline, config).join(nexts.select("book", "idx", "page", "next"), ["book", "idx"]).join(pages, "book")
     found = found.select(
         "book", "number", "title", (F.col("page") - 1).alias("first"), (F.coalesce("next", "page_count") - 1).alias("last"), F.col("idx").alias("toc_index"), "page_count",

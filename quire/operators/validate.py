@@ -78,8 +78,14 @@ def _at(path: Column, key: str) -> Column:
 
 
 def first_violation(json: Column) -> Column:
-    """struct<path, message> of the first violation, or null; text that is no JSON fails at ``$``."""
-    v = F.try_parse_json(json)
+    """struct<path, message> of the first violation, or null; text that is no JSON fails at ``$``.
+
+    The document is parsed once: the rules see it as a lambda's variable.
+    """
+    return F.get(F.transform(F.array(F.try_parse_json(json)), _rules), F.lit(0))
+
+
+def _rules(v: Column) -> Column:
     root, extraction, counts, pages = F.lit("$"), _get(v, "extraction"), _get(v, "counts"), _get(v, "pages")
     number = lambda c: F.try_variant_get(c, "$", "bigint")
     pair = F.transform(_items(pages), number)

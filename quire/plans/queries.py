@@ -30,9 +30,14 @@ def query(f: Query) -> Query:
 # outline
 
 
+def _outline(s, d):
+    """The outline is read by many branches of a plan; it is small beside the texts that it is made from."""
+    return relation(s, d, "outline").cache()
+
+
 @query
 def outline_chapter_entries(s, d):
-    return O.chapter_entries(relation(s, d, "outline"), relation(s, d, "config"))
+    return O.chapter_entries(_outline(s, d), relation(s, d, "config"))
 
 
 @query
@@ -42,7 +47,7 @@ def outline_children(s, d):
 
 @query
 def outline_level_stats(s, d):
-    return O.level_stats(relation(s, d, "outline"))
+    return O.level_stats(_outline(s, d))
 
 
 @query
@@ -52,7 +57,7 @@ def outline_offset_candidates(s, d):
 
 @query
 def chapter_ranges(s, d):
-    return O.resolve_chapters(relation(s, d, "outline"), relation(s, d, "config"), relation(s, d, "book_pages"))
+    return O.resolve_chapters(_outline(s, d), relation(s, d, "config"), relation(s, d, "book_pages"))
 
 
 @query
@@ -74,12 +79,12 @@ def printed_pages(s, d):
 
 
 def _chapters(s, d):
-    return O.resolve_chapters(relation(s, d, "outline"), relation(s, d, "config"), relation(s, d, "book_pages"), relation(s, d, "overrides"))
+    return O.resolve_chapters(_outline(s, d), relation(s, d, "config"), relation(s, d, "book_pages"), relation(s, d, "overrides"))
 
 
 @query
 def chapter_subtree(s, d):
-    return O.subtree(relation(s, d, "outline"), _chapters(s, d), relation(s, d, "config"))
+    return O.subtree(_outline(s, d), _chapters(s, d), relation(s, d, "config"))
 
 
 def _labels(s, d):
@@ -91,12 +96,12 @@ def _labels(s, d):
 
 @query
 def chapter_sections(s, d):
-    return O.sections(relation(s, d, "outline"), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
+    return O.sections(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
 
 
 @query
 def chapter_meta(s, d):
-    meta = O.build_meta(relation(s, d, "outline"), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
+    meta = O.build_meta(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
     return meta.select(
         "book", "chapter", "number", "title", F.col("pdf_pages")[0].alias("first_page"), F.col("pdf_pages")[1].alias("last_page"), F.coalesce(F.col("printed_pages")[0], F.lit(-1)).alias("first_printed"),
         F.size("sections").alias("n_sections"), F.size("toc_subtree").alias("n_subtree"), F.get("sections", F.size("sections") - 1)["title"].alias("last_section"),
@@ -109,7 +114,7 @@ def _readings(s, d):
 
 @query
 def chapter_scope(s, d):
-    return O.list_chapters(relation(s, d, "outline"), relation(s, d, "config"), _readings(s, d), relation(s, d, "overrides"))
+    return O.list_chapters(_outline(s, d), relation(s, d, "config"), _readings(s, d), relation(s, d, "overrides"))
 
 
 # outline rules
@@ -384,16 +389,16 @@ def artifact_contract(s, d):
 def intake_check(s, d):
     pages = relation(s, d, "page_text")
     books = pages.groupBy("book").agg(F.lit(1).alias("begin"), (F.max("page_idx") + 1).alias("end")).withColumn("has_ranges", F.lit(False))
-    found = K.intake(books, pages, relation(s, d, "outline").filter("book <> 'src4'"))
+    found = K.intake(books, pages, _outline(s, d).filter("book <> 'src4'"))
     return found.select("book", "pages", "text_layer_sample", "outline_entries", "outline_top_level", F.array_join("first_titles", "|").alias("first_titles"), F.array_join("faults", "|").alias("faults"))
 
 
 @query
 def probe_check(s, d):
     listed = _readings(s, d).withColumn("chapters", F.array_append("chapters", F.lit(77777)))
-    return K.probe(relation(s, d, "outline"), relation(s, d, "config"), relation(s, d, "book_pages"), listed, relation(s, d, "overrides"))
+    return K.probe(_outline(s, d), relation(s, d, "config"), relation(s, d, "book_pages"), listed, relation(s, d, "overrides"))
 
 
 @query
 def probe_evidence(s, d):
-    return K.evidence(relation(s, d, "outline"), relation(s, d, "page_text"))[2].select("book", "offset", "pages", F.col("k").cast("long").alias("k"))
+    return K.evidence(_outline(s, d), relation(s, d, "page_text"))[2].select("book", "offset", "pages", F.col("k").cast("long").alias("k"))
