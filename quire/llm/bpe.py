@@ -23,10 +23,9 @@ import numpy as np
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import arrow_map, bounded_batches, private
+from quire.llm.common import arrow_map, bounded_batches
 
 #: The vocabulary is broadcast; a rank file may have at most so many bytes.
 MAX_RANK_FILE = 64 << 20
@@ -220,22 +219,15 @@ def digest(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
     """df with n_tokens, ids_sha256 and decoded_sha256, from one pass that encodes each text and decodes its ids."""
     bounded_batches(df.sparkSession)
     codec = _codec(df.sparkSession, path, pattern)
-    names = private(df, "n", "i", "d")
 
     def rows(column: list[bytes | None]) -> dict[str, list]:
         c = codec()
         packed = [c.encode(_str(x)) for x in column]
         return {
-            names["n"]: [len(x) // 4 for x in packed],
-            names["i"]: [hashlib.sha256(x).hexdigest() for x in packed],
-            names["d"]: [hashlib.sha256(c.decode(x)).hexdigest() for x in packed],
+            "n_tokens": [len(x) // 4 for x in packed],
+            "ids_sha256": [hashlib.sha256(x).hexdigest() for x in packed],
+            "decoded_sha256": [hashlib.sha256(c.decode(x)).hexdigest() for x in packed],
         }
 
-    kinds = {"n": T.LongType(), "i": T.StringType(), "d": T.StringType()}
-    out = arrow_map(df, [text], T.StructType([T.StructField(names[k], v) for k, v in kinds.items()]), rows)
-    return out.select(
-        *df.columns,
-        F.col(names["n"]).alias("n_tokens"),
-        F.col(names["i"]).alias("ids_sha256"),
-        F.col(names["d"]).alias("decoded_sha256"),
-    )
+    kinds = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+    return arrow_map(df, [text], T.StructType([T.StructField(k, v) for k, v in kinds.items()]), rows)

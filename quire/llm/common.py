@@ -62,11 +62,12 @@ def arrow_map(
     """Append to each row the columns that rows(*lists of columns) computes for a batch.
 
     The input columns in ``columns`` are given as Python lists (strings as UTF-8
-    bytes); all other columns pass through untouched. The caller keeps the names
-    of ``schema`` apart from those of df.
+    bytes); all other columns pass through untouched. A column of df that has the
+    name of a computed one (in any case) is replaced by it.
     """
-    out = T.StructType(df.schema.fields + schema.fields)
     names = [f.name for f in schema.fields]
+    inner = list(private(df, *names).values())
+    out = T.StructType(df.schema.fields + [T.StructField(i, f.dataType) for i, f in zip(inner, schema.fields, strict=True)])
     at = [df.columns.index(c) for c in columns]
     kinds = [_arrow(f.dataType) for f in schema.fields]
 
@@ -76,10 +77,12 @@ def arrow_map(
             made = rows(*given)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array(made[n], type=k) for n, k in zip(names, kinds, strict=True))],
-                names=[*batch.schema.names, *names],
+                names=[*batch.schema.names, *inner],
             )
 
-    return df.mapInArrow(run, out)
+    taken = {n.lower() for n in names}
+    kept = [f"`{c}`" for c in df.columns if c.lower() not in taken]
+    return df.mapInArrow(run, out).select(*kept, *(F.col(i).alias(n) for i, n in zip(inner, names, strict=True)))
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -99,11 +102,3 @@ def private(df: DataFrame, *names: str) -> dict[str, str]:
         out[n] = new
         taken.add(new.lower())
     return out
-
-
-def hot_keys(df: DataFrame, key: str, share: int = 1024) -> DataFrame:
-    """Keys that hold more than one share-th of df's rows: fewer than ``share`` rows, so they can be broadcast."""
-    n = private(df, "n")["n"]
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(n))
-    total = df.count()
-    return counts.filter(F.col(n) * F.lit(share) > F.lit(total)).select(key)

@@ -25,7 +25,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quire.llm.common import arrow_map, bounded_batches, private
+from quire.llm.common import arrow_map, bounded_batches
 from quire.llm.html_pages import END, MAIN, PAGES
 
 RAW = {"script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
@@ -287,11 +287,9 @@ def extract(page: str | None) -> str:
 def main_text(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """df with the main text of its html column appended, and its number of code points as n_chars."""
     bounded_batches(df.sparkSession)
-    names = private(df, "text", "n")
 
     def rows(column: list[bytes | None]) -> dict[str, list]:
         found = [extract(None if x is None else x.decode("utf-8", "replace")) for x in column]
-        return {names["text"]: found, names["n"]: [len(x) for x in found]}
+        return {text: found, "n_chars": [len(x) for x in found]}
 
-    schema = T.StructType([T.StructField(names["text"], T.StringType()), T.StructField(names["n"], T.LongType())])
-    return arrow_map(df, [html], schema, rows).withColumnsRenamed({names["text"]: text, names["n"]: "n_chars"})
+    return arrow_map(df, [html], T.StructType([T.StructField(text, T.StringType()), T.StructField("n_chars", T.LongType())]), rows)

@@ -29,7 +29,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quire.llm.common import arrow_map, bounded_batches, private
+from quire.llm.common import arrow_map, bounded_batches
 from quire.llm.license_texts import TEMPLATES
 
 COVERAGE = 0.8
@@ -187,7 +187,6 @@ def scan(df: DataFrame, text: str = "text", out: str = "licenses", templates: di
     """df with an array of the licenses found, in text order."""
     bounded_batches(df.sparkSession)
     given = dict(templates or TEMPLATES)
-    names = private(df, "found")
 
     def rows(column: list[bytes | None]) -> dict[str, list]:
         key = (tuple(given.items()), coverage)
@@ -195,6 +194,6 @@ def scan(df: DataFrame, text: str = "text", out: str = "licenses", templates: di
             _scanners.clear()
             _scanners[key] = Scanner(given, coverage)
         fields = [f.name for f in FOUND.elementType]
-        return {names["found"]: [[dict(zip(fields, x, strict=True)) for x in _scanners[key].scan(None if t is None else t.decode())] for t in column]}
+        return {out: [[dict(zip(fields, x, strict=True)) for x in _scanners[key].scan(None if t is None else t.decode())] for t in column]}
 
-    return arrow_map(df, [text], T.StructType([T.StructField(names["found"], FOUND)]), rows).withColumnRenamed(names["found"], out)
+    return arrow_map(df, [text], T.StructType([T.StructField(out, FOUND)]), rows)

@@ -226,20 +226,22 @@ def assign_shards(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) ->
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", shards: int = LEAVES, seed: int = SEED, arrange: int = 0, **how) -> DataFrame:
-    """The mixed corpus: the rows of docs, each as often as it is taken; columns of docs, shard and position last.
+    """The mixed corpus: the rows of docs, each as often as it is taken; columns of docs, shard and position last
+    (a column of docs with one of these names is replaced).
 
     With arrange, rows are also laid out that way: sorted by position in ``arrange`` partitions per shard, ready to be written.
     """
-    names = private(docs, "d", "s", "z")
+    names = private(docs, "d", "s", "z", "shard", "position")
     planned = materialize(plan(docs, doc_id, source, text, seed=seed, **how), "mix-plan")
     dealt = assign_shards(planned, shards, seed).select(
-        F.col("doc_id").alias(names["d"]), F.col("source").alias(names["s"]), F.col("size").alias(names["z"]), "shard", "position"
+        F.col("doc_id").alias(names["d"]), F.col("source").alias(names["s"]), F.col("size").alias(names["z"]), F.col("shard").alias(names["shard"]), F.col("position").alias(names["position"])
     )
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     joined = docs.join(
         dealt, _same(docs[doc_id].cast("long"), F.col(names["d"])) & _same(docs[source], F.col(names["s"])) & (size == F.col(names["z"]))
     )
-    out = joined.drop(*names.values())
+    own = [docs[c] for c in docs.columns if c.lower() not in ("shard", "position")]
+    out = joined.select(*own, F.col(names["shard"]).alias("shard"), F.col(names["position"]).alias("position"))
     if arrange:
         part = F.pmod(F.xxhash64("position"), F.lit(arrange))
         out = out.repartition(shards * arrange, "shard", part).sortWithinPartitions("shard", "position")

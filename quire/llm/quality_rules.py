@@ -6,8 +6,8 @@ characters exceeds ``max_lost``, or if it fails the base rules on length and
 repetition. The rules read the whole text; one pass, no shuffle.
 
 Defined results: a null text counts as no words (base_failed, not kept, cleaned
-text null); blank lines are neutral; columns of the input that have the name of
-a computed one are an error of the caller for ``score``, and never matter for
+text null); blank lines are neutral; a column of the input that has the name of
+a computed one is replaced in ``score``, and kept as it is in
 ``filter_documents``, which returns the input's own columns only.
 """
 

@@ -179,3 +179,12 @@ def test_html_frame(spark):
     got = html_extract.main_text(df).collect()
     assert [r["n_chars"] for r in got] == [len(r["text"]) for r in got] and got[2]["text"] == "" and got[0]["n"] == 7
     assert html_extract.main_text(df.limit(0)).count() == 0
+
+
+def test_clashing_columns_are_replaced(spark, vocabulary):
+    df = spark.createDataFrame([(1, "some text", "x", "y", "z", "w")], "doc_id long, text string, N_WORDS string, licenses string, n_tokens string, _q_n_tokens string")
+    for made, name in ((quality_rules.score(df), "n_words"), (license_scan.scan(df), "licenses"), (bpe.digest(df, *vocabulary), "n_tokens")):
+        assert [c.lower() for c in made.columns].count(name) == 1 and made.select(name).first()[0] in (2, [])
+    assert quality_rules.filter_documents(df, n_chars=None).columns == df.columns
+    pages = spark.createDataFrame([("<p>a b</p>", "old")], "html string, Text string")
+    assert html_extract.main_text(pages).first()["text"] == "a b" and len(html_extract.main_text(pages).columns) == 3
