@@ -52,6 +52,8 @@ KEEP = {"html", "body", "main", "article"}
 CLOSES_P = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "table", "section", "article", "blockquote", "pre", "footer", "header", "nav", "aside", "form", "hr", "figure", "main", "dl", "address", "fieldset"}
 #: Limits of a weight: words stay positive and tags negative.
 WORD_WEIGHT, TAG_WEIGHT = (0.3, 3.0), (-3.0, -0.1)
+#: The weight of a tag that no labelled page has.
+UNSEEN_TAG = -0.5
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -99,10 +101,11 @@ def _dropped(name: str, attributes: dict[str, str], inside: set[str]) -> str | N
 class Token:
     """A run of text, or a tag, of what is not dropped."""
 
-    __slots__ = ("text", "tag", "breaks", "inline", "article")
+    __slots__ = ("text", "tag", "breaks", "inline", "article", "outer")
 
-    def __init__(self, text: str | None, tag: str | None, breaks: bool, inline: str, article: int) -> None:
-        self.text, self.tag, self.breaks, self.inline, self.article = text, tag, breaks, inline, article
+    def __init__(self, text: str | None, tag: str | None, breaks: bool, inline: str, articles: list[int]) -> None:
+        self.text, self.tag, self.breaks, self.inline = text, tag, breaks, inline
+        self.article, self.outer = articles[-1] if articles else 0, articles[0] if articles else 0
 
 
 def tokens(page: str) -> list[Token]:
@@ -127,7 +130,7 @@ def tokens(page: str) -> list[Token]:
         if at > i:
             if not drops:
                 around = next((x for x, _ in reversed(stack) if x in ("a", "li", "p", "h1", "h2", "h3", "td", "div", "span")), "")
-                out.append(Token(page[i:at], None, False, around, articles[-1] if articles else 0))
+                out.append(Token(page[i:at], None, False, around, articles))
             i = at
             continue
         if page.startswith("<!--", i):
@@ -146,11 +149,12 @@ def tokens(page: str) -> list[Token]:
             if re.match(r"</?[a-zA-Z]", page[i : i + 3]):
                 break  # the page ends within a tag
             if not drops:
-                out.append(Token("<", None, False, "", articles[-1] if articles else 0))
+                out.append(Token("<", None, False, "", articles))
             i += 1
             continue
         i = m.end()
         name, closing = m[2].lower(), m[1] == "/"
+        within = drops > 0
         if not closing and name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, i)
             i = end.end() if end else n
@@ -187,10 +191,11 @@ def tokens(page: str) -> list[Token]:
                     articles.append(n_articles)
             breaks = name not in INLINE
         if not drops:
-            out.append(Token(None, ("/" if closing else "") + name, breaks, "", articles[-1] if articles else 0))
+            shown = "/" if closing and within else "/" + name if closing else name
+            out.append(Token(None, shown, breaks, "", articles))
         elif breaks:
             if out and not out[-1].breaks:
-                out.append(Token(None, "/", True, "", articles[-1] if articles else 0))
+                out.append(Token(None, "/", True, "", articles))
     return out
 
 
@@ -218,14 +223,21 @@ def weights() -> dict[str, float]:
     return out
 
 
+def _score(t: Token, w: dict[str, float]) -> float:
+    """A token's part in the sum; what stands for a dropped container counts nothing."""
+    if t.tag is None:
+        return w.get(_feature(t), WORD_WEIGHT[0]) * len(t.text.split())
+    return 0.0 if t.tag == "/" else w.get(t.tag, UNSEEN_TAG)
+
+
 def _plain(part: str) -> list[Token]:
     """Tokens of a part of a labelled page, with what tokens() drops."""
     out, stack = [], []
     for m in re.finditer(r"<(/?)(\w+)[^>]*>|[^<]+", part):
         if m[2] is None:
-            out.append(Token(m[0], None, False, next((x for x in reversed(stack) if x in ("a", "li", "p", "h1", "h2", "h3", "td", "div", "span")), ""), 0))
+            out.append(Token(m[0], None, False, next((x for x in reversed(stack) if x in ("a", "li", "p", "h1", "h2", "h3", "td", "div", "span")), ""), []))
         else:
-            out.append(Token(None, m[1] + m[2].lower(), False, "", 0))
+            out.append(Token(None, m[1] + m[2].lower(), False, "", []))
             if m[1]:
                 if m[2] in stack:
                     del stack[len(stack) - 1 - stack[::-1].index(m[2]) :]
@@ -252,7 +264,7 @@ def extract(page: str | None) -> str:
         return ""
     row = tokens(page)
     w = weights()
-    sums = [w.get(_feature(t), WORD_WEIGHT[0] if t.tag is None else -0.5) * (len(t.text.split()) if t.tag is None else 1) for t in row]
+    sums = [_score(t, w) for t in row]
     start, stop = best_run(sums)
     if start == stop:
         return ""
@@ -261,9 +273,16 @@ def extract(page: str | None) -> str:
         if t.tag is None:
             held[t.article] += len(t.text.split())
     article, most = held.most_common(1)[0] if held else (0, 0)
-    if article and 2 * most >= sum(held.values()):
-        own = [i for i, t in enumerate(row) if t.article == article]
+    total = sum(held.values())
+    outer = {t.article: t.outer for t in row}
+    if article and outer[article] and 5 * most < 4 * sum(n for a, n in held.items() if outer[a] == outer[article]):
+        article, most = outer[article], total  # several articles in one main element
+    if article and 2 * most >= total:
+        own = [i for i, t in enumerate(row) if article in (t.article, t.outer)]
         start, stop = own[0], own[-1] + 1
+        titles = [i for i, t in enumerate(row[:start]) if t.tag == "h1" and t.article and t.article == row[start].outer]
+        if titles and not any(t.tag == "h1" for t in row[start:stop]):
+            start = titles[-1]  # its title stands before it
     else:
         while start > 0 and not row[start - 1].breaks:
             start -= 1

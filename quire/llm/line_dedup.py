@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, materialize, private
+from quire.llm.common import WORD, materialize, private, remove
 
 #: Chunks hold SPREAD lines on average; a line of LONG words or more is one chunk.
 SPREAD, LONG = 3, 50
@@ -106,7 +106,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     first = shared.groupBy("hash", F.col("chunk").alias("bytes")).agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = materialize(first.filter("first < last").withColumnRenamed("hash", "h"), "line-first")
     marked = shared.join(first, (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("bytes"))).filter(place > F.col("first"))
-    return marked.select("doc_id", "k").distinct()
+    found = materialize(marked.select("doc_id", "k").distinct(), "line-repeats")
+    remove(twice, shared, first)
+    return found
 
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None, removed: str | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import arrow_map, bounded_batches, materialize, private
+from quire.llm.common import arrow_map, bounded_batches, materialize, private, remove
 from quire.llm.components import components
 
 MAX_BITS, WIDE_BITS = 3, 4
@@ -238,7 +238,9 @@ def links(df: DataFrame, fp: str, bits: int = MAX_BITS, accept: int | None = Non
         if rest:
             yield from compare(rest)
 
-    return parts.mapInArrow(run, "a long, b long").filter("a != b").distinct()
+    found = materialize(parts.mapInArrow(run, "a long, b long").filter("a != b").distinct(), "simhash-links")
+    remove(keyed, hot)
+    return found
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
