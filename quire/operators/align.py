@@ -134,7 +134,7 @@ def _merge(changes: list[tuple]) -> list[list[int]]:
 
 
 def _hunks(page: dict) -> Iterator[tuple]:
-    """The hunks of one page: position, anchor, both texts with context, whether the anchor has inline math."""
+    """The hunks of one page: position, anchor, both texts with context, whether the anchor has inline math, both texts without."""
     hay, blocks, spans = page["hay"], page["blocks"], page["spans"]
     placed = [(s["e"], b["id"], s["s"]) for b, s in zip(blocks, spans) if s is not None]
     covered = {i for e, _, s in placed for i in range(s, e)}
@@ -152,11 +152,14 @@ def _hunks(page: dict) -> Iterator[tuple]:
             anchor = right[j1 - 1][0]
         else:
             anchor = next((b["id"] for b in blocks if len(b["tokens"])), f"p{page['page_idx']:03d}-none")
-        yield i1, anchor, " ".join(p[max(0, i1 - CONTEXT) : i2 + CONTEXT]), " ".join(m[max(0, j1 - CONTEXT) : j2 + CONTEXT]), anchor in with_math
+        yield i1, anchor, " ".join(p[max(0, i1 - CONTEXT) : i2 + CONTEXT]), " ".join(m[max(0, j1 - CONTEXT) : j2 + CONTEXT]), anchor in with_math, " ".join(p[i1:i2]), " ".join(m[j1:j2])
 
 
 def hunks(aligned_pages: DataFrame) -> DataFrame:
-    """Rows (book, page_idx, seq, anchor, pdf_text, md_text, math): what is left after alignment, as differences.
+    """Rows (book, page_idx, seq, anchor, pdf_text, md_text, math, pdf_part, md_part): what is left after alignment, as differences.
+
+    The texts have context around the parts that differ; math tells whether the
+    anchor has inline math.
 
     The matching blocks of the longest-matching-subsequence differ have no
     relational form, so pages go to Python in Arrow batches, and only those with a
@@ -166,10 +169,10 @@ def hunks(aligned_pages: DataFrame) -> DataFrame:
     unplaced = F.exists(F.zip_with("blocks", "spans", lambda b, q: (F.size(b["tokens"]) > 0) & q.isNull()), lambda x: x)
     work = aligned_pages.filter((rest < F.size("hay")) | unplaced)
 
-    schema = "book string, page_idx int, seq int, anchor string, pdf_text string, md_text string, math boolean"
+    schema = "book string, page_idx int, seq int, anchor string, pdf_text string, md_text string, math boolean, pdf_part string, md_part string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_()]
+        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string(), pa.string()]
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             rows = [(page["book"], page["page_idx"], k, *h[1:]) for page in batch.to_pylist() for k, h in enumerate(_hunks(page))]
@@ -183,6 +186,36 @@ def hunks_per_page(found: DataFrame) -> DataFrame:
     return found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("hunks"))
 
 
+def result(aligned_pages: DataFrame, first_printed: DataFrame | None = None) -> DataFrame:
+    """One row per book: its number of pages, the six counts, and its hunks in page order.
+
+    first_printed: (book, first); a hunk's page is printed from there, else counted from 0.
+    """
+    per = counts(aligned_pages).groupBy("book").agg(
+        F.count(F.lit(1)).alias("pages"), *(F.sum(c).alias(c) for c in ("pdf_tokens", "md_tokens", "matched_blocks", "unmatched_blocks"))
+    )
+    found = hunks(aligned_pages)
+    if first_printed is not None:
+        found = found.join(F.broadcast(first_printed.select("book", "first")), "book", "left")
+    else:
+        found = found.withColumn("first", F.lit(0))
+    page = (F.coalesce("first", F.lit(0)) + F.col("page_idx")).alias("page")
+    listed = found.groupBy("book").agg(F.array_sort(F.collect_list(F.struct("page_idx", "seq", page, "anchor", "pdf_text", "md_text", "math"))).alias("h"))
+    rows = per.join(listed, "book", "left").withColumn("h", F.coalesce("h", F.array().cast("array<struct<page_idx:int,seq:int,page:int,anchor:string,pdf_text:string,md_text:string,math:boolean>>")))
+    with_math = F.size(F.filter("h", lambda x: x["math"]))
+    return rows.select(
+        "book",
+        "pages",
+        F.struct("pdf_tokens", "md_tokens", "matched_blocks", "unmatched_blocks", F.size("h").alias("hunks"), with_math.alias("hunks_inline_math")).alias("counts"),
+        F.transform("h", lambda x: F.struct(x["page"].alias("page"), x["anchor"].alias("anchor"), x["pdf_text"].alias("pdf_text"), x["md_text"].alias("md_text"))).alias("hunks"),
+    )
+
+
+def first_hunks(found: DataFrame, n: int = 20) -> DataFrame:
+    """The first n hunks in book and page order, for display."""
+    return found.orderBy("book", "page_idx", "seq").limit(n)
+
+
 def check_pages(tokens: DataFrame, blocks: DataFrame, page_sizes: DataFrame | None = None, boxes: DataFrame | None = None) -> None:
     """Both extractions of a book have the same number of pages, and page sizes agree within a point; else AlignError."""
     a = tokens.groupBy("book").agg(F.countDistinct("page_idx").alias("a"))

@@ -87,7 +87,31 @@ changes AS (
 _LAYER = r"regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<title.*?</title>|<!--.*?-->', ' ', 'g'), '<[^>]*>', chr(10), 'g')"
 _ARTIFACTS = ", ".join(f"('{n.format(stem='c')}')" for n in REQUIRED)
 
+#: The greedy alignment, block by block, on strings: what is placed is struck out of the page.
+_ALIGN = rf"""
+WITH RECURSIVE sides AS (SELECT page_id::INT AS page_idx, {_tokens(_normalized(_LAYER))} AS hay, regexp_extract_all(html, '<(p|h1|li|footer)>([^<]+)', 2) AS b FROM pages),
+parts AS (SELECT page_idx, unnest(b) AS t, unnest(range(len(b))) AS i FROM sides),
+toks AS (SELECT page_idx, i, {_tokens(_normalized("t || CASE WHEN i % 4 = 3 THEN ' odd' ELSE '' END"))} AS toks FROM parts),
+listed AS (SELECT page_idx, list(array_to_string(toks, ' ') ORDER BY i) AS bl, list(len(toks) ORDER BY i) AS ns FROM toks GROUP BY page_idx),
+start AS (SELECT s.page_idx, len(hay) AS n_hay, ' ' || array_to_string(hay, ' ') || ' ' AS orig, coalesce(bl, []) AS bl, coalesce(ns, []) AS ns FROM sides s LEFT JOIN listed l ON l.page_idx = s.page_idx),
+walk AS (
+  SELECT page_idx, 0 AS k, orig AS h, 1::BIGINT AS cur, 0::BIGINT AS pos FROM start
+  UNION ALL
+  SELECT page_idx, k + 1, CASE WHEN p > 0 THEN substr(h, 1, p) || repeat(chr(1), length(b)) || substr(h, p + 1 + length(b)) ELSE h END, CASE WHEN p > 0 THEN p + length(b) + 1 ELSE cur END, p
+  FROM (SELECT w.page_idx, k, h, cur, bl[k + 1] AS b,
+      CASE WHEN bl[k + 1] = '' THEN 0 WHEN strpos(substr(h, cur), ' ' || bl[k + 1] || ' ') > 0 THEN cur - 1 + strpos(substr(h, cur), ' ' || bl[k + 1] || ' ') ELSE strpos(h, ' ' || bl[k + 1] || ' ') END AS p
+    FROM walk w JOIN start s ON s.page_idx = w.page_idx WHERE k < len(bl))
+),
+placed AS (
+  SELECT w.page_idx, k - 1 AS k, ns[k] AS n, CASE WHEN pos > 0 THEN length(substr(orig, 1, pos)) - length(replace(substr(orig, 1, pos), ' ', '')) - 1 END AS s
+  FROM walk w JOIN start s ON s.page_idx = w.page_idx WHERE k > 0)
+"""
+
 ORACLES: dict[str, str] = {
+    "align_blocks": _ALIGN + "SELECT page_idx, format('p{:03d}-b{:03d}', page_idx, k) AS id, coalesce(s, -1) AS s, coalesce(s + n, -1) AS e FROM placed",
+    "guardrail_counts": _ALIGN + """
+SELECT 'web' AS book, s.page_idx, n_hay AS pdf_tokens, coalesce(list_sum(ns), 0)::INT AS md_tokens, count(*) FILTER (p.s IS NOT NULL) AS matched_blocks, count(*) FILTER (p.s IS NULL AND p.n > 0) AS unmatched_blocks
+FROM start s LEFT JOIN placed p ON p.page_idx = s.page_idx GROUP BY s.page_idx, n_hay, ns""",
     "outline_chapter_entries": _w("outline", _ENTRIES) + "SELECT book, idx, number, title FROM entries",
     "outline_children": _w("world") + "SELECT c.book, p.idx AS parent, c.idx AS child FROM world c JOIN world p ON p.idx < c.idx AND c.level = p.level + 1 WHERE NOT EXISTS (SELECT 1 FROM world k WHERE k.idx > p.idx AND k.idx < c.idx AND k.level <= p.level)",
     "outline_level_stats": _w("outline") + r"SELECT book, level, count(*) AS entries, count(*) FILTER (regexp_matches(title, '^\s*((?i:chapter)\s+)?\d+\b')) AS numbered FROM outline GROUP BY ALL",

@@ -11,6 +11,7 @@ from quire.functions import text as X
 from quire.operators import align as A
 from quire.operators import blocks as B
 from quire.operators import checks as K
+from quire.operators import classify as C
 from quire.operators import outline as O
 from quire.operators import patches as P
 from quire.operators import report as R
@@ -288,7 +289,7 @@ def _aligned(s, d):
 @query
 def align_blocks(s, d):
     rows = _aligned(s, d)
-    return rows.select("page_idx", F.posexplode(F.arrays_zip(F.transform("blocks", lambda b: b["id"]).alias("id"), F.col("spans").alias("span"))).alias("k", "x")).select("page_idx", "x.id", F.col("x.span.s").alias("s"), F.col("x.span.e").alias("e"))
+    return rows.select("page_idx", F.posexplode(F.arrays_zip(F.transform("blocks", lambda b: b["id"]).alias("id"), F.col("spans").alias("span"))).alias("k", "x")).select("page_idx", "x.id", F.coalesce("x.span.s", F.lit(-1)).alias("s"), F.coalesce("x.span.e", F.lit(-1)).alias("e"))
 
 
 @query
@@ -301,6 +302,13 @@ def diff_hunks(s, d):
     return A.hunks(_aligned(s, d))
 
 
+@query
+def guardrail_result(s, d):
+    """The whole result of the comparison, per book, with its counts flat."""
+    first = relation(s, d, "pages").select(F.lit("web").alias("book"), F.lit(101).alias("first")).limit(1)
+    return A.result(_aligned(s, d), first).select("book", "pages", "counts.*", F.size("hunks").alias("listed"), F.get("hunks", F.lit(0))["page"].alias("first_page"))
+
+
 @query
 def hunks_per_page(s, d):
     return A.hunks_per_page(A.hunks(_aligned(s, d)))
@@ -311,6 +319,11 @@ def hunks_with_math(s, d):
     return A.hunks(_aligned(s, d)).groupBy("page_idx").agg(F.count(F.lit(1)).alias("hunks"), F.count_if("math").alias("hunks_inline_math"))
 
 
+@query
+def hunk_classes(s, d):
+    return C.classify(A.hunks(_aligned(s, d))).groupBy("kind").agg(F.count(F.lit(1)).alias("hunks"))
+
+
 # report
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.errors import PatchError, ReportError
+from quire.errors import ConfigError, PatchError, ReportError
 from quire.operators import patches, validate
 
 
@@ -31,6 +31,31 @@ def chapter_pages(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     return rows.withColumn("page_idx", F.col("page_idx") - F.col("first")).drop("first", "last")
 
 
+def render_crops(flags: DataFrame, pdf_dir: str, zoom: float = 2.0) -> DataFrame:
+    """Rows (book, id, png) of block boxes drawn from PDF files; flags: (book, page_idx, id, bbox in thousandths). Needs PyMuPDF."""
+    try:
+        import pymupdf  # noqa: F401
+    except ImportError as error:
+        raise ConfigError("drawing crops needs PyMuPDF; reports hold the paths of crops without it") from error
+
+    def draw(batches):
+        import pandas as pd
+        import pymupdf
+
+        for rows in batches:
+            out = []
+            for book, own in rows.groupby("book"):
+                doc = pymupdf.open(f"{pdf_dir}/{book}.pdf")
+                for r in own.itertuples():
+                    page = doc[r.page_idx]
+                    x, y = page.rect.width / 1000, page.rect.height / 1000
+                    clip = pymupdf.Rect(r.bbox[0] * x, r.bbox[1] * y, r.bbox[2] * x, r.bbox[3] * y)
+                    out.append((book, r.id, page.get_pixmap(clip=clip, matrix=pymupdf.Matrix(zoom, zoom)).tobytes("png")))
+            yield pd.DataFrame(out, columns=["book", "id", "png"])
+
+    return flags.select("book", "page_idx", "id", "bbox").mapInPandas(draw, "book string, id string, png binary")
+
+
 def version_path(path: str, version: int) -> str:
     return f"{path}/version={version}"
 

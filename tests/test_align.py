@@ -93,3 +93,24 @@ def test_page_guards(spark):
 def test_no_broadcast_or_collect_in_the_main_path(spark):
     plan = A.aligned(A.pages_of(*frames(spark, [(["a"], [["a"]])])))._jdf.queryExecution().optimizedPlan().toString()
     assert "PythonUDF" not in plan
+
+
+def test_result(spark):
+    pages = [("alpha beta gamma delta epsilon".split(), [["alpha", "beta"], ["epsilon"]]), (["x"], [["y"]]), (["z"], [["z"]])]
+    aligned = A.aligned(A.pages_of(*frames(spark, pages)))
+    r = A.result(aligned, spark.createDataFrame([("b", 119)], "book string, first int")).first()
+    assert r["pages"] == 3 and r["counts"].asDict() == {"pdf_tokens": 7, "md_tokens": 5, "matched_blocks": 3, "unmatched_blocks": 1, "hunks": 2, "hunks_inline_math": 0}
+    assert [h["page"] for h in r["hunks"]] == [119, 120]
+    assert A.first_hunks(A.hunks(aligned), 1).first()["page_idx"] == 0 and A.hunks_per_page(A.hunks(aligned)).count() == 2
+    clean = A.result(A.aligned(A.pages_of(*frames(spark, pages[2:])))).first()
+    assert clean["hunks"] == [] and clean["counts"]["hunks"] == 0
+
+
+def test_classes(spark):
+    from quire.operators.classify import classify
+
+    rows = [("b", 0, 0, True, "x", "y"), ("b", 0, 1, False, "moved text", ""), ("b", 3, 0, False, "", "moved text"), ("b", 1, 0, False, "", "same"), ("b", 1, 1, False, "same", ""), ("b", 2, 0, False, "capital", "capi tal"), ("b", 2, 1, False, "a b", "ab"), ("b", 2, 2, False, "a,", "a."), ("b", 2, 3, False, "a +", "a ="), ("b", 2, 4, False, "a", "b"), ("b", 2, 5, False, "gone", ""), ("b", 2, 6, False, "", "new"), ("c", 0, 0, False, "", "gone")]
+    df = spark.createDataFrame(rows, "book string, page_idx int, seq int, math boolean, pdf_part string, md_part string")
+    got = {tuple(r)[:3]: r["kind"] for r in classify(df).collect()}
+    want = ["inline-math", "move across pages", "move across pages", "move", "move", "split", "joined", "punctuation", "symbol", "replace", "deletion", "insertion", "insertion"]
+    assert [got[r[:3]] for r in rows] == want
