@@ -17,8 +17,14 @@ both partners of i have two errors, the fourth segment is untouched too, and i
 is its partner). Else every segment has one error, and the codeword indices of
 three segments are one more key.
 
-Work per key. Only distinct fingerprints are keyed. Members of a key are cut
-into blocks of at most ``BLOCK`` and every pair of blocks is one tile; a tile is
+Wide prints. A similarity of 0.8 of word shingles leaves too many differing bits
+for 64 of them. ``keep_first`` takes WORDS prints of 64 bits, each from its own
+mix of the same shingle hashes: a pair is a candidate if it shares a key of any
+of them, and is linked if at most WIDE_ACCEPT of all bits differ, which is the
+angle between two shingle sets of that similarity.
+
+Work per key. Only distinct prints are keyed. Members of a key are cut into
+blocks of at most ``BLOCK`` and every pair of blocks is one tile; a tile is
 compared by XOR and population count and gives a spanning forest of its links,
 never all pairs. Any key size is handled exactly, in bounded memory. Components
 are then found by alternating large-star and small-star steps on DataFrames.
@@ -45,9 +51,9 @@ from quire.llm.components import components
 
 MAX_BITS, WIDE_BITS = 3, 4
 SEED = 42
-#: Where only one document of a group is to stay, links of up to so many bits count if their ends share a key; by chance two
-#: texts come that close once in 10 ** 11 pairs.
-ACCEPT = 6
+#: Prints of keep_first, and the bits of all of them in which linked texts may differ: 30 of 192 is an angle of 28 degrees, a
+#: cosine of 0.88, a Jaccard similarity of 0.79.
+WORDS, WIDE_ACCEPT = 3, 30
 #: Members of a key that one tile side holds at most.
 BLOCK = 2048
 #: Cut keys are broadcast only up to this many.
@@ -58,36 +64,57 @@ SHORT_ROWS = 4096
 GOLAY = 0b101011100011
 
 
-def fingerprint(text: bytes | None, shingle: int) -> int:
-    """Unsigned 64-bit SimHash over word shingles, repeats included."""
-    words = text.lower().split() if text else []  # bytes.lower() changes A-Z only, bytes.split() is ASCII white space
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
+def fingerprints(text: bytes | None, shingle: int, words: int = 1) -> list[int]:
+    """Unsigned 64-bit SimHashes over word shingles, repeats included; the first is over the hashes themselves."""
+    tokens = text.lower().split() if text else []  # bytes.lower() changes A-Z only, bytes.split() is ASCII white space
+    if not tokens:
+        return [0] * words
+    if len(tokens) <= shingle:
+        hashes = [xxhash.xxh64_intdigest(b" ".join(tokens), SEED)]
     else:
-        whole = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = [0, *ends[: len(words) - shingle].tolist()]
+        whole = b" ".join(tokens)
+        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
+        starts = [0, *ends[: len(tokens) - shingle].tolist()]
         stops = (ends[shingle - 1 :] - 1).tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)]
-    total, n = np.zeros(64, np.int64), len(hashes)
+    total, n = np.zeros((words, 64), np.int64), len(hashes)
     for i in range(0, n, 1 << 16):
-        part = np.array(hashes[i : i + (1 << 16)], ">u8")
-        total += np.unpackbits(part.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
+        part = np.array(hashes[i : i + (1 << 16)], np.uint64)
+        for k in range(words):
+            bits = np.unpackbits(_mixed(part, k).astype(">u8").view(np.uint8)).reshape(-1, 64)
+            total[k] += bits.sum(axis=0, dtype=np.int64)
+    return [int.from_bytes(np.packbits(2 * t > n).tobytes(), "big") for t in total]
 
 
-def add_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", shingle: int = 3) -> DataFrame:
-    """df with the fingerprint as a signed long."""
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th mix of hashes (a finalizer over odd steps); the hashes themselves for 0."""
+    if not k:
+        return hashes
+    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: bytes | None, shingle: int) -> int:
+    return fingerprints(text, shingle)[0]
+
+
+def add_fingerprints(df: DataFrame, text: str, names: list[str], shingle: int) -> DataFrame:
+    """df with as many fingerprints as there are names, as signed longs."""
     bounded_batches(df.sparkSession)
 
     def rows(column: list[bytes | None]) -> dict[str, list]:
-        found = (fingerprint(x, shingle) for x in column)
-        return {out: [x - (1 << 64) if x >> 63 else x for x in found]}
+        found = np.array([fingerprints(x, shingle, len(names)) for x in column], np.uint64).reshape(-1, len(names)).view(np.int64)
+        return {n: found[:, k] for k, n in enumerate(names)}
 
-    return arrow_map(df, [text], T.StructType([T.StructField(out, T.LongType())]), rows)
+    return arrow_map(df, [text], T.StructType([T.StructField(n, T.LongType()) for n in names]), rows)
+
+
+def add_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", shingle: int = 3) -> DataFrame:
+    """df with the fingerprint as a signed long."""
+    return add_fingerprints(df, text, [out], shingle)
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -125,16 +152,17 @@ def segment_keys() -> tuple[np.ndarray, np.ndarray]:
     return np.take_along_axis(near, order, 1), np.take_along_axis(fresh, order, 1)
 
 
-def candidate_keys(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
-    """Rows (key long, fp) of distinct fingerprints: eight kinds of key, nine for four bits, some codeword indices each."""
+def candidate_keys(df: DataFrame, columns: list[str], at: int = 0, bits: int = MAX_BITS) -> DataFrame:
+    """Rows (key long, *columns) for the keys of the column numbered ``at``: eight kinds, nine for four bits, some codeword indices each."""
     table, fresh = segment_keys()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(row: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps[row])], names=["key", "fp"])
+            return pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[row]) for c in given)], names=["key", *columns])
 
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            given = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            fps = given[at]
             parts = [(fps >> (16 * i)) & 0xFFFF for i in range(4)]
             for i in range(4):
                 for which in (1, 2):
@@ -144,22 +172,23 @@ def candidate_keys(df: DataFrame, fp: str, bits: int = MAX_BITS) -> DataFrame:
             if bits > MAX_BITS:
                 row, key = np.arange(len(fps)), np.full(len(fps), 1, np.int64) << 4
                 for part in parts[:3]:
-                    at, k = np.nonzero(fresh[part[row]])
-                    row, key = row[at], (key[at] << 12) | table[part[row[at]], k]
+                    of, k = np.nonzero(fresh[part[row]])
+                    row, key = row[of], (key[of] << 12) | table[part[row[of]], k]
                 yield rows(row, key)
 
-    return df.select(F.col(fp).cast("long").alias("fp")).mapInArrow(run, "key long, fp long")
+    schema = ", ".join(f"{c} long" for c in ("key", *columns))
+    return df.select(*(F.col(c).cast("long") for c in columns)).mapInArrow(run, schema)
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of prints; the last axis holds a print's 64-bit words."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def tile_forest(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links within left, or between left and right if given (unsigned 64-bit)."""
-    both = left if right is None else np.concatenate([left, right])
-    n, edges = len(left), []
-    parent = np.arange(len(both))
+def tile_forest(prints: np.ndarray, split: int, bits: int) -> list[tuple[int, int]]:
+    """A spanning forest (pairs of rows) of the links within prints, or if split is less than its length between its two parts."""
+    n, edges = len(prints), []
+    parent = list(range(n))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -167,88 +196,90 @@ def tile_forest(left: np.ndarray, right: np.ndarray | None, bits: int) -> list[t
             i = parent[i]
         return i
 
-    for i in range(n):
-        others = np.arange(i + 1, n) if right is None else np.arange(n, len(both))
-        for j in others[_popcount(both[others] ^ both[i]) <= bits]:
+    for i in range(split):
+        first = i + 1 if split == n else split
+        for j in (np.flatnonzero(_apart(prints[first:], prints[i]) <= bits) + first).tolist():
             a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                edges.append((int(both[i]), int(both[j])))
+                edges.append((i, j))
     return edges
 
 
-def links(df: DataFrame, fp: str, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
-    """Rows (a long, b long) that connect whatever fingerprints of df are linked; df holds distinct fingerprints.
+def links(df: DataFrame, ident: str, prints: list[str], at: int = 0, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
+    """Rows (a long, b long) of idents that connect whatever rows of df are linked through keys of the print numbered ``at``.
 
-    Links of at most ``bits`` bits are found without loss. With a larger ``accept``,
-    so are those of up to that many bits whose ends share a key.
+    A link is a pair within ``accept`` bits over all prints, by default ``bits``. With
+    one print, links of at most ``bits`` bits are found without loss; wider ones
+    where the pair shares a key. df holds each ident once.
     """
     accept = bits if accept is None else accept
     if bits > WIDE_BITS:
         raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
     bounded_batches(df.sparkSession, SHORT_ROWS)
-    keyed = materialize(candidate_keys(df, fp, bits), "simhash-keys")
+    columns = list(dict.fromkeys([ident, *prints]))
+    keyed = materialize(candidate_keys(df, columns, columns.index(prints[at]), bits), "simhash-keys")
     # only keys with more members than one tile side holds are cut into blocks; they are few, or joined by shuffle
     hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
     hot = materialize(hot.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-hot")
     few = hot.limit(FEW_KEYS + 1).count() <= FEW_KEYS
     cut = keyed.join(F.broadcast(hot) if few else hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64(ident), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     tiles = (
         cut.withColumn("mine", mine)
         .withColumn("other", F.explode(every))
-        .select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "fp")
+        .select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", *columns)
     )
-    parts = tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "mine", "fp")
+    parts = tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "mine", ident)
+    of = [4 + columns.index(c) for c in prints]
+    who = 4 + columns.index(ident)
+
+    def compare(cols: list[np.ndarray]) -> pa.RecordBatch:
+        """The links of whole tiles."""
+        key, x, y, mine = cols[:4]
+        edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
+        starts, stops = np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
+        own, names = np.stack([cols[c] for c in of], axis=1).view(np.uint64), cols[who]
+        pairs = starts[stops - starts == 2]
+        near = pairs[_apart(own[pairs], own[pairs + 1]) <= accept]
+        found_a, found_b = [names[near]], [names[near + 1]]
+        more = stops - starts > 2
+        for s, e in zip(starts[more].tolist(), stops[more].tolist(), strict=True):
+            split = int(np.searchsorted(mine[s:e], y[s], "left")) if x[s] != y[s] else e - s
+            got = tile_forest(own[s:e], split, accept)
+            if got:
+                pair = np.array(got) + s
+                found_a.append(names[pair[:, 0]])
+                found_b.append(names[pair[:, 1]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] = []
-
-        def compare(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, x, y, mine, fp = cols
-            if not len(key):
-                return
-            cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-            starts, stops = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
-            fps, found_a, found_b = fp.view(np.uint64), [], []
-            two = stops - starts == 2
-            a, b = fps[starts[two]], fps[starts[two] + 1]
-            near = _popcount(a ^ b) <= accept
-            found_a.append(a[near])
-            found_b.append(b[near])
-            more = stops - starts > 2
-            for s, e in zip(starts[more].tolist(), stops[more].tolist(), strict=True):
-                split = s + int(np.searchsorted(mine[s:e], y[s], "left")) if x[s] != y[s] else e
-                got = tile_forest(fps[s:split], fps[split:e] if x[s] != y[s] else None, accept)
-                if got:
-                    pair = np.array(got, np.uint64)
-                    found_a.append(pair[:, 0])
-                    found_b.append(pair[:, 1])
-            a, b = np.concatenate(found_a).view(np.int64), np.concatenate(found_b).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
         for batch in batches:
+            if not batch.num_rows:
+                continue
             new = [np.asarray(c.to_numpy(zero_copy_only=False)) for c in batch.columns]
             cols = [np.concatenate([o, n]) for o, n in zip(rest, new, strict=True)] if rest else new
-            last = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1]) if len(cols[0]) else np.zeros(0, bool)
-            at = int(np.argmax(last)) if len(last) else 0
-            yield from compare([c[:at] for c in cols])
+            last = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
+            at = int(np.argmax(last))  # the last tile may go on in the next batch
+            if at:
+                yield compare([c[:at] for c in cols])
             rest = [c[at:] for c in cols]
         if rest:
-            yield from compare(rest)
+            yield compare(rest)
 
     found = materialize(parts.mapInArrow(run, "a long, b long").filter("a != b").distinct(), "simhash-links")
     remove(keyed, hot)
     return found
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = MAX_BITS) -> DataFrame:
     """Rows (doc_id, fingerprint long, component_id) for every row of df; component_id is the smallest reachable doc_id."""
     own = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     printed = materialize(add_fingerprint(own, "text", shingle=shingle).drop("text"), "simhash")
     distinct = materialize(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct, "fingerprint", bits, accept), "a", "b")  # node, root: only of linked fingerprints
+    roots = components(links(distinct, "fingerprint", ["fingerprint"], 0, bits), "a", "b")  # node, root: only of linked fingerprints
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -263,14 +294,29 @@ def hex_digits(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, bits: int = WIDE_BITS, accept: int = ACCEPT) -> DataFrame:
+def wide_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, words: int = WORDS, accept: int = WIDE_ACCEPT) -> DataFrame:
+    """Rows (least, root): for each class of documents with the same prints its smallest doc_id, and its group's.
+
+    Rows without a doc_id belong to no class.
+    """
+    names = [f"f{k}" for k in range(words)]
+    own = df.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    printed = add_fingerprints(own, "text", names, shingle).drop("text")
+    classes = materialize(printed.groupBy(*names).agg(F.min("doc_id").alias("least")), "simhash-classes")
+    edges = None
+    for k in range(words):
+        found = links(classes, "least", names, k, WIDE_BITS, accept)
+        edges = found if edges is None else edges.unionByName(found)
+    roots = components(edges.distinct(), "a", "b").select(F.col("node").alias("least"), "root")
+    return classes.select("least").join(roots, "least", "left").select("least", F.coalesce("root", "least").alias("root"))
+
+
+def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, words: int = WORDS, accept: int = WIDE_ACCEPT) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id (all rows of that id, once).
 
     Rows without a doc_id are kept. The columns are those of df.
     """
     names = private(df, "id")
-    classes = near_duplicates(df, doc_id, text, shingle, bits, accept)
-    keep = classes.filter("doc_id = component_id").select(F.col("doc_id").alias(names["id"])).distinct()
-    found = df.join(keep, F.col(doc_id) == F.col(names["id"]), "left_semi").dropDuplicates([doc_id])
+    keep = wide_classes(df, doc_id, text, shingle, words, accept).filter("least = root").select(F.col("least").alias(names["id"])).distinct()
+    found = df.join(keep, F.col(doc_id).cast("long") == F.col(names["id"]), "left_semi").dropDuplicates([doc_id])
     return found.unionByName(df.filter(F.col(doc_id).isNull()))
-

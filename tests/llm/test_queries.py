@@ -78,27 +78,27 @@ def test_pipeline_stages(spark, data):
     lines = stages["line dedup"](spark, kept, data).cache()
     assert lines.count() == kept.count() and lines.exceptAll(line_dedup.dedup(kept, n_chars="n_chars")).isEmpty()
     single = stages["simhash near-dedup"](spark, lines, data).cache()
-    prints = sorted((r["doc_id"], simhash.fingerprint(r["text"].encode(), 5)) for r in lines.collect())
+    prints = sorted((r["doc_id"], simhash.fingerprints(r["text"].encode(), 5, simhash.WORDS)) for r in lines.collect())
+    roots = {i: i for i, _ in prints}
 
-    def groups(bits):
-        roots = {i: i for i, _ in prints}
-
-        def find(i):
-            while roots[i] != i:
-                i = roots[i]
-            return i
-
-        for k, (a, p) in enumerate(prints):
-            for b, q in prints[k + 1 :]:
-                if (p ^ q).bit_count() <= bits:
-                    x, y = find(a), find(b)
-                    roots[max(x, y)] = min(x, y)
-        return {i: find(i) for i in roots}
+    def find(i):
+        while roots[i] != i:
+            i = roots[i]
+        return i
 
-    close, wide = groups(simhash.WIDE_BITS), groups(simhash.ACCEPT)
+    for k, (a, p) in enumerate(prints):
+        for b, q in prints[k + 1 :]:
+            if sum((x ^ y).bit_count() for x, y in zip(p, q)) <= simhash.WIDE_ACCEPT:
+                x, y = find(a), find(b)
+                roots[max(x, y)] = min(x, y)
     left = {r["doc_id"] for r in single.collect()}
-    assert single.count() == len(left) <= len(set(close.values())) and left <= set(close.values())
-    assert set(wide.values()) <= left  # only what a link explains is gone
+    groups = {find(i) for i in roots}
+    assert single.count() == len(left) and groups <= left  # only what a link explains is gone
+    first = {}
+    for i, p in prints:
+        first.setdefault(tuple(p), i)
+    assert left <= set(first.values())  # documents with equal prints leave one
+    assert len(left) <= len(groups) + 0.02 * len(prints)  # few links lack a shared key
     mixed = stages["mixing"](spark, single, data).cache()
     copies = {r["doc_id"]: r["copies"] for r in mixing.plan(single).collect()}
     assert Counter(r["doc_id"] for r in mixed.collect()) == Counter({i: n for i, n in copies.items() if n})
