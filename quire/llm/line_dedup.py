@@ -9,6 +9,14 @@ a word, and those long lines, are compared over all documents: by hash first, th
 hashes seen twice, by their bytes. Of equal chunks the first (smallest doc_id,
 then position) stays; the others are removed, and the lines around them join.
 
+Chunks miss a passage's edges, and a short passage as a whole. With ``passages``
+every run of lines with ``LONG`` words in all is found: from each line with a word the
+shortest run of so many words that begins there, and the one that ends there, are
+compared over all documents by the SHA-256 of their lines' SHA-256. In a passage of LONG words or more these runs
+cover every line, wherever it stands. Runs that an earlier place has are
+removed, so each line removed has an equal one before it, and the first of them stays.
+Lines without words do not count in a run; those inside it go with it.
+
 DataFrame functions only. Counting pre-aggregates on the chunk, so a passage
 that a third of all documents share is one partial row per task; marking joins
 on it, where Spark's adaptive execution splits hot keys.
@@ -40,8 +48,8 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def chunks(text: Column, make: Callable[[Column, Column], Column]) -> Column:
-    """The array of make(k, lines) over a text's chunks: k from 0, and the chunk's lines.
+def chunks(text: Column, make: Callable[[Column, Column, Column], Column]) -> Column:
+    """The array of make(k, first, lines) over a text's chunks: k from 0, the number of the chunk's first line, and its lines.
 
     All in one expression over the text, so that a long text is never copied into
     each of its chunks' rows.
@@ -54,7 +62,7 @@ def chunks(text: Column, make: Callable[[Column, Column], Column]) -> Column:
     def runs(lines: Column, e: Column) -> Column:
         def one(x: Column, k: Column) -> Column:
             first = F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1)
-            return _bind(F.slice(lines, first + 1, x - first + 1), lambda own: make(k, own))
+            return _bind(first, lambda f: _bind(F.slice(lines, f + 1, x - f + 1), lambda own: make(k, f, own)))
 
         return F.transform(e, one)
 
@@ -87,7 +95,7 @@ def _compared(own: Column) -> Column:
 def _chunk_rows(docs: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
     """Rows (doc_id, k, value) of the chunks that are compared; value is made of the chunk's text."""
 
-    def make(k: Column, own: Column) -> Column:
+    def make(k: Column, first: Column, own: Column) -> Column:
         return F.when(_compared(own), F.struct(k.alias("k"), value(F.array_join(own, "\n")).alias("value")))
 
     found = F.filter(chunks(F.col("text"), make), lambda c: c.isNotNull())
@@ -111,21 +119,102 @@ def repeats(docs: DataFrame) -> DataFrame:
     return found
 
 
-def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None, removed: str | None = None) -> DataFrame:
-    """df with repeated chunks removed from its text.
+def windows(text: Column) -> Column:
+    """The array of (key, start, end) of a text's shortest runs of LONG words, from each line with a word onwards and backwards.
+
+    A run of one line is a chunk already and left out.
+    """
+
+    def words(lines: Column) -> Column:
+        counted = F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_count(x, F.lit(WORD)).alias("n"), x.alias("x")))
+        return F.transform(F.filter(counted, lambda c: c["n"] > 0), lambda c: F.struct(c["i"], c["n"], F.sha2(c["x"], 256).alias("d")))
+
+    def reach(own: Column) -> Column:
+        """How many of these lines, from the first on, have LONG words; 0 if all of them have fewer."""
+        state = lambda n, at, done: F.struct(n.cast("long").alias("n"), at.cast("int").alias("at"), done.alias("done"))
+        step = lambda a, c: F.when(a["done"], a).otherwise(state(a["n"] + c["n"], a["at"] + 1, a["n"] + c["n"] >= LONG))
+        return F.aggregate(own, state(F.lit(0), F.lit(0), F.lit(False)), step, lambda a: F.when(a["done"], a["at"]).otherwise(0))
+
+    def run(w: Column, at: Column, n: Column) -> Column:
+        """The run of n lines from the one at ``at``; LONG lines with a word have LONG words."""
+        own = F.slice(w, at + 1, n)
+        key = F.unhex(F.sha2(F.array_join(F.transform(own, lambda c: c["d"]), ""), 256))
+        return F.struct(key.alias("key"), F.get(w, at)["i"].alias("start"), F.get(w, at + n - 1)["i"].alias("end"))
+
+    def found(w: Column) -> Column:
+        onward = F.transform(w, lambda c, p: F.struct(p.alias("p"), reach(F.slice(w, p + 1, LONG)).alias("n")))
+
+        def back(p: Column) -> Column:
+            low = F.greatest(p - (LONG - 1), F.lit(0))
+            return _bind(reach(F.reverse(F.slice(w, low + 1, p - low + 1))), lambda n: F.struct((p - n + 1).alias("p"), n.alias("n")))
+
+        both = F.array_distinct(F.concat(onward, F.transform(w, lambda c, p: back(p))))
+        return F.transform(F.filter(both, lambda b: b["n"] > 1), lambda b: run(w, b["p"], b["n"]))
+
+    # a text too short for LONG words is not searched
+    return F.when(F.length(text) >= 2 * LONG - 1, _bind(words(F.split(text, "\n")), found))
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, start, end) of runs of lines to remove; docs has doc_id (long) and text."""
+    rows = docs.filter("doc_id is not null and text is not null").select("doc_id", F.explode(windows(F.col("text"))).alias("w"))
+    rows = materialize(rows.select("doc_id", "w.*"), "line-windows")
+    place = F.col("doc_id").cast("decimal(38,0)") * PLACE + F.col("start")
+    first = rows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
+    first = materialize(first.select("key", "first"), "line-window-first")
+    marked = rows.join(first.hint("shuffle_hash"), "key").filter(place > F.col("first"))
+    found = materialize(marked.select("doc_id", "start", "end").distinct(), "line-passages")
+    remove(rows, first)
+    return found
+
+
+def _merged(runs: Column) -> Column:
+    """Runs (start, end), in order, with overlapping and adjoining ones joined."""
 
-    n_chars names a column to hold the new length, removed one to append with the number of chunks removed.
+    def step(a: Column, r: Column) -> Column:
+        last = F.element_at(a, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
+        return (
+            F.when(F.size(a) == 0, F.array(r))
+            .when(last["end"] + 1 >= r["start"], F.concat(F.slice(a, 1, F.size(a) - 1), F.array(joined)))
+            .otherwise(F.concat(a, F.array(r)))
+        )
+
+    return F.aggregate(runs, F.array().cast("array<struct<start:int,end:int>>"), step)
+
+
+def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None, removed: str | None = None, whole: bool = False) -> DataFrame:
+    """df with repeated chunks removed from its text, and if ``whole`` every repeated run of lines with LONG words.
+
+    n_chars names a column to hold the new length, removed one to append with the number of chunks that lost lines.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     names = private(df, "id", "gone", "new")
-    gone = repeats(docs).groupBy("doc_id").agg(F.collect_set("k").alias(names["gone"])).withColumnRenamed("doc_id", names["id"])
-    gone = materialize(gone, "line-gone")
+    runs = passages(docs) if whole else None
+    gone = repeats(docs).groupBy("doc_id").agg(F.collect_set("k").alias("ks"))
+    if runs is None:
+        gone = gone.withColumn("runs", F.array().cast("array<struct<start:int,end:int>>"))
+    else:
+        runs = runs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("all"))
+        gone = gone.join(runs.select("doc_id", _merged(F.col("all")).alias("runs")), "doc_id", "full")
+        gone = gone.select("doc_id", *(F.coalesce(c, F.array().cast(gone.schema[c].dataType)).alias(c) for c in ("ks", "runs")))
+    gone = materialize(gone.select(F.col("doc_id").alias(names["id"]), F.struct("ks", "runs").alias(names["gone"])), "line-gone")
     joined = df.join(gone.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col(names["id"]), "left")
-    own = chunks(F.col(text), lambda k, lines: F.when(~F.array_contains(names["gone"], k), lines))
-    rebuilt = F.array_join(F.flatten(F.filter(own, lambda c: c.isNotNull())), "\n")
-    # a column of its own: text and length come from one evaluation
-    joined = joined.withColumn(names["new"], F.when(F.col(names["gone"]).isNull(), F.col(text)).otherwise(rebuilt))
-    new = F.col(names["new"])
+    ks, cut = F.col(names["gone"])["ks"], F.col(names["gone"])["runs"]
+
+    def left(k: Column, first: Column, own: Column) -> Column:
+        stays = lambda x, j: ~F.exists(cut, lambda r: (first + j).between(r["start"], r["end"]))
+        kept = F.when(F.array_contains(ks, k), F.slice(own, 1, 0)).when(F.size(cut) == 0, own).otherwise(F.filter(own, stays))
+        return _bind(kept, lambda x: F.struct(x.alias("lines"), (F.size(x) < F.size(own)).alias("lost")))
+
+    def rebuilt(own: Column) -> Column:
+        text = F.array_join(F.flatten(F.transform(own, lambda c: c["lines"])), "\n")
+        return F.struct(text.alias("text"), F.size(F.filter(own, lambda c: c["lost"])).alias("lost"))
+
+    # a column of its own: text, length and count come from one evaluation
+    same = F.struct(F.col(text).alias("text"), F.lit(0).alias("lost"))
+    joined = joined.withColumn(names["new"], F.when(F.col(names["gone"]).isNull(), same).otherwise(_bind(chunks(F.col(text), left), rebuilt)))
+    new = F.col(names["new"])["text"]
     out = []
     for c in df.columns:
         if c == text:
@@ -135,5 +224,5 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: st
         else:
             out.append(F.col(c))
     if removed:
-        out.append(F.coalesce(F.size(names["gone"]), F.lit(0)).alias(removed))
+        out.append(F.coalesce(F.col(names["new"])["lost"], F.lit(0)).alias(removed))
     return joined.select(*out)

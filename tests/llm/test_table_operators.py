@@ -242,6 +242,31 @@ def test_line_dedup_odd_rows(spark):
     assert line_dedup.dedup(df.limit(0)).count() == 0
 
 
+def test_line_dedup_whole_passages(spark):
+    """Of a passage over 50 words no line is left but in its first place; one below 50 words stays."""
+    rng = random.Random(3)
+    line = lambda n: " ".join(f"u{rng.randrange(10**9)}" for _ in range(n))
+    passages = [[line(20) for _ in range(k)] for k in (3, 5, 10) for _ in range(20)] + [[line(60), line(5)], [line(9), "", line(45)], [line(24)] * 6]
+    short = line(49)
+    docs, want = {}, {}
+    for i, p in enumerate(passages):
+        for d in (2 * i, 2 * i + 1):
+            before, after = [line(rng.randrange(1, 30)) for _ in range(4)], [line(rng.randrange(1, 30)) for _ in range(4)]
+            before.append(short)
+            before.append(line(3))
+            docs[d] = "\n".join([*before, *p, *after])
+            want[d] = "\n".join([*before, *([] if d % 2 else p), *after])
+    last = len(passages) - 1
+    want[2 * last] = None  # a passage that repeats within itself
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["text"], r["n"]) for r in line_dedup.dedup(df, removed="n", whole=True).collect()}
+    assert all(got[d][0] == w for d, w in want.items() if w is not None and d % 2 == 0)
+    for d, w in want.items():
+        if d % 2:
+            assert got[d][0] == w and got[d][1] > 0
+    assert passages[last][0] in got[2 * last][0].split("\n")
+
+
 # mixing
 
 
