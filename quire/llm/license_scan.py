@@ -5,7 +5,10 @@ longest increasing subsequence of the anchors is kept, and the gaps between
 kept anchors are aligned the same way, recursively (common words at the ends of
 a gap first; a gap without anchors by a longest common subsequence). Coverage is the share of
 the template's words that found a partner; a template is reported where it is
-covered to ``COVERAGE`` or more.
+covered to ``COVERAGE`` or more, or wholly if it has at most ``SHORT`` words.
+Besides, a copy must have the words that tell a license from its neighbours: its
+names, its version numbers and a word of its own clauses; and it must not hold, between its
+words, those that make it another license (``license_texts``).
 
 Where to align. A copy that lacks at most a share of 1 - COVERAGE of the words
 must hold one of the template's longest words (one more than may be missing);
@@ -30,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quire.llm.common import arrow_map, bounded_batches
-from quire.llm.license_texts import TEMPLATES
+from quire.llm.license_texts import CLAUSES, NAMES, QUALIFIERS, TEMPLATES
 
 COVERAGE = 0.8
+#: Templates of so many words are notices: each of their words counts.
+SHORT = 20
 
 FOUND = T.ArrayType(
     T.StructType(
@@ -45,6 +50,7 @@ FOUND = T.ArrayType(
         ]
     )
 )
+_VERSION = re.compile(r"\d+\.\d+")
 _EDGES = re.compile(r"^\W+|\W+$")
 
 
@@ -125,6 +131,11 @@ class Template:
     def __init__(self, name: str, text: str, coverage: float) -> None:
         self.name, self.words = name, [w for w in normalized(text) if w]
         n = len(self.words)
+        self.coverage = coverage = 1.0 if n <= SHORT else coverage
+        numbers = {w for v, w in zip(["", *self.words], self.words) if _VERSION.fullmatch(w) or (v == "version" and w.isdigit())}
+        own, foreign = CLAUSES.get(name, (frozenset(), frozenset()))
+        self.needs = [{w} for w in sorted(NAMES.intersection(self.words) | numbers)] + ([own] if own else [])
+        self.refuses = foreign.union(*(QUALIFIERS[w] for w in QUALIFIERS if w in self.words))
         self.missing = int(n * (1 - coverage) + 1e-9)
         self.musts = sorted(self.words, key=lambda w: (-len(w), w))[: self.missing + 1]
         counts = Counter(self.words)
@@ -147,9 +158,19 @@ class Template:
         return out
 
 
+    def holds(self, words: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether an alignment with words is a copy of this license, not of a neighbour."""
+        if not pairs or len(pairs) < self.coverage * len(self.words):
+            return False
+        matched = {self.words[j] for _, j in pairs}
+        if any(matched.isdisjoint(need) for need in self.needs):
+            return False
+        at = {i for i, _ in pairs}
+        return not any(words[i] in self.refuses for i in range(pairs[0][0], pairs[-1][0]) if i not in at)
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float) -> None:
-        self.coverage = coverage
         self.templates = [Template(k, v, coverage) for k, v in templates.items()]
         self.musts = ahocorasick.Automaton()
         for i, t in enumerate(self.templates):
@@ -171,7 +192,7 @@ class Scanner:
             t = self.templates[i]
             for start, stop in t.windows(words):
                 pairs = align(words[start:stop], t.words)
-                if pairs and len(pairs) >= self.coverage * len(t.words):
+                if t.holds(words[start:stop], pairs):
                     found.append((len(pairs), i, len(pairs) / len(t.words), start + pairs[0][0], start + pairs[-1][0] + 1))
         out: list[tuple] = []
         for n, i, coverage, start, stop in sorted(found, key=lambda x: (-x[0], -x[2], x[1], x[3])):

@@ -4,9 +4,14 @@ TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "BSD-notice": "Released under the BSD License.",
+    "Apache-notice": "Released under the Apache License.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
@@ -36,5 +41,50 @@ ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
     "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
 the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions
 and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
-and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED
+BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED
+TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "CC0-1.0": """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to
+this software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy of
+the CC0 Public Domain Dedication along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and
+to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+}
+# texts that their publishers word as others but for a few words
+for _name, _word in (("LGPL-3.0-or-later", "Lesser"), ("AGPL-3.0-or-later", "Affero")):
+    TEMPLATES[_name] = TEMPLATES["GPL-3.0-or-later"].replace("General Public", f"{_word} General Public")
+_clause = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission. THIS SOFTWARE IS"""
+TEMPLATES["BSD-3-Clause"] = TEMPLATES["BSD-2-Clause"].replace("THIS SOFTWARE IS", _clause)
+TEMPLATES["MIT-0"] = " ".join([TEMPLATES["MIT"].split(", subject to")[0] + ".", "THE SOFTWARE IS PROVIDED" + TEMPLATES["MIT"].split("THE SOFTWARE IS PROVIDED")[1]])
+TEMPLATES["0BSD"] = " ".join([TEMPLATES["ISC"].split(", provided that")[0] + ".", "THE SOFTWARE IS PROVIDED" + TEMPLATES["ISC"].split("THE SOFTWARE IS PROVIDED")[1]])
+
+#: Words that name a license: a copy must have them.
+NAMES = frozenset("mit apache bsd isc mozilla cc0 gnu lesser affero creative commons later".split())
+#: By a word of the template: words that make it another license where a copy has them and the template does not.
+QUALIFIERS = {
+    "gnu": frozenset(["lesser", "library", "affero"]),
+    **dict.fromkeys(("cc", "creative"), frozenset("noncommercial non-commercial sharealike share-alike noderivatives noderivs nc sa nd".split())),
+}
+#: Neighbours that lack or add a clause: words of which a copy must have one, and words that it must not add.
+CLAUSES = {
+    "MIT": (frozenset(["substantial", "portions", "included"]), frozenset(["advertising"])),
+    "MIT-0": (frozenset(), frozenset(["substantial", "portions"])),
+    "ISC": (frozenset(["appear", "copies"]), frozenset()),
+    "0BSD": (frozenset(), frozenset(["appear", "copies"])),
+    "BSD-2-Clause": (frozenset(), frozenset(["endorse", "promote", "advertising"])),
+    "BSD-3-Clause": (frozenset(["endorse", "promote"]), frozenset(["advertising"])),
 }

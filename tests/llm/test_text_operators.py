@@ -80,6 +80,26 @@ def test_license_finds_all_templates_and_copies():
     assert s.scan(None) == [] and s.scan("") == []
 
 
+def test_license_neighbours_are_told_apart():
+    s = license_scan.Scanner(TEMPLATES, license_scan.COVERAGE)
+    names = lambda text: [x[0] for x in s.scan(f"Some prose before it.\n{text}\nAnd some after.")]
+    assert names("Licensed under CC BY 4.0.") == ["CC-BY-4.0-short"]
+    assert names("Released under the BSD License.") == ["BSD-notice"] and names("Released under the Apache License.") == ["Apache-notice"]
+    assert names("Released under the Zlib License.") == names("Licensed under CC BY-ND 4.0.") == names("Licensed under CC BY 3.0.") == []
+    work = "This work is licensed under a Creative Commons %s International License."
+    assert names(work % "Attribution-NonCommercial-ShareAlike 4.0") == ["CC-BY-NC-SA-4.0-notice"]
+    for other in ("Attribution-NoDerivatives 4.0", "Attribution NonCommercial 4.0", "Attribution 3.0"):
+        assert names(work % other) == []
+    gpl = TEMPLATES["GPL-3.0-or-later"]
+    for word, name in (("Lesser", "LGPL-3.0-or-later"), ("Affero", "AGPL-3.0-or-later")):
+        assert names(gpl.replace("General Public", f"{word} General Public")) == [name]
+    assert names(gpl.replace("General Public", "Library General Public")) == names(gpl.replace("version 3", "version 2")) == []
+    bsd = TEMPLATES["BSD-3-Clause"]
+    assert names(bsd) == ["BSD-3-Clause"] and names(bsd.replace("3. Neither", "3. All advertising\nNeither")) == []
+    assert "advised" in license_scan.normalized(TEMPLATES["BSD-2-Clause"])
+    assert names(TEMPLATES["MIT"].split(", subject to")[0] + TEMPLATES["MIT"].split("the Software.")[-1]) == ["MIT-0"]
+
+
 def test_license_frame(spark):
     got = license_scan.scan(odd_frame(spark)).collect()
     assert len(got) == len(ODD) + 2 and all(r["licenses"] == [] for r in got) and got[0]["found"] == "own"
