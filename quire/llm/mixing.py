@@ -17,8 +17,8 @@ multivariate-hypergeometric splitting tree splits the exact block counts of the
 sources recursively over the output shards: at each node the blocks of the left
 half are drawn from the node's counts. Each shard then draws its blocks, in
 permuted order and disjoint, and its rows are shuffled locally by a seeded hash.
-The tree works on counts of at most ``STRATA`` strata (sources; smaller ones are
-pooled if there are more) and ``LEAVES`` shards, whatever the size of the data.
+The tree works on counts of at most ``STRATA`` strata (sources; they are
+pooled by hash if there are more) and ``LEAVES`` shards, whatever the size of the data.
 
 Everything depends on the seed and the rows only, so reruns agree.
 
@@ -34,6 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import WORD, materialize, private
 
@@ -211,7 +212,15 @@ def assign_shards(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) ->
         raise ValueError(f"between 1 and {LEAVES} shards; write each as many files for more")
     taken = planned.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
     taken = taken.withColumn("block", F.shiftright("h", 62 - 8).cast("int"))  # BLOCKS hash buckets
-    blocks = materialize(taken.select("source", "copy", "block").distinct().withColumn("stratum", F.pmod(F.xxhash64("source"), F.lit(STRATA)).cast("int")), "mix-blocks")
+    blocks = materialize(taken.select("source", "copy", "block").distinct(), "mix-blocks")
+    sources = blocks.select("source").distinct().limit(STRATA + 1).collect()  # a bounded number of names
+    if len(sources) <= STRATA:
+        names = sorted((r["source"] for r in sources), key=lambda s: (s is None, str(s)))
+        kind = T.StructType([T.StructField("ss", blocks.schema["source"].dataType), T.StructField("stratum", T.IntegerType())])
+        own = F.broadcast(planned.sparkSession.createDataFrame([(s, i) for i, s in enumerate(names)], kind))
+        blocks = blocks.join(own, _same(F.col("source"), F.col("ss"))).drop("ss")
+    else:
+        blocks = blocks.withColumn("stratum", F.pmod(F.xxhash64("source"), F.lit(STRATA)).cast("int"))
     counts = {r["stratum"]: r["n"] for r in blocks.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}  # STRATA rows at most
     strata = sorted(counts)
     quotas = split_counts(np.array([counts[s] for s in strata]), shards, seed)
@@ -225,6 +234,14 @@ def assign_shards(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) ->
     return out.withColumn("position", F.xxhash64(F.lit(seed), "shard", "h", "copy"))
 
 
+def dealt(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) -> DataFrame:
+    """planned, each row with an array of (copy, shard, position) for its taken copies; empty if it has none."""
+    rows = [c for c in planned.columns if c != "copies"]
+    each = assign_shards(planned, shards, seed).groupBy(*rows).agg(F.array_sort(F.collect_list(F.struct("copy", "shard", "position"))).alias("dealt"))
+    none = planned.filter("copies <= 0").select(*rows)
+    return each.unionByName(none.withColumn("dealt", F.array().cast(each.schema["dealt"].dataType)))
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", shards: int = LEAVES, seed: int = SEED, arrange: int = 0, **how) -> DataFrame:
     """The mixed corpus: the rows of docs, each as often as it is taken; columns of docs, shard and position last
     (a column of docs with one of these names is replaced).

@@ -60,12 +60,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per document, with the words of it that the mix takes."""
-    from quire.llm import mixing
-
-    planned = mixing.plan(_table(spark, sf_dir, "documents"))
-    rows = planned.withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    """A row per document, with the words of it that the mix takes, and the shard and position of each copy."""
+    from quire.llm import common, mixing
+
+    planned = common.materialize(mixing.plan(_table(spark, sf_dir, "documents")), "mix-plan")
+    rows = mixing.dealt(planned).withColumn("each", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
+    return rows.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("dealt")).alias("taken"),
+        F.col("dealt.shard").alias("shards"), F.col("dealt.position").alias("positions"),
+    )
 
 
 #: The input's files are dealt to so many arrivals at most.

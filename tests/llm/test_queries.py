@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -68,6 +69,25 @@ def test_op5_is_brute_force(spark, data):
     assert {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in got} == {(i, f"{p:016x}", find(i)) for i, p in prints.items()}
 
 
+def test_op7_deals_every_copy(spark, data):
+    """Each taken copy has a shard and a position; the shards' block counts are those of the splitting tree over single sources."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    planned = mixing.plan(docs).cache()
+    copies = {r["doc_id"]: r["copies"] for r in planned.collect()}
+    got = {r["doc_id"]: r for r in entry.queries()["op7_mixing"](spark, data).collect()}
+    assert {i: len(r["shards"]) for i, r in got.items()} == copies
+    assert all(len(r["positions"]) == len(r["shards"]) and r["taken"] == r["size"] * len(r["shards"]) for r in got.values())
+    blocks = {}
+    for r in planned.collect():
+        for c in range(r["copies"]):
+            blocks.setdefault(r["source"], {})[c + 1, r["h"] >> 54] = got[r["doc_id"]]["shards"][c]
+    names = sorted(blocks)
+    want = mixing.split_counts(np.array([len(blocks[s]) for s in names]), mixing.LEAVES, mixing.SEED)
+    for s, row in zip(names, want):
+        dealt = Counter(blocks[s].values())
+        assert [dealt[k] for k in range(mixing.LEAVES)] == row.tolist()
+
+
 def test_pipeline_stages(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").cache()
     columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
