@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,41 +15,73 @@ from pyspark.sql import types as T
 
 #: A word is a maximal run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of one Arrow batch handed to a Python worker; with very long rows this bounds its memory.
-ARROW_ROWS = 256
+#: Bytes of one Arrow batch handed to a Python worker: this bounds its memory, however long single texts are.
+ARROW_BYTES = 16 << 20
+#: Paths of intermediate tables, by the innermost scratch() they were made in.
+_scratch: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (if unset, as in tests) a new local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local master gets a new local folder (tests); on a cluster
+    that would be another folder on each machine, so it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/quire-{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, result: bool = False) -> str:
+    """A new path in the shared folder; a result of the innermost scratch() belongs to the one around it."""
+    path = f"{shared_folder(spark)}/quire-{name}-{uuid.uuid4().hex}"
+    owners = _scratch[:-1] if result else _scratch
+    if owners:
+        owners[-1].append(path)
+    return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends in files that outlive any executor."""
-    path = new_path(df.sparkSession, name)
+    path = new_path(df.sparkSession, name, result)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.quire_path = path
+    return out
 
 
 def remove(*frames: DataFrame) -> None:
-    """Delete the files behind frames that materialize() made and that nothing lazy reads any more."""
+    """Delete the files behind frames that materialize() returned and that nothing lazy reads any more."""
     for df in frames:
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
+        _delete(df.sparkSession, df.quire_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at its end, so results must have been written by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            _delete(spark, path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Keep Arrow batches small enough for whole, very long texts (or larger, for short rows)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, to one value that no operator changes; a smaller bound of the session's own stays."""
+    own = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")).lower().removesuffix("b")
+    if not own.isdigit() or int(own) > ARROW_BYTES or int(own) <= 0:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def texts(column: pa.Array) -> list[bytes | None]:

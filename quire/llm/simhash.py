@@ -17,11 +17,16 @@ both partners of i have two errors, the fourth segment is untouched too, and i
 is its partner). Else every segment has one error, and the codeword indices of
 three segments are one more key.
 
-Wide prints. A similarity of 0.8 of word shingles leaves too many differing bits
-for 64 of them. ``keep_first`` takes WORDS prints of 64 bits, each from its own
-mix of the same shingle hashes: a pair is a candidate if it shares a key of any
-of them, and is linked if at most WIDE_ACCEPT of all bits differ, which is the
-angle between two shingle sets of that similarity.
+Similarity. A Jaccard similarity of 0.8 of word shingles leaves about ten of 64
+bits apart, too many for those keys. ``keep_first`` decodes softly: two prints of
+64 bits, the second from a mix of the same hashes, give SEGMENTS segments of 24
+votes (how far each bit is from its majority), and each segment is decoded to the
+NEAREST codewords of the extended Golay code by their correlation with the votes,
+so the bits that are most likely to flip count least. Any two segments are a key:
+the COMBINED pairs of codewords that lose least correlation. A pair is lost only
+if it agrees in fewer than two segments; of pairs just at 0.8 that is 2 %, at
+0.85 under 1 % (README has measured figures). Candidates are verified by the
+exact similarity of their sets of shingles, so nothing below the threshold links.
 
 Work per key. Only distinct prints are keyed. Members of a key are cut into
 blocks of at most ``BLOCK`` and every pair of blocks is one tile; a tile is
@@ -32,11 +37,14 @@ are then found by alternating large-star and small-star steps on DataFrames.
 Defined results: null and empty texts have fingerprint zero, linked like any
 other; a null doc_id is carried, and never names a component while another id
 is there; repeated rows stay repeated; an empty table gives an empty result.
+``keep_first`` compares texts, whatever their ids: rows that share a doc_id and
+differ in text are documents of their own; of repeated rows one stays; texts with
+the same words are one class, null and empty ones too; rows without a doc_id stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -46,45 +54,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import arrow_map, bounded_batches, materialize, private, remove
+from quire.llm.common import arrow_map, bounded_batches, materialize, private, remove, scratch
 from quire.llm.components import components
 
 MAX_BITS, WIDE_BITS = 3, 4
 SEED = 42
-#: Prints of keep_first, and the bits of all of them in which linked texts may differ: 30 of 192 is an angle of 28 degrees, a
-#: cosine of 0.88, a Jaccard similarity of 0.79.
-WORDS, WIDE_ACCEPT = 3, 30
+#: keep_first: shingle similarity that links, prints, segments of 24 votes, codewords of a segment, pairs of them that are keys.
+SIMILARITY, WORDS, SEGMENTS, NEAREST, COMBINED = 0.8, 2, 5, 4, 8
+#: Candidates differ in at most so many of the 128 bits of both prints; at a similarity of 0.8 that is four deviations above the mean.
+NEAR_BITS = 36
 #: Members of a key that one tile side holds at most.
 BLOCK = 2048
 #: Cut keys are broadcast only up to this many.
 FEW_KEYS = 10_000
-#: Rows of a batch when rows are two numbers.
-SHORT_ROWS = 4096
 #: Generator polynomial of the binary Golay code (fixed value).
 GOLAY = 0b101011100011
 
 
-def fingerprints(text: bytes | None, shingle: int, words: int = 1) -> list[int]:
-    """Unsigned 64-bit SimHashes over word shingles, repeats included; the first is over the hashes themselves."""
+def shingle_hashes(text: bytes | None, shingle: int) -> tuple[bytes, list[int]]:
+    """The lower-cased words joined by spaces, and the XXH64 of each word shingle, repeats included."""
     tokens = text.lower().split() if text else []  # bytes.lower() changes A-Z only, bytes.split() is ASCII white space
-    if not tokens:
-        return [0] * words
+    whole = b" ".join(tokens)
     if len(tokens) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(tokens), SEED)]
-    else:
-        whole = b" ".join(tokens)
-        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
-        starts = [0, *ends[: len(tokens) - shingle].tolist()]
-        stops = (ends[shingle - 1 :] - 1).tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)]
-    total, n = np.zeros((words, 64), np.int64), len(hashes)
-    for i in range(0, n, 1 << 16):
+        return whole, [xxhash.xxh64_intdigest(whole, SEED)] if tokens else []
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
+    starts = [0, *ends[: len(tokens) - shingle].tolist()]
+    stops = (ends[shingle - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    return whole, [digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)]
+
+
+def votes(hashes: list[int], words: int = 1) -> np.ndarray:
+    """For each bit of ``words`` prints by how much its ones outnumber its zeros; the first print is over the hashes themselves."""
+    total = np.zeros((words, 64), np.int64)
+    for i in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[i : i + (1 << 16)], np.uint64)
         for k in range(words):
             bits = np.unpackbits(_mixed(part, k).astype(">u8").view(np.uint8)).reshape(-1, 64)
             total[k] += bits.sum(axis=0, dtype=np.int64)
-    return [int.from_bytes(np.packbits(2 * t > n).tobytes(), "big") for t in total]
+    return 2 * total - len(hashes)
+
+
+def _print(votes_: np.ndarray) -> int:
+    return int.from_bytes(np.packbits(votes_ > 0).tobytes(), "big")
+
+
+def fingerprints(text: bytes | None, shingle: int, words: int = 1) -> list[int]:
+    """Unsigned 64-bit SimHashes over word shingles, repeats included."""
+    return [_print(v) for v in votes(shingle_hashes(text, shingle)[1], words)]
 
 
 def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -101,20 +118,14 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return fingerprints(text, shingle)[0]
 
 
-def add_fingerprints(df: DataFrame, text: str, names: list[str], shingle: int) -> DataFrame:
-    """df with as many fingerprints as there are names, as signed longs."""
+def add_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", shingle: int = 3) -> DataFrame:
+    """df with the fingerprint as a signed long."""
     bounded_batches(df.sparkSession)
 
     def rows(column: list[bytes | None]) -> dict[str, list]:
-        found = np.array([fingerprints(x, shingle, len(names)) for x in column], np.uint64).reshape(-1, len(names)).view(np.int64)
-        return {n: found[:, k] for k, n in enumerate(names)}
+        return {out: np.array([fingerprint(x, shingle) for x in column], np.uint64).view(np.int64)}
 
-    return arrow_map(df, [text], T.StructType([T.StructField(n, T.LongType()) for n in names]), rows)
-
-
-def add_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", shingle: int = 3) -> DataFrame:
-    """df with the fingerprint as a signed long."""
-    return add_fingerprints(df, text, [out], shingle)
+    return arrow_map(df, [text], T.StructType([T.StructField(out, T.LongType())]), rows)
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -206,19 +217,8 @@ def tile_forest(prints: np.ndarray, split: int, bits: int) -> list[tuple[int, in
     return edges
 
 
-def links(df: DataFrame, ident: str, prints: list[str], at: int = 0, bits: int = MAX_BITS, accept: int | None = None) -> DataFrame:
-    """Rows (a long, b long) of idents that connect whatever rows of df are linked through keys of the print numbered ``at``.
-
-    A link is a pair within ``accept`` bits over all prints, by default ``bits``. With
-    one print, links of at most ``bits`` bits are found without loss; wider ones
-    where the pair shares a key. df holds each ident once.
-    """
-    accept = bits if accept is None else accept
-    if bits > WIDE_BITS:
-        raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
-    bounded_batches(df.sparkSession, SHORT_ROWS)
-    columns = list(dict.fromkeys([ident, *prints]))
-    keyed = materialize(candidate_keys(df, columns, columns.index(prints[at]), bits), "simhash-keys")
+def _tiles(keyed: DataFrame, ident: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of keyed by tile (key, x, y) and side (mine), sorted; and a table that can go when they have been read."""
     # only keys with more members than one tile side holds are cut into blocks; they are few, or joined by shuffle
     hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
     hot = materialize(hot.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-hot")
@@ -229,30 +229,13 @@ def links(df: DataFrame, ident: str, prints: list[str], at: int = 0, bits: int =
     tiles = (
         cut.withColumn("mine", mine)
         .withColumn("other", F.explode(every))
-        .select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", *columns)
+        .select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", *(c for c in keyed.columns if c != "key"))
     )
-    parts = tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "mine", ident)
-    of = [4 + columns.index(c) for c in prints]
-    who = 4 + columns.index(ident)
-
-    def compare(cols: list[np.ndarray]) -> pa.RecordBatch:
-        """The links of whole tiles."""
-        key, x, y, mine = cols[:4]
-        edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-        starts, stops = np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
-        own, names = np.stack([cols[c] for c in of], axis=1).view(np.uint64), cols[who]
-        pairs = starts[stops - starts == 2]
-        near = pairs[_apart(own[pairs], own[pairs + 1]) <= accept]
-        found_a, found_b = [names[near]], [names[near + 1]]
-        more = stops - starts > 2
-        for s, e in zip(starts[more].tolist(), stops[more].tolist(), strict=True):
-            split = int(np.searchsorted(mine[s:e], y[s], "left")) if x[s] != y[s] else e - s
-            got = tile_forest(own[s:e], split, accept)
-            if got:
-                pair = np.array(got) + s
-                found_a.append(names[pair[:, 0]])
-                found_b.append(names[pair[:, 1]])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
+    return tiles.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "mine", ident), hot
+
+
+def _over_tiles(compare: Callable[[dict[str, np.ndarray]], Iterator[pa.RecordBatch]], names: list[str]) -> Callable:
+    """A mapInArrow function that hands the columns of whole tiles to ``compare``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] = []
@@ -264,11 +247,57 @@ def links(df: DataFrame, ident: str, prints: list[str], at: int = 0, bits: int =
             last = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
             at = int(np.argmax(last))  # the last tile may go on in the next batch
             if at:
-                yield compare([c[:at] for c in cols])
+                yield from compare(dict(zip(names, (c[:at] for c in cols), strict=True)))
             rest = [c[at:] for c in cols]
         if rest:
-            yield compare(rest)
+            yield from compare(dict(zip(names, rest, strict=True)))
+
+    return run
+
 
+def _bounds(tile: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, x, y = tile["key"], tile["x"], tile["y"]
+    edge = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
+    return np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
+
+
+def _split(tile: dict[str, np.ndarray], s: int, e: int) -> int:
+    """Where the second side of the tile in rows s to e begins, from s; its length if it has one side."""
+    x, y = tile["x"][s], tile["y"][s]
+    return int(np.searchsorted(tile["mine"][s:e], y, "left")) if x != y else e - s
+
+
+def _forest(ident: str, prints: list[str], accept: int, keys: bool = False) -> Callable:
+    """compare() for _over_tiles: spanning forests of the links in tiles, as (a, b), with their key if asked for."""
+
+    def compare(tile: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own, names = np.stack([tile[c] for c in prints], axis=1).view(np.uint64), tile[ident]
+        starts, stops = _bounds(tile)
+        pairs = starts[stops - starts == 2]
+        near = pairs[_apart(own[pairs], own[pairs + 1]) <= accept]
+        found = [np.stack([near, near + 1], axis=1)]
+        more = stops - starts > 2
+        for s, e in zip(starts[more].tolist(), stops[more].tolist(), strict=True):
+            got = tile_forest(own[s:e], _split(tile, s, e), accept)
+            if got:
+                found.append(np.array(got) + s)
+        at = np.concatenate(found)
+        out = [names[at[:, 0]], names[at[:, 1]]]
+        if keys:
+            out.insert(0, tile["key"][at[:, 0]])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["key", "a", "b"][-len(out) :])
+
+    return compare
+
+
+def links(df: DataFrame, fingerprint: str, bits: int = MAX_BITS) -> DataFrame:
+    """Rows (a long, b long) of fingerprints that connect whatever fingerprints of df are linked at ``bits``; df holds each once."""
+    if bits > WIDE_BITS:
+        raise ValueError(f"the keys find links of at most {WIDE_BITS} bits")
+    bounded_batches(df.sparkSession)
+    keyed = materialize(candidate_keys(df, [fingerprint], 0, bits), "simhash-keys")
+    parts, hot = _tiles(keyed, fingerprint)
+    run = _over_tiles(_forest(fingerprint, [fingerprint], bits), parts.columns)
     found = materialize(parts.mapInArrow(run, "a long, b long").filter("a != b").distinct(), "simhash-links")
     remove(keyed, hot)
     return found
@@ -278,14 +307,15 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """Rows (doc_id, fingerprint long, component_id) for every row of df; component_id is the smallest reachable doc_id."""
     own = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     printed = materialize(add_fingerprint(own, "text", shingle=shingle).drop("text"), "simhash")
-    distinct = materialize(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct, "fingerprint", ["fingerprint"], 0, bits), "a", "b")  # node, root: only of linked fingerprints
-    rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    rooted = materialize(rooted, "simhash-roots")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = materialize(rooted.join(named, "root").select("fingerprint", "component_id"), "simhash-classes")
+    with scratch(df.sparkSession):
+        distinct = materialize(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+        roots = components(links(distinct.select("fingerprint"), "fingerprint", bits), "a", "b")  # node, root: only of linked fingerprints
+        rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
+            "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
+        )
+        rooted = materialize(rooted, "simhash-roots")
+        named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+        classes = materialize(rooted.join(named, "root").select("fingerprint", "component_id"), "simhash-classes", result=True)
     return printed.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
@@ -294,29 +324,172 @@ def hex_digits(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def wide_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, words: int = WORDS, accept: int = WIDE_ACCEPT) -> DataFrame:
-    """Rows (least, root): for each class of documents with the same prints its smallest doc_id, and its group's.
+# similarity of shingle sets
+
+
+@lru_cache(1)
+def codewords() -> np.ndarray:
+    """The 4096 words of the extended Golay code as rows of 24 signs."""
+    message = np.arange(1 << 12) << 11
+    word = message ^ _syndromes(message)
+    word = word << 1 | np.bitwise_count(word) % 2
+    return 1 - 2 * (word[:, None] >> np.arange(23, -1, -1) & 1).astype(np.float32)
+
+
+def soft_decode(votes_: np.ndarray) -> np.ndarray:
+    """Rows of SEGMENTS * 24 votes as SEGMENTS signed longs: the NEAREST codewords of each segment (12 bits each, the best
+    first) and, above them, how much correlation the second to last lose (5 bits each, in 31sts of the row's largest loss)."""
+    n = len(votes_)
+    # sums of 24 votes are exact in single precision as long as they stay below 2 ** 24
+    kind = np.float32 if np.abs(votes_).max(initial=0) < (1 << 19) else np.float64
+    scores = votes_.reshape(-1, 24).astype(kind) @ codewords().T.astype(kind)
+    rows = np.arange(len(scores))
+    codes, values = np.zeros((len(scores), NEAREST), np.int64), np.zeros((len(scores), NEAREST), np.float64)
+    for k in range(NEAREST):
+        codes[:, k] = at = scores.argmax(axis=1)  # the first of equals
+        values[:, k] = scores[rows, at]
+        scores[rows, at] = -np.inf
+    loss = (values[:, :1] - values).reshape(n, SEGMENTS, NEAREST)
+    most = loss.max(axis=(1, 2), initial=0)
+    loss = np.floor(31 * loss / np.where(most > 0, most, 1)[:, None, None]).astype(np.int64).reshape(-1, NEAREST)
+    packed = np.zeros(len(rows), np.int64)
+    for k in range(NEAREST):
+        packed |= codes[:, k] << (12 * k)
+        if k:
+            packed |= loss[:, k] << (48 + 5 * (k - 1))
+    return packed.reshape(n, SEGMENTS)
+
+
+def soft_keys(packed: np.ndarray) -> np.ndarray:
+    """The keys of each row of soft_decode(): for every two segments the COMBINED pairs of codewords that lose least."""
+    codes = np.stack([packed >> (12 * k) & 0xFFF for k in range(NEAREST)], axis=2)
+    loss = np.stack([np.zeros_like(packed), *(packed >> (48 + 5 * k) & 31 for k in range(NEAREST - 1))], axis=2)
+    out = []
+    for number, (i, j) in enumerate((i, j) for i in range(SEGMENTS) for j in range(i)):
+        both = (codes[:, i, :, None] << 12 | codes[:, j, None, :]).reshape(len(packed), -1)
+        cost = (loss[:, i, :, None] + loss[:, j, None, :]).reshape(len(packed), -1)
+        least = np.argsort(cost, axis=1, kind="stable")[:, :COMBINED]
+        out.append(number << 24 | np.take_along_axis(both, least, 1))
+    return np.concatenate(out, axis=1)
+
+
+PRINTS, SOFT = [f"f{k}" for k in range(WORDS)], [f"s{k}" for k in range(SEGMENTS)]
+#: Texts soft-decoded at a time.
+CHUNK = 128
+
+
+def _sketches(df: DataFrame, shingle: int) -> DataFrame:
+    """df (with text) and for each text: 128 bits of its words' hash (h, h2), its prints, its soft-decoded segments."""
+    names = ["h", "h2", *PRINTS, *SOFT]
+
+    def rows(column: list[bytes | None]) -> dict[str, list]:
+        found = np.zeros((len(column), len(names)), np.int64)
+        for at in range(0, len(column), CHUNK):
+            part = []
+            for i, x in enumerate(column[at : at + CHUNK], at):
+                whole, hashes = shingle_hashes(x, shingle)
+                own = votes(hashes, WORDS)
+                part.append(own.reshape(-1)[: 24 * SEGMENTS])
+                found[i, : 2 + WORDS] = np.array([*divmod(xxhash.xxh3_128_intdigest(whole), 1 << 64), *map(_print, own)], np.uint64).view(np.int64)
+            found[at : at + len(part), 2 + WORDS :] = soft_decode(np.array(part))
+        return {n: found[:, k] for k, n in enumerate(names)}
+
+    return arrow_map(df, ["text"], T.StructType([T.StructField(n, T.LongType()) for n in names]), rows)
+
 
-    Rows without a doc_id belong to no class.
+def _soft_keyed(classes: DataFrame) -> DataFrame:
+    """Rows (key, h, *prints) for the keys of classes."""
+    names = ["key", "h", *PRINTS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = {n: c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns, strict=True)}
+            for at in range(0, batch.num_rows, 1 << 12):
+                part = {n: c[at : at + (1 << 12)] for n, c in cols.items()}
+                keys = soft_keys(np.stack([part[c] for c in SOFT], axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), *(pa.array(np.repeat(part[c], keys.shape[1])) for c in names[1:])], names=names)
+
+    return classes.select("h", *PRINTS, *SOFT).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def _apart_pairs(tile: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """compare() for _over_tiles: all near pairs (a, b) of a tile that are not in one group yet."""
+    own, names, group = np.stack([tile[c] for c in PRINTS], axis=1).view(np.uint64), tile["h"], tile["root"]
+    for s, e in zip(*(b.tolist() for b in _bounds(tile)), strict=True):
+        split = _split(tile, s, e)
+        for i in range(s, s + split):
+            first = i + 1 if split == e - s else s + split
+            near = np.flatnonzero((_apart(own[first:e], own[i]) <= NEAR_BITS) & (group[first:e] != group[i])) + first
+            if len(near):
+                a, b = np.minimum(names[i], names[near]), np.maximum(names[i], names[near])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _verified(pairs: DataFrame, own: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """pairs (a, b) with ``similar``: whether the sets of shingles of the two classes' texts have that Jaccard similarity.
+
+    Only the texts of classes in pairs are read again; a pair and its two sets meet by joins.
     """
-    names = [f"f{k}" for k in range(words)]
-    own = df.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    printed = add_fingerprints(own, "text", names, shingle).drop("text")
-    classes = materialize(printed.groupBy(*names).agg(F.min("doc_id").alias("least")), "simhash-classes")
-    edges = None
-    for k in range(words):
-        found = links(classes, "least", names, k, WIDE_BITS, accept)
-        edges = found if edges is None else edges.unionByName(found)
-    roots = components(edges.distinct(), "a", "b").select(F.col("node").alias("least"), "root")
-    return classes.select("least").join(roots, "least", "left").select("least", F.coalesce("root", "least").alias("root"))
+    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+    ends = ends.join(classes.select("h", "least.*"), "h").withColumnsRenamed({"doc_id": "d", "t": "u"})
+    texts_ = own.withColumn("t", F.xxhash64("text")).join(ends, (F.col("doc_id") == F.col("d")) & (F.col("t") == F.col("u"))).select("h", "text")
+
+    def rows(column: list[bytes | None]) -> dict[str, list]:
+        return {"grams": [np.unique(np.array(shingle_hashes(x, shingle)[1], np.uint64)).view(np.int64) for x in column]}
 
+    sets = arrow_map(texts_, ["text"], T.StructType([T.StructField("grams", T.ArrayType(T.LongType()))]), rows)
+    sets = materialize(sets.groupBy("h").agg(F.first("grams").alias("grams")), "simhash-grams")
+    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("grams").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    united = F.size("x") + F.size("y") - F.col("shared")
+    return both.withColumn("shared", shared).select("a", "b", (F.col("shared") + 1e-9 >= similarity * united).alias("similar"))
 
-def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, words: int = WORDS, accept: int = WIDE_ACCEPT) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id (all rows of that id, once).
+
+def groups(own: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """Rows (doc_id, t): the first document of each group of near-duplicates among own (doc_id, text), its text's xxhash64 as t.
+
+    Groups are the components of all candidate pairs that verify. A first pass takes
+    of each key a spanning forest of candidates; where one of these fails, a second
+    one takes all pairs of that key that are not in one group by then.
+    """
+    bounded_batches(own.sparkSession)
+    printed = _sketches(own, shingle).select("doc_id", F.xxhash64("text").alias("t"), "h", "h2", *PRINTS, *SOFT)
+    first = F.min(F.struct("doc_id", "t")).alias("least")
+    classes = materialize(printed.groupBy("h", "h2").agg(first, *(F.min(c).alias(c) for c in (*PRINTS, *SOFT))), "simhash-classes")
+    keyed = materialize(_soft_keyed(classes), "simhash-keys")
+    parts, hot = _tiles(keyed, "h")
+    forest = _over_tiles(_forest("h", PRINTS, NEAR_BITS, keys=True), parts.columns)
+    found = materialize(parts.mapInArrow(forest, "key long, a long, b long").select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b"), "simhash-candidates")
+    remove(hot)
+    checked = materialize(_verified(found.select("a", "b").distinct(), own, classes, shingle, similarity), "simhash-checked")
+    edges = checked.filter("similar").select("a", "b")
+    roots = components(edges, "a", "b")
+    failed = checked.filter("not similar").select("a", "b")
+    if not failed.isEmpty():
+        roots = materialize(roots, "simhash-roots")
+        again = materialize(found.join(failed, ["a", "b"], "left_semi").select("key").distinct(), "simhash-again")
+        open_ = keyed.join(again, "key", "left_semi").join(roots.select(F.col("node").alias("h"), "root"), "h", "left").withColumn("root", F.coalesce("root", "h"))
+        parts, _ = _tiles(materialize(open_.select("key", "h", *PRINTS, "root"), "simhash-open"), "h")
+        rest = parts.mapInArrow(_over_tiles(_apart_pairs, parts.columns), "a long, b long").filter("a != b").distinct().join(failed, ["a", "b"], "left_anti")
+        rest = materialize(rest, "simhash-rest")
+        more = materialize(_verified(rest, own, classes, shingle, similarity).filter("similar").select("a", "b"), "simhash-more")
+        if not more.isEmpty():
+            roots = components(edges.unionByName(more), "a", "b")
+    rooted = classes.select("h", "least").join(roots.select(F.col("node").alias("h"), "root"), "h", "left")
+    return rooted.groupBy(F.coalesce("root", "h").alias("root")).agg(F.min("least").alias("least")).select("least.*")
+
+
+def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest doc_id, once.
 
     Rows without a doc_id are kept. The columns are those of df.
     """
-    names = private(df, "id")
-    keep = wide_classes(df, doc_id, text, shingle, words, accept).filter("least = root").select(F.col("least").alias(names["id"])).distinct()
-    found = df.join(keep, F.col(doc_id).cast("long") == F.col(names["id"]), "left_semi").dropDuplicates([doc_id])
+    names = private(df, "id", "t", "d", "u")
+    own = df.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    with scratch(df.sparkSession):
+        keep = groups(own, shingle, similarity).select(F.col("doc_id").alias(names["d"]), F.col("t").alias(names["u"]))
+        keep = materialize(keep, "simhash-kept", result=True)
+    rows = df.withColumn(names["id"], F.col(doc_id).cast("long")).withColumn(names["t"], F.xxhash64(F.col(text)))
+    found = rows.join(keep, (F.col(names["id"]) == F.col(names["d"])) & (F.col(names["t"]) == F.col(names["u"])), "left_semi")
+    found = found.dropDuplicates([names["id"], names["t"]]).select(*df.columns)
     return found.unionByName(df.filter(F.col(doc_id).isNull()))
