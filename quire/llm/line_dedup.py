@@ -9,7 +9,7 @@ a word, and those long lines, are compared over all documents: by hash first, th
 hashes seen twice, by their bytes. Of equal chunks the first (smallest doc_id,
 then position) stays; the others are removed, and the lines around them join.
 
-Chunks miss a passage's edges, and a short passage as a whole. With ``passages``
+Chunks miss a passage's edges, and a short passage as a whole. With ``whole``
 every run of lines with ``LONG`` words in all is found: from each line with a word the
 shortest run of so many words that begins there, and the one that ends there, are
 compared over all documents by the SHA-256 of their lines' SHA-256. In a passage of LONG words or more these runs
@@ -17,15 +17,20 @@ cover every line, wherever it stands. Runs that an earlier place has are
 removed, so each line removed has an equal one before it, and the first of them stays.
 Lines without words do not count in a run; those inside it go with it.
 
+The rolling hash has a window of two lines: it is the hash of both lines' hashes.
+
 DataFrame functions only. Counting pre-aggregates on the chunk, so a passage
 that a third of all documents share is one partial row per task; marking joins
-on it, where Spark's adaptive execution splits hot keys.
+on it, where Spark's adaptive execution splits hot keys. What goes is a list of
+line runs per document, and a text is put together from the runs between them,
+in time linear in its length.
 
 Defined results: a null text stays null and has no chunks; an empty one stays
 empty; a text whose lines are all removed becomes empty; rows without doc_id
-are neither counted nor changed; rows that share a doc_id are one document, so
-equal chunks at the same place in both are one occurrence; repeated rows stay
-repeated.
+are neither counted nor changed; rows that share doc_id and text are one document, so
+equal chunks at the same place in both are one occurrence, and repeated rows stay
+repeated; rows that share a doc_id and differ in text are documents of their own; a
+column that has the name given for the count of removed lines is replaced by it.
 """
 
 from __future__ import annotations
@@ -33,14 +38,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, materialize, private, remove
+from quire.llm.common import WORD, materialize, private, scratch
 
 #: Chunks hold SPREAD lines on average; a line of LONG words or more is one chunk.
 SPREAD, LONG = 3, 50
-#: A position is doc_id * PLACE + the chunk's number in its text.
+#: A place is a decimal of doc_id, nine digits of the text's hash, and nine of the line's number.
 PLACE = 1_000_000_000
+KEYS = ["doc_id", "t"]
 
 
 def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -93,30 +100,32 @@ def _compared(own: Column) -> Column:
 
 
 def _chunk_rows(docs: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
-    """Rows (doc_id, k, value) of the chunks that are compared; value is made of the chunk's text."""
+    """Rows (*KEYS, start, end, value) of the chunks that are compared; value is made of the chunk's text."""
 
     def make(k: Column, first: Column, own: Column) -> Column:
-        return F.when(_compared(own), F.struct(k.alias("k"), value(F.array_join(own, "\n")).alias("value")))
+        end = (first + F.size(own) - 1).alias("end")
+        return F.when(_compared(own), F.struct(first.alias("start"), end, value(F.array_join(own, "\n")).alias("value")))
 
     found = F.filter(chunks(F.col("text"), make), lambda c: c.isNotNull())
-    rows = docs.filter("doc_id is not null and text is not null").select("doc_id", F.explode(found).alias("c"))
-    return rows.select("doc_id", "c.k", "c.value")
+    rows = docs.filter("doc_id is not null and text is not null").select(*KEYS, F.explode(found).alias("c"))
+    return rows.select(*KEYS, "c.*")
+
+
+def _place() -> Column:
+    return (F.col("doc_id").cast("decimal(38,0)") * PLACE + F.pmod("t", F.lit(PLACE))) * PLACE + F.col("start")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, k) of chunks to remove; docs has doc_id (long) and text."""
+    """Rows (*KEYS, start, end) of chunks to remove; docs has KEYS (doc_id, and t to tell texts of one doc_id apart) and text."""
     hashes = _chunk_rows(docs, F.xxhash64).select(F.col("value").alias("hash"))
     twice = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "line-hashes")
-    rows = _chunk_rows(docs, lambda c: F.struct(F.xxhash64(c).alias("hash"), c.alias("chunk"))).select("doc_id", "k", "value.*")
+    rows = _chunk_rows(docs, lambda c: F.struct(F.xxhash64(c).alias("hash"), c.alias("chunk"))).select(*KEYS, "start", "end", "value.*")
     shared = materialize(rows.join(twice.hint("shuffle_hash"), "hash", "left_semi"), "line-chunks")
     # grouping by the chunk itself compares bytes: chunks that differ but share a hash stay apart
-    place = F.col("doc_id").cast("decimal(38,0)") * PLACE + F.col("k")
-    first = shared.groupBy("hash", F.col("chunk").alias("bytes")).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = shared.groupBy("hash", F.col("chunk").alias("bytes")).agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     first = materialize(first.filter("first < last").withColumnRenamed("hash", "h"), "line-first")
-    marked = shared.join(first, (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("bytes"))).filter(place > F.col("first"))
-    found = materialize(marked.select("doc_id", "k").distinct(), "line-repeats")
-    remove(twice, shared, first)
-    return found
+    marked = shared.join(first, (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("bytes"))).filter(_place() > F.col("first"))
+    return materialize(marked.select(*KEYS, "start", "end").distinct(), "line-repeats")
 
 
 def windows(text: Column) -> Column:
@@ -142,87 +151,77 @@ def windows(text: Column) -> Column:
         return F.struct(key.alias("key"), F.get(w, at)["i"].alias("start"), F.get(w, at + n - 1)["i"].alias("end"))
 
     def found(w: Column) -> Column:
-        onward = F.transform(w, lambda c, p: F.struct(p.alias("p"), reach(F.slice(w, p + 1, LONG)).alias("n")))
+        # (place, length) as one number: Spark compares arrays of structs pair by pair
+        both = lambda p, n: p.cast("long") * (LONG + 1) + n
+        onward = F.transform(w, lambda c, p: both(p, reach(F.slice(w, p + 1, LONG))))
 
         def back(p: Column) -> Column:
             low = F.greatest(p - (LONG - 1), F.lit(0))
-            return _bind(reach(F.reverse(F.slice(w, low + 1, p - low + 1))), lambda n: F.struct((p - n + 1).alias("p"), n.alias("n")))
+            return _bind(reach(F.reverse(F.slice(w, low + 1, p - low + 1))), lambda n: both(p - n + 1, n))
 
-        both = F.array_distinct(F.concat(onward, F.transform(w, lambda c, p: back(p))))
-        return F.transform(F.filter(both, lambda b: b["n"] > 1), lambda b: run(w, b["p"], b["n"]))
+        every = F.array_distinct(F.concat(onward, F.transform(w, lambda c, p: back(p))))
+        several = F.filter(every, lambda b: b % (LONG + 1) > 1)
+        return F.transform(several, lambda b: run(w, F.floor(b / (LONG + 1)).cast("int"), (b % (LONG + 1)).cast("int")))
 
     # a text too short for LONG words is not searched
     return F.when(F.length(text) >= 2 * LONG - 1, _bind(words(F.split(text, "\n")), found))
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, start, end) of runs of lines to remove; docs has doc_id (long) and text."""
-    rows = docs.filter("doc_id is not null and text is not null").select("doc_id", F.explode(windows(F.col("text"))).alias("w"))
-    rows = materialize(rows.select("doc_id", "w.*"), "line-windows")
-    place = F.col("doc_id").cast("decimal(38,0)") * PLACE + F.col("start")
-    first = rows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last")
+    """Rows (*KEYS, start, end) of runs of lines to remove; docs as for repeats()."""
+    rows = docs.filter("doc_id is not null and text is not null").select(*KEYS, F.explode(windows(F.col("text"))).alias("w"))
+    rows = materialize(rows.select(*KEYS, "w.*"), "line-windows")
+    first = rows.groupBy("key").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).filter("first < last")
     first = materialize(first.select("key", "first"), "line-window-first")
-    marked = rows.join(first.hint("shuffle_hash"), "key").filter(place > F.col("first"))
-    found = materialize(marked.select("doc_id", "start", "end").distinct(), "line-passages")
-    remove(rows, first)
-    return found
+    marked = rows.join(first.hint("shuffle_hash"), "key").filter(_place() > F.col("first"))
+    return materialize(marked.select(*KEYS, "start", "end").distinct(), "line-passages")
 
 
-def _merged(runs: Column) -> Column:
-    """Runs (start, end), in order, with overlapping and adjoining ones joined."""
+def _merged(runs: DataFrame) -> DataFrame:
+    """A row per document of runs: its runs in order, overlapping and adjoining ones joined, as an array (start, end)."""
+    order = W.partitionBy(*KEYS).orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    rows = runs.withColumn("fresh", F.coalesce(F.col("start") > before + 1, F.lit(True)).cast("int"))
+    rows = rows.withColumn("island", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    rows = rows.groupBy(*KEYS, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return rows.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
-    def step(a: Column, r: Column) -> Column:
-        last = F.element_at(a, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
-        return (
-            F.when(F.size(a) == 0, F.array(r))
-            .when(last["end"] + 1 >= r["start"], F.concat(F.slice(a, 1, F.size(a) - 1), F.array(joined)))
-            .otherwise(F.concat(a, F.array(r)))
-        )
 
-    return F.aggregate(runs, F.array().cast("array<struct<start:int,end:int>>"), step)
+def _without(lines: Column, runs: Column) -> Column:
+    """lines (an array) but those of runs, in one pass."""
+    from_ = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(runs, i - 1)["end"] + 1)
+    to = lambda i: F.when(i == F.size(runs), F.size(lines)).otherwise(F.get(runs, i)["start"])
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(runs)), lambda i: F.slice(lines, from_(i) + 1, to(i) - from_(i))))
 
 
-def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None, removed: str | None = None, whole: bool = False) -> DataFrame:
+def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None, removed: str | None = None, whole: bool = True) -> DataFrame:
     """df with repeated chunks removed from its text, and if ``whole`` every repeated run of lines with LONG words.
 
-    n_chars names a column to hold the new length, removed one to append with the number of chunks that lost lines.
+    n_chars names a column to hold the new length, removed one to append with the number of lines that went.
     """
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    names = private(df, "id", "gone", "new")
-    runs = passages(docs) if whole else None
-    gone = repeats(docs).groupBy("doc_id").agg(F.collect_set("k").alias("ks"))
-    if runs is None:
-        gone = gone.withColumn("runs", F.array().cast("array<struct<start:int,end:int>>"))
-    else:
-        runs = runs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("all"))
-        gone = gone.join(runs.select("doc_id", _merged(F.col("all")).alias("runs")), "doc_id", "full")
-        gone = gone.select("doc_id", *(F.coalesce(c, F.array().cast(gone.schema[c].dataType)).alias(c) for c in ("ks", "runs")))
-    gone = materialize(gone.select(F.col("doc_id").alias(names["id"]), F.struct("ks", "runs").alias(names["gone"])), "line-gone")
-    joined = df.join(gone.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col(names["id"]), "left")
-    ks, cut = F.col(names["gone"])["ks"], F.col(names["gone"])["runs"]
-
-    def left(k: Column, first: Column, own: Column) -> Column:
-        stays = lambda x, j: ~F.exists(cut, lambda r: (first + j).between(r["start"], r["end"]))
-        kept = F.when(F.array_contains(ks, k), F.slice(own, 1, 0)).when(F.size(cut) == 0, own).otherwise(F.filter(own, stays))
-        return _bind(kept, lambda x: F.struct(x.alias("lines"), (F.size(x) < F.size(own)).alias("lost")))
-
-    def rebuilt(own: Column) -> Column:
-        text = F.array_join(F.flatten(F.transform(own, lambda c: c["lines"])), "\n")
-        return F.struct(text.alias("text"), F.size(F.filter(own, lambda c: c["lost"])).alias("lost"))
-
-    # a column of its own: text, length and count come from one evaluation
-    same = F.struct(F.col(text).alias("text"), F.lit(0).alias("lost"))
-    joined = joined.withColumn(names["new"], F.when(F.col(names["gone"]).isNull(), same).otherwise(_bind(chunks(F.col(text), left), rebuilt)))
-    new = F.col(names["new"])["text"]
+    key = F.xxhash64(F.col(text))
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), key.alias("t"), F.col(text).alias("text"))
+    names = private(df, "id", "t", "d", "u", "gone", "new")
+    with scratch(df.sparkSession):
+        runs = repeats(docs)
+        if whole:
+            runs = runs.unionByName(passages(docs)).distinct()
+        gone = _merged(runs).select(F.col("doc_id").alias(names["d"]), F.col("t").alias(names["u"]), F.col("runs").alias(names["gone"]))
+        gone = materialize(gone, "line-gone", result=True)
+    rows = df.withColumn(names["id"], F.col(doc_id).cast("long")).withColumn(names["t"], key)
+    joined = rows.join(gone.hint("shuffle_hash"), (F.col(names["id"]) == F.col(names["d"])) & (F.col(names["t"]) == F.col(names["u"])), "left")
+    cut = F.col(names["gone"])
+    new = _bind(F.split(F.col(text), "\n"), lambda lines: F.array_join(_without(lines, cut), "\n"))
+    # a column of its own: text and length come from one evaluation
+    joined = joined.withColumn(names["new"], F.when(cut.isNull(), F.col(text)).otherwise(new))
     out = []
     for c in df.columns:
         if c == text:
-            out.append(new.alias(c))
+            out.append(F.col(names["new"]).alias(c))
         elif c == n_chars:
-            out.append(F.coalesce(F.length(new), F.lit(0)).cast(df.schema[c].dataType).alias(c))
-        else:
+            out.append(F.coalesce(F.length(names["new"]), F.lit(0)).cast(df.schema[c].dataType).alias(c))
+        elif removed is None or c.lower() != removed.lower():
             out.append(F.col(c))
     if removed:
-        out.append(F.coalesce(F.col(names["new"])["lost"], F.lit(0)).alias(removed))
+        out.append(F.coalesce(F.aggregate(cut, F.lit(0), lambda n, r: n + r["end"] - r["start"] + 1), F.lit(0)).alias(removed))
     return joined.select(*out)

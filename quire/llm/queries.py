@@ -56,7 +56,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import line_dedup
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return line_dedup.dedup(docs, n_chars="n_chars", removed="removed_chunks", whole=True)
+    return line_dedup.dedup(docs, n_chars="n_chars", removed="removed_lines")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
