@@ -17,8 +17,10 @@ multivariate-hypergeometric splitting tree splits the exact block counts of the
 sources recursively over the output shards: at each node the blocks of the left
 half are drawn from the node's counts. Each shard then draws its blocks, in
 permuted order and disjoint, and its rows are shuffled locally by a seeded hash.
-The tree works on counts of at most ``STRATA`` strata (sources; they are
-pooled by hash if there are more) and ``LEAVES`` shards, whatever the size of the data.
+Sources are the tree's strata; beyond ``STRATA`` of them they are pooled by hash. The
+counts it works on have at most that many rows and ``LEAVES`` columns (8 MB), whatever the
+size of the data. Documents come to a shard only through its blocks, so the words that
+each source gives each shard are what the tree drew.
 
 Everything depends on the seed and the rows only, so reruns agree.
 
@@ -36,14 +38,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import WORD, materialize, private
+from quire.llm.common import WORD, materialize, private, scratch
 
 #: The weights repeat over the sources in code point order.
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST, SEED = 1.5, 2.0, 20
 #: The radix search reads this many bits of a hash at a time, until a bucket has at most FEW documents.
 DIGIT, DIGITS, FEW = 10, 6, 512
-STRATA, LEAVES, BLOCKS = 1024, 64, 256
+STRATA, LEAVES, SHARDS = 1024, 1024, 64
 #: Tables with at most so many rows are broadcast; larger ones are joined by shuffle.
 SMALL = 10_000
 
@@ -184,34 +186,36 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     sizes = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
     hashed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(-1)), "source", "size"), 2)
-    units = materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m")).withColumn("h", hashed), "mix-units")
-    per = materialize(targets(units, weights, share, most).withColumn("base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")), "mix-targets")
-    quotas = per.select("source", F.round(F.col("target") - F.col("base") * F.col("source_size")).cast("long").alias("left"))
-    filled = materialize(_fill(units, quotas), "mix-filled")
-    whole = quotas.filter("left > 0").select("source")
-    per = per.join(_small(whole.withColumnRenamed("source", "w").withColumn("asks", F.lit(True))), _same(F.col("source"), F.col("w")), "left").drop("w")
-    cuts = filled.select(F.col("source").alias("c"), "upto")
-    per = per.join(_small(cuts), _same(F.col("source"), F.col("c")), "left").drop("c")
-    # a source that asks for more and has no cut is taken whole once more
-    per = per.withColumn("upto", F.when(F.col("upto").isNotNull(), F.col("upto")).when(F.coalesce("asks", F.lit(False)), F.lit(1 << 62)).otherwise(F.lit(0))).drop("asks")
-    per = materialize(per.withColumnRenamed("source", "p"), "mix-per")
-    extra = filled.select("source", F.explode("extra").alias("e")).select(
-        F.col("source").alias("xs"), F.col("e.h").alias("xh"), F.col("e.doc_id").alias("xd"), F.col("e.size").alias("xz"), F.lit(1).alias("more")
-    )
-    joined = units.join(_small(per), _same(F.col("source"), F.col("p"))).drop("p")
-    joined = joined.join(
-        _small(extra.distinct()), (F.col("h") == F.col("xh")) & _same(F.col("doc_id"), F.col("xd")) & (F.col("size") == F.col("xz")) & _same(F.col("source"), F.col("xs")), "left"
-    )
-    once = F.when((F.col("h") < F.col("upto")) | F.col("more").isNotNull(), 1).otherwise(0)
-    return joined.select("doc_id", "source", "size", "m", "h", "source_size", "target", (F.col("base") + once).cast("int").alias("copies"))
+    with scratch(docs.sparkSession):
+        units = materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m")).withColumn("h", hashed), "mix-units", result=True)
+        per = materialize(targets(units, weights, share, most).withColumn("base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")), "mix-targets")
+        quotas = per.select("source", F.round(F.col("target") - F.col("base") * F.col("source_size")).cast("long").alias("left"))
+        filled = materialize(_fill(units, quotas), "mix-filled", result=True)
+        whole = quotas.filter("left > 0").select("source")
+        per = per.join(_small(whole.withColumnRenamed("source", "w").withColumn("asks", F.lit(True))), _same(F.col("source"), F.col("w")), "left").drop("w")
+        cuts = filled.select(F.col("source").alias("c"), "upto")
+        per = per.join(_small(cuts), _same(F.col("source"), F.col("c")), "left").drop("c")
+        # a source that asks for more and has no cut is taken whole once more
+        per = per.withColumn("upto", F.when(F.col("upto").isNotNull(), F.col("upto")).when(F.coalesce("asks", F.lit(False)), F.lit(1 << 62)).otherwise(F.lit(0))).drop("asks")
+        per = materialize(per.withColumnRenamed("source", "p"), "mix-per", result=True)
+        extra = filled.select("source", F.explode("extra").alias("e")).select(
+            F.col("source").alias("xs"), F.col("e.h").alias("xh"), F.col("e.doc_id").alias("xd"), F.col("e.size").alias("xz"), F.lit(1).alias("more")
+        )
+        joined = units.join(_small(per), _same(F.col("source"), F.col("p"))).drop("p")
+        joined = joined.join(
+            _small(extra.distinct()), (F.col("h") == F.col("xh")) & _same(F.col("doc_id"), F.col("xd")) & (F.col("size") == F.col("xz")) & _same(F.col("source"), F.col("xs")), "left"
+        )
+        once = F.when((F.col("h") < F.col("upto")) | F.col("more").isNotNull(), 1).otherwise(0)
+        return joined.select("doc_id", "source", "size", "m", "h", "source_size", "target", (F.col("base") + once).cast("int").alias("copies"))
 
 
-def assign_shards(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) -> DataFrame:
+def assign_shards(planned: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """planned, a row per taken copy, with its output shard and its position key within the shard."""
     if not 1 <= shards <= LEAVES:
-        raise ValueError(f"between 1 and {LEAVES} shards; write each as many files for more")
+        raise ValueError(f"between 1 and {LEAVES} shards; arrange splits each into as many files as are wanted")
     taken = planned.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
-    taken = taken.withColumn("block", F.shiftright("h", 62 - 8).cast("int"))  # BLOCKS hash buckets
+    bits = max(8, (4 * shards - 1).bit_length())  # four blocks or more of a source and copy for each shard
+    taken = taken.withColumn("block", F.shiftright("h", 62 - bits).cast("int"))
     blocks = materialize(taken.select("source", "copy", "block").distinct(), "mix-blocks")
     sources = blocks.select("source").distinct().limit(STRATA + 1).collect()  # a bounded number of names
     if len(sources) <= STRATA:
@@ -234,7 +238,7 @@ def assign_shards(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) ->
     return out.withColumn("position", F.xxhash64(F.lit(seed), "shard", "h", "copy"))
 
 
-def dealt(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) -> DataFrame:
+def dealt(planned: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """planned, each row with an array of (copy, shard, position) for its taken copies; empty if it has none."""
     rows = [c for c in planned.columns if c != "copies"]
     each = assign_shards(planned, shards, seed).groupBy(*rows).agg(F.array_sort(F.collect_list(F.struct("copy", "shard", "position"))).alias("dealt"))
@@ -242,7 +246,7 @@ def dealt(planned: DataFrame, shards: int = LEAVES, seed: int = SEED) -> DataFra
     return each.unionByName(none.withColumn("dealt", F.array().cast(each.schema["dealt"].dataType)))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", shards: int = LEAVES, seed: int = SEED, arrange: int = 0, **how) -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", shards: int = SHARDS, seed: int = SEED, arrange: int = 0, **how) -> DataFrame:
     """The mixed corpus: the rows of docs, each as often as it is taken; columns of docs, shard and position last
     (a column of docs with one of these names is replaced).
 
@@ -260,6 +264,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     own = [docs[c] for c in docs.columns if c.lower() not in ("shard", "position")]
     out = joined.select(*own, F.col(names["shard"]).alias("shard"), F.col(names["position"]).alias("position"))
     if arrange:
-        part = F.pmod(F.xxhash64("position"), F.lit(arrange))
-        out = out.repartition(shards * arrange, "shard", part).sortWithinPartitions("shard", "position")
+        # positions are hashes, so their order cuts a shard into equal parts
+        part = F.floor((F.col("position") / 2.0**63 + 1) * arrange / 2).cast("int")
+        place = F.col("shard") * arrange + F.least(part, F.lit(arrange - 1))
+        out = out.repartitionById(shards * arrange, place).sortWithinPartitions("position")
     return out
