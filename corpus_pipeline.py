@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import bpe, line_dedup, mixing, quality_rules, simhash
-from quire.llm.common import materialize
+from quire.llm.common import materialize, remove, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,18 +14,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chunks of lines that an earlier document has go."""
+    """Lines of chunks and of runs of 50 words or more that an earlier place has go."""
     return line_dedup.dedup(docs, n_chars="n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest doc_id stays."""
-    return simhash.keep_first(docs, shingle=5)
+    """Of each group of near-duplicates (0.8 of the shingles of five words or more), the document with the smallest doc_id stays."""
+    return simhash.keep_first(docs, shingle=5, similarity=0.8)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Each document as often as the mix takes it, laid out by shard and in each shard's order."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return mixing.mix(docs, arrange=-(-tasks // mixing.SHARDS)).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +49,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage but the last is written to the shared folder as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; every stage but the last is written to the shared folder as Parquet and read again.
+
+    A stage's intermediate tables, and what it read, are deleted as soon as it has been written.
+    """
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = materialize(docs, name.replace(" ", "-"))
-    return docs
+        if i + 1 == len(STAGES):
+            return stage(spark, docs, sf_dir)
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"), result=True)
+        if read is not None:
+            remove(read)
+        read = docs
