@@ -493,10 +493,33 @@ def test_url_filter_is_brute_force(spark, monkeypatch):
     urls += ["http://a.com/a/b/c"] * 300
     df = spark.createDataFrame([(i % 500, u, "x") for i, u in enumerate(urls)], "page_id long, url string, rule string")
     frame = spark.createDataFrame([*rules, (None, "/", "block"), ("com", None, "block")], "host string, path string, verdict string")
+    frame = frame.unionByName(spark.createDataFrame([("", "/", "block")], frame.schema))
     want = Counter((i % 500, *brute_url(u, rules)) for i, u in enumerate(urls))
-    for small in (1000, 0):
-        monkeypatch.setattr(url_filter, "SMALL_HOSTS", small)
-        got = url_filter.judge(df, frame, keep=("page_id",)).collect()
-        assert Counter((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == want
+    for ranges, small in ((None, 10_000), (60, 0)):  # ranges that begin within intervals; joins by shuffle
+        monkeypatch.setattr(url_filter, "SMALL", small)
+        got = url_filter.judge(df, frame, keep=("page_id", "rule"), ranges=ranges)
+        assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
+        assert Counter(map(tuple, got.collect())) == want
     assert url_filter.judge(df.limit(0), frame, keep=("page_id",)).count() == 0
     assert {r["rule"] for r in url_filter.judge(df, frame.limit(0), keep=("page_id",)).collect()} == {None}
+
+
+def test_sweep_is_brute_force(spark):
+    random.seed(13)
+    word = lambda n: "".join(random.choice("ab") for _ in range(random.randrange(n)))
+    intervals = sorted({word(6) for _ in range(40)} | {""})
+    points = [word(9) for _ in range(400)] + ["abab"] * 300
+    i = spark.createDataFrame([(x.encode(), x) for x in intervals if x], "key binary, value string")
+    p = spark.createDataFrame([(x.encode(), k) for k, x in enumerate(points)], "key binary, k int")
+    want = {k: max((v for v in intervals if v and x.startswith(v)), key=len, default=None) for k, x in enumerate(points)}
+    for ranges in (1, 30):
+        assert {r["k"]: r["top"] for r in url_filter.sweep(p, i, "top", ranges).collect()} == want
+
+
+def test_host_keys_nest_by_label(spark):
+    df = spark.createDataFrame([("a.com",), ("b.a.com",), ("ba.com",), ("a\x00b.com",), ("com",), (".com",)], "h string")
+    key = {r["h"]: bytes(r["k"]) for r in df.select("h", url_filter.host_key(df["h"]).alias("k")).collect()}
+    fits = lambda rule, h: key[h].startswith(key[rule])
+    for rule in key:
+        for h in key:
+            assert fits(rule, h) == (h == rule or h.endswith("." + rule))
