@@ -1,11 +1,12 @@
 import base64
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 
-from quire.llm import bpe, html_extract, license_scan, quality_rules
+from quire.llm import bpe, html_extract, html_pages, license_scan, quality_rules
 from quire.llm.license_texts import TEMPLATES
 
 ODD = [None, "", "\n\n", "a", "A b\nA b\nA b", "x " * 3000, "é漢😀 \t\x0b\x1c\u00a0 it's 12345 ||| ###"]
@@ -189,9 +190,58 @@ def test_html_without_article_and_broken():
     assert len(html_extract.extract("<p>word</p>" * 20000).split("\n\n")) == 20000
 
 
-def test_html_weights_have_signs():
+def test_html_weights_are_fitted():
+    """Words of a text weigh above zero, words in links and beside it and all tags below, and the labelled pages come out right."""
     w = html_extract.weights()
-    assert all((v > 0) == k.startswith("word") for k, v in w.items())
+    assert w[html_extract.WORD] > 0 < w[html_extract.BARE] and all(x < 0 for x in w[html_extract.LINKED :])
+    for page in html_pages.PAGES:
+        before, rest = page.split(html_pages.MAIN)
+        main, after = rest.split(html_pages.END)
+        assert html_extract.extract(before + main + after).split() == re.sub(r"<[^>]*>", " ", main).split()
+
+
+def test_html_scan_decides(monkeypatch):
+    pages = [re.sub(r"<!--.*?-->", "", p) for p in html_pages.PAGES]
+    right = [html_extract.extract(p) for p in pages]
+    monkeypatch.setattr(html_extract, "best_run", lambda s: (0, len(s)))
+    assert sum(html_extract.extract(p) != x for p, x in zip(pages, right)) >= len(pages) - 1
+
+
+TEXTS = ["Some words of a text that goes on here.", "Otro texto con más palabras dentro de él.", "Ein Satz &amp; noch einer, mit Umlauten: ä.", "A short one."]
+ASIDE = ["<nav><ul><li><a href=/>Home</a></li><li><a>News</a></li></ul></nav>", "<div class='ad'>Buy this now.</div>", "<div id=cookie-notice><p>We use cookies.</p></div>", "<aside><p>Something else.</p></aside>",
+         "<form><label>Name</label><input></form>", "<footer>&copy; 2020 all rights</footer>", "<div class='related'><a href=1>One</a><a href=2>Two</a></div>", "<script>var a='<p>x</p>';</script>", "<section id='comments'><p>I think so too.</p></section>"]
+HELD = ["<div class=notice><p>{}</p></div>", "<p class=legal>{}</p>", "<section id=search><p>{}</p></section>", "<div class='share-price'>{}</div>", "<p>{}</p>", "<ul><li>{}</li></ul>", "<table><tr><td>{}</td></tr></table>", "<blockquote>{}</blockquote>", "<header><h2>{}</h2></header>"]
+
+
+def test_html_is_brute_force():
+    """Of generated pages, with and without an article element, exactly the parts that were put in as text come out."""
+    rng = random.Random(21)
+    for k in range(400):
+        # outside an article or main element a header is the page's, and telling names weigh in the scan
+        parts = [rng.choice(HELD if k % 3 < 2 else HELD[4:-1]).format(rng.choice(TEXTS)) for _ in range(rng.randrange(3, 9))]
+        want = [re.sub(r"<[^>]*>", "", p).replace("&amp;", "&") for p in parts]
+        inside = list(parts)
+        for _ in range(rng.randrange(3)):
+            inside.insert(rng.randrange(len(inside) + 1), rng.choice(ASIDE))
+        tag = ("article", "main", "div")[k % 3]
+        if tag == "div":  # nothing names the text: its first and last parts are paragraphs
+            inside = [f"<h1>{TEXTS[0]}</h1><p>{TEXTS[1]}</p>", *inside, f"<p>{TEXTS[0]}</p>"]
+            want = [TEXTS[0], TEXTS[1], *want, TEXTS[0]]
+        around = [rng.choice(ASIDE) for _ in range(4)]
+        page = f"<html><head><title>T</title></head><body>{around[0]}{around[1]}<{tag}>{''.join(inside)}</{tag}>{around[2]}{around[3]}</body></html>"
+        assert html_extract.extract(page).split("\n\n") == want, page
+
+
+def test_html_deep_nesting_is_linear():
+    import time
+
+    took = []
+    for n in (4000, 16000):
+        page = "<div class=a>" * n + "<b>" * n + "text of it" + "<div><p>more words here</p>" * n
+        began = time.perf_counter()
+        assert "more words here" in html_extract.extract(page)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0]
 
 
 def test_html_frame(spark):
