@@ -1,11 +1,13 @@
 """Exact top-k search by tiled matrix products.
 
-Queries are dealt into blocks of bounded size. For each block, every task runs
-over its share of the candidates in tiles: one matrix product of a query block
-and a shard of candidates, a partial selection that leaves at most k (and its
-ties) per query and tile, and a running merge; so a task emits k rows per query
-however many candidates it read. The per-query lists of all tasks are then
-merged in a tree: first within groups of tasks, then across groups.
+Rows are numbered once. Queries are dealt into tiles and candidates into shards, by
+hash and of bounded size; every tile meets every shard once, by an equi-join on the
+pair's number (a stated query set against all rows, in blocks). A task holds the
+tile of its pair and streams the shard: matrix products of bounded size, a partial
+selection that leaves at most k (and its ties) per query and product, and a running
+merge; so a pair gives k rows per query however long its shard is. The lists of a
+query are then merged in a tree: within groups of shards, then across groups.
+Nothing reaches the driver but three counts.
 
 Components are floor(scale * x); scores are exact integers (float64 products
 while every partial sum fits in 53 bits, Python integers beyond that; a score
@@ -13,9 +15,9 @@ outside the range of a long is held at its end).
 
 Defined results: vectors that are null or hold a null or non-finite component,
 and rows with a null id, take no part; only vectors of one length are compared;
-an id names a vector: rows that repeat an id and vector count as one query, and
-as candidates they count as often as they occur, except for the query's own id;
-ties go to the smaller candidate id; a query without candidates has no rows.
+every row is a query and a candidate of its own, whatever ids repeat: a query's
+own row is no candidate, another row with its id is; ties go to the smaller
+candidate id; a query without candidates has no rows.
 """
 
 from __future__ import annotations
@@ -25,21 +27,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import bounded_batches, materialize, scratch
 
-#: Components in a broadcast query block at most (8 bytes each), and candidates in a tile.
-BLOCK_COMPONENTS, TILE_ROWS = 4 << 20, 2048
-#: Tasks whose lists are merged by one node of the tree's first level.
+#: Components of a query tile (8 bytes each), and of a shard; candidates of one matrix product.
+TILE_COMPONENTS, SHARD_COMPONENTS, PRODUCT_ROWS = 2 << 20, 16 << 20, 2048
+#: Rows below which a shard is not split further, only to keep all cores busy.
+SHARD_ROWS = 4096
+#: Shards whose lists are merged by one node of the tree's first level.
 FAN_IN = 32
+MOST_TASKS = 20_000
 _EXACT = 2.0**53
 
 
-def _scaled(rows: list, scale: int) -> np.ndarray:
-    return np.floor(np.asarray(rows, np.float64) * scale)
-
-
 def scores(queries: np.ndarray, tile: np.ndarray) -> np.ndarray:
     """Integer inner products as int64, exact."""
     most = np.abs(queries).sum(axis=1).max(initial=0) * np.abs(tile).max(initial=0)
@@ -61,44 +63,72 @@ def best(values: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -values[at].astype(object) if values[at].min(initial=0) == np.iinfo(np.int64).min else -values[at]))][:k]
 
 
-def _search(batches: Iterator[pa.RecordBatch], block: dict[int, tuple[np.ndarray, np.ndarray]], k: int, scale: int) -> Iterator[pa.RecordBatch]:
-    """Partial top lists of one task, for the query block (by vector length: ids and vectors)."""
-    lists: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {d: [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q[0]) for d, q in block.items()}
-    for batch in batches:
-        ids_all, vectors = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+class _Pair:
+    """A query tile and the lists that its shard has given so far, by length of the vectors."""
+
+    def __init__(self, k: int, scale: int) -> None:
+        self.k, self.scale = k, scale
+        self.queries: dict[int, list] = {}  # per length: rows, ids, components
+        self.lists: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def _parts(self, rows: np.ndarray, ids: np.ndarray, vectors: pa.Array):
         lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
         flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
         for d in np.unique(lengths).tolist():
-            if d not in block:
-                continue
             at = np.flatnonzero(lengths == d)
-            q_ids, q = block[d]
-            for s in range(0, len(at), TILE_ROWS):
-                own = at[s : s + TILE_ROWS]
-                tile = np.floor(flat[starts[own][:, None] + np.arange(d)] * scale) if d else np.zeros((len(own), 0))
-                ids, found = ids_all[own], scores(q, tile)
-                for i, row in enumerate(found):
-                    old_ids, old = lists[d][i]
-                    # only what beats the current k-th value can enter; equal values compete by id
-                    enter = np.flatnonzero(row >= old[-1]) if len(old) >= k else np.arange(len(row))
-                    enter = enter[ids[enter] != q_ids[i]]
-                    if len(enter):
-                        v, n = np.concatenate([old, row[enter]]), np.concatenate([old_ids, ids[enter]])
-                        top = best(v, n, k)
-                        lists[d][i] = (n[top], v[top])
-    for d, (q_ids, _) in block.items():
-        n = [len(x[0]) for x in lists[d]]
-        if sum(n):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(q_ids, n)), pa.array(np.concatenate([x[0] for x in lists[d]])), pa.array(np.concatenate([x[1] for x in lists[d]]))],
-                names=["query_id", "vec_id", "score"],
-            )
+            for s in range(0, len(at), PRODUCT_ROWS):
+                own = at[s : s + PRODUCT_ROWS]
+                yield d, rows[own], ids[own], np.floor(flat[starts[own][:, None] + np.arange(d)] * self.scale) if d else np.zeros((len(own), 0))
+
+    def ask(self, rows: np.ndarray, ids: np.ndarray, vectors: pa.Array) -> None:
+        for d, *part in self._parts(rows, ids, vectors):
+            old = self.queries.get(d)
+            self.queries[d] = [np.concatenate(x) for x in zip(old, part, strict=True)] if old else part
+
+    def offer(self, rows: np.ndarray, ids: np.ndarray, vectors: pa.Array) -> None:
+        for d, own, names, tile in self._parts(rows, ids, vectors):
+            if d not in self.queries:
+                continue
+            q_rows, _, q = self.queries[d]
+            lists = self.lists.setdefault(d, [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q))
+            for i, row in enumerate(scores(q, tile)):
+                old_ids, old = lists[i]
+                # only what beats the current k-th value can enter; equal values compete by id
+                enter = np.flatnonzero(row >= old[-1]) if len(old) >= self.k else np.arange(len(row))
+                enter = enter[own[enter] != q_rows[i]]
+                if len(enter):
+                    v, n = np.concatenate([old, row[enter]]), np.concatenate([old_ids, names[enter]])
+                    top = best(v, n, self.k)
+                    lists[i] = (n[top], v[top])
+
+    def result(self, shard: int) -> Iterator[pa.RecordBatch]:
+        for d, lists in self.lists.items():
+            n = [len(x[0]) for x in lists]
+            q_rows, q_ids, _ = self.queries[d]
+            columns = [np.repeat(q_rows, n), np.repeat(q_ids, n), np.concatenate([x[0] for x in lists]), np.concatenate([x[1] for x in lists]), np.full(sum(n), shard, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "query_id", "vec_id", "score", "shard"])
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterator[pa.RecordBatch]:
+    """Top lists of the pairs of one task; rows (shard, tile, offered, row, vec_id, v) are sorted, a pair's queries come first."""
+    pair, at = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shard, tile, offered, rows, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        cut = np.flatnonzero((np.diff(shard) != 0) | (np.diff(tile) != 0) | (np.diff(offered) != 0)) + 1
+        for s, e in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
+            if (shard[s], tile[s]) != at:
+                if pair:
+                    yield from pair.result(at[0])
+                pair, at = _Pair(k, scale), (shard[s], tile[s])
+            (pair.offer if offered[s] else pair.ask)(rows[s:e], ids[s:e], batch.column(5).slice(s, e - s))
+    if pair:
+        yield from pair.result(at[0])
 
 
 def _ranked(df: DataFrame, k: int, *by: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
     order = W.partitionBy(*by).orderBy(F.desc("score"), "vec_id")
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -106,30 +136,25 @@ def _ranked(df: DataFrame, k: int, *by: str) -> DataFrame:
 def search(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
     """Rows (query_id, rank from 1, vec_id, score) of each query's k best candidates among all rows of df but its own."""
     spark = df.sparkSession
+    bounded_batches(spark)
     usable = F.col(vector).isNotNull() & F.col(vec_id).isNotNull() & F.forall(
         F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
     good = df.filter(F.coalesce(usable, F.lit(False)))
-    rows = good.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
-    asked = materialize(good.filter(is_query).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).distinct(), "topk-queries")
-    n, longest = asked.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    per_block = max(1, BLOCK_COMPONENTS // max(1, longest or 1) // 2)
-    blocks = -(-n // per_block) if n else 0
-    out = None
-    for b in range(blocks):
-        mine = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b) if blocks > 1 else asked
-        got = mine.collect()  # a block of bounded size, not the query set
-        by_length: dict[int, list] = {}
-        for r in sorted(got, key=lambda r: r["vec_id"]):
-            by_length.setdefault(len(r["v"]), []).append(r)
-        sent = spark.sparkContext.broadcast(
-            {d: (np.array([r["vec_id"] for r in rs], np.int64), _scaled([r["v"] for r in rs], scale).reshape(len(rs), d)) for d, rs in by_length.items()}
-        )
-        part = rows.mapInArrow(lambda it, sent=sent: _search(it, sent.value, k, scale), "query_id long, vec_id long, score long")
-        # the tree's first level: lists of FAN_IN tasks meet, spread by query and group
-        part = _ranked(part.withColumn("g", F.floor(F.spark_partition_id() / FAN_IN)), k, "query_id", "g")
-        part = materialize(part.select("query_id", "vec_id", "score"), "topk-lists")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    return _ranked(out, k, "query_id").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    with scratch(spark):
+        # written before it is read twice, so a row keeps its number whatever is computed again
+        rows = good.select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+        rows = materialize(rows, "topk-rows")
+        n, asked, longest = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("v"))).first()
+        longest = max(1, longest or 1)
+        tiles = max(1, -(-asked * longest // TILE_COMPONENTS))
+        shards = max(1, -(-n * longest // SHARD_COMPONENTS), min(spark.sparkContext.defaultParallelism, n // SHARD_ROWS))
+        every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+        queries = rows.filter("asks").select(every(shards).alias("shard"), F.pmod(F.xxhash64("row"), F.lit(tiles)).cast("int").alias("tile"), F.lit(0).alias("offered"), "row", "vec_id", "v")
+        offers = rows.select(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), every(tiles).alias("tile"), F.lit(1).alias("offered"), "row", "vec_id", "v")
+        pairs = queries.unionByName(offers).repartition(min(shards * tiles, MOST_TASKS), "shard", "tile").sortWithinPartitions("shard", "tile", "offered", "row")
+        lists = pairs.mapInArrow(lambda it: _search(it, k, scale), "row long, query_id long, vec_id long, score long, shard long")
+        # the tree's first level: lists of FAN_IN shards meet, spread by query and group
+        lists = _ranked(lists.withColumn("group", F.floor(F.col("shard") / FAN_IN)), k, "row", "group")
+        lists = materialize(lists.select("row", "query_id", "vec_id", "score"), "topk-lists", result=True)
+    return _ranked(lists, k, "row").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
