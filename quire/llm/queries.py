@@ -71,21 +71,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The input's files are dealt to so many arrivals at most.
+#: The documents come in as so many arrivals.
 ARRIVALS = 16
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, appended file by file, compacted, and read through the manifest."""
+    """The documents, appended in arrivals, compacted in tiers, and read through the manifest."""
     from quire.llm import common, shard_store
 
     docs = _table(spark, sf_dir, "documents")
     store = shard_store.ShardStore(spark, common.new_path(spark, "shards"))
-    files = sorted(docs.inputFiles())
-    for i in range(min(ARRIVALS, len(files))):
-        store.append(spark.read.schema(docs.schema).parquet(*files[i::ARRIVALS]))
-        if store.compact():
-            store.vacuum()
+    store.append_all(docs, F.col("doc_id"), ARRIVALS)
+    store.compact(vacuum=True)
     return store.read().select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 

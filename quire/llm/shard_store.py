@@ -7,10 +7,15 @@ belongs to a higher tier, so every row is rewritten a logarithmic number of
 times. The state of the store is its newest manifest, a small JSON file whose
 name is its version. A commit writes a temporary file and renames it to the
 next version without overwriting: it happens whole or not at all, and of two
-writers one starts again. Readers of a version see exactly its files. Files that
+writers one starts again. That rests on a rename that is atomic and refuses an existing name,
+as on HDFS; on a local folder the refusal is a check before the rename, and on an
+object store a rename is a copy, so there writers must not run at the same time.
+Readers of a version see exactly its files. Files that
 no recent version names, such as those of jobs that were lost, go with vacuum().
 
-Defined results: an empty arrival makes a run without rows; all columns, nulls
+Merges of different runs are independent: those of one round run side by side.
+
+Defined results: an empty arrival makes a run without rows (none with append_all); all columns, nulls
 and repeated rows are kept as they are; arrivals need the same schema; merging
 keeps no order between rows.
 """
@@ -19,12 +24,16 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TARGET_BYTES, SMALLEST, FAN_IN = 128 << 20, 1 << 20, 4
-RETRIES = 20
+RETRIES = 100
+#: Merges of a round that run at the same time.
+SIDE_BY_SIDE = 8
 
 
 class Conflict(Exception):
@@ -99,23 +108,38 @@ class ShardStore:
 
     def _write(self, df: DataFrame) -> dict:
         run = uuid.uuid4().hex
-        at = f"{self.path}/data/{run}"
-        df.write.parquet(at)
-        found = [f for f in self._fs.listStatus(self._path(at)) if f.getPath().getName().endswith(".parquet")]
+        df.write.parquet(f"{self.path}/data/{run}")
+        return self._listed(run)
+
+    def _listed(self, run: str) -> dict:
+        found = [f for f in self._fs.listStatus(self._path(f"{self.path}/data/{run}")) if f.getPath().getName().endswith(".parquet")]
         return {"id": run, "files": sorted(f"data/{run}/{f.getPath().getName()}" for f in found), "bytes": sum(f.getLen() for f in found)}
 
     def append(self, arrival: DataFrame) -> None:
         """Add an arrival as one run."""
         self._change(self._write(arrival), set(), arrival.schema.json())
 
+    def append_all(self, rows: DataFrame, by: Column, arrivals: int) -> int:
+        """Add rows as that many arrivals, dealt by a hash of ``by``: one write, then a commit each. The number of runs."""
+        run = uuid.uuid4().hex
+        at = f"{self.path}/data/{run}"
+        name = "_arrival"
+        while name in (c.lower() for c in rows.columns):
+            name = "_" + name
+        rows.withColumn(name, F.pmod(F.xxhash64(by), F.lit(arrivals)).cast("int")).write.partitionBy(name).parquet(at)
+        parts = sorted((f.getPath().getName() for f in self._fs.listStatus(self._path(at)) if f.isDirectory()), key=lambda p: int(p.split("=")[1]))
+        for part in parts:
+            self._change(self._listed(f"{run}/{part}"), set(), rows.schema.json())
+        return len(parts)
+
     def tier(self, size: int) -> int:
         n = 0
         while size >= self.smallest and n < 60:
             size, n = size // self.fan_in, n + 1
         return n
 
-    def compact(self) -> int:
-        """Merge until no tier has fan_in runs that are worth it; the number of merges."""
+    def compact(self, vacuum: bool = False) -> int:
+        """Merge until no tier has fan_in runs that are worth it, optionally with vacuum() after each round; the number of merges."""
         merges = 0
         while True:
             now = self.manifest()
@@ -123,11 +147,14 @@ class ShardStore:
             for r in now["runs"]:
                 if r["bytes"] < self.target * self.fan_in * max(1, len(r["files"])) and not self._done(r):
                     tiers.setdefault(self.tier(r["bytes"]), []).append(r)
-            full = next((own for _, own in sorted(tiers.items()) if len(own) >= self.fan_in), None)
-            if full is None:
+            full = [own[i : i + self.fan_in] for own in tiers.values() for i in range(0, len(own) - self.fan_in + 1, self.fan_in)]
+            if not full:
                 return merges
-            self.merge(full[: self.fan_in], now["schema"])
-            merges += 1
+            with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+                list(pool.map(lambda runs: self.merge(runs, now["schema"]), full))
+            merges += len(full)
+            if vacuum:
+                self.vacuum()
 
     def _done(self, run: dict) -> bool:
         """A run whose files have the target size already gains nothing from a merge."""
@@ -158,6 +185,12 @@ class ShardStore:
         named = {r["id"] for v in versions[-keep:] for r in self.manifest(v)["runs"]}
         for v in versions[:-keep]:
             self._fs.delete(self._path(self._name(v)), False)
+        heads = {n.split("/")[0] for n in named}
         for f in self._fs.listStatus(self._path(f"{self.path}/data")):
-            if f.getPath().getName() not in named:
+            name = f.getPath().getName()
+            if name not in heads:
                 self._fs.delete(f.getPath(), True)
+            elif name not in named:  # a batch of arrivals: each of them is a run
+                for part in self._fs.listStatus(f.getPath()):
+                    if part.isDirectory() and f"{name}/{part.getPath().getName()}" not in named:
+                        self._fs.delete(part.getPath(), True)
