@@ -95,12 +95,12 @@ def _names(attributes: dict[str, str]) -> list[str]:
     return [name for key in ("class", "id") for name in attributes.get(key, "").split()]
 
 
-def _hinted(names: list[str], in_text: bool) -> bool:
+def _hinted(names: list[str]) -> bool:
     for name in names:
         before = ""
         for w in _HINT_WORDS.findall(name):
             w = w.lower()
-            if w in HINTS and before not in NOT_HINT and not (w == "header" and (in_text or before in OWN_HEADER)):
+            if w in HINTS and before not in NOT_HINT and not (w == "header" and before in OWN_HEADER):
                 return True
             before = w
     return False
@@ -135,7 +135,7 @@ class Node:
         self.inserted = bool(up and up.inserted) or own
         # the innermost element around that stands beside a text
         self.beside = self if own or _beside(name, attributes, in_text) else up.beside if up else None
-        self.hinted = bool(up and up.hinted) or self.beside is not None or (name not in TEXT and _hinted(names, in_text))
+        self.hinted = bool(up and up.hinted) or self.beside is not None or (not in_text and name not in TEXT and _hinted(names))
         self.text = self if name in TEXT and not self.inserted else up.text if up else None  # the article or main element around
         # the nearest element that is none of a line
         self.block = self if up is None or name not in INLINE or name in ("td", "th") else up.block
