@@ -15,7 +15,10 @@ must hold one of the template's longest words (one more than may be missing);
 texts without any are done after one multi-pattern search. In the others, words
 that are unique in the template vote for where a copy would begin; votes within
 a quarter of the template's length form one window, so several copies in one
-text, and copies in very long texts, are each found.
+text, and copies in very long texts, are each found. A copy with more words than
+that put in between has no window: where a text without one holds enough of a
+longer template's unique words, all of it from the first to the last of them is
+aligned. Templates include an SPDX tag for each license.
 
 Defined results: null and empty texts have no license; equal or overlapping
 finds are settled by matched words, then template order; words compare in lower case and
@@ -155,9 +158,12 @@ class Template:
                 k = stop
             else:
                 k += 1
+        if not out and len(self.words) > SHORT:
+            seen = [i for i, w in enumerate(words) if w in self.at]
+            if len({words[i] for i in seen}) >= need:
+                out = [(max(0, seen[0] - len(self.words)), min(len(words), seen[-1] + len(self.words)))]
         return out
 
-
     def holds(self, words: list[str], pairs: list[tuple[int, int]]) -> bool:
         """Whether an alignment with words is a copy of this license, not of a neighbour."""
         if not pairs or len(pairs) < self.coverage * len(self.words):

@@ -72,6 +72,13 @@ TEMPLATES["BSD-3-Clause"] = TEMPLATES["BSD-2-Clause"].replace("THIS SOFTWARE IS"
 TEMPLATES["MIT-0"] = " ".join([TEMPLATES["MIT"].split(", subject to")[0] + ".", "THE SOFTWARE IS PROVIDED" + TEMPLATES["MIT"].split("THE SOFTWARE IS PROVIDED")[1]])
 TEMPLATES["0BSD"] = " ".join([TEMPLATES["ISC"].split(", provided that")[0] + ".", "THE SOFTWARE IS PROVIDED" + TEMPLATES["ISC"].split("THE SOFTWARE IS PROVIDED")[1]])
 
+for _name in (
+    "MIT", "MIT-0", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-ND-4.0", "Unlicense", "Zlib", "BSL-1.0", "EPL-2.0", "EUPL-1.2",
+):
+    TEMPLATES[f"SPDX:{_name}"] = f"SPDX-License-Identifier: {_name}"
+
 #: Words that name a license: a copy must have them.
 NAMES = frozenset("mit apache bsd isc mozilla cc0 gnu lesser affero creative commons later".split())
 #: By a word of the template: words that make it another license where a copy has them and the template does not.
