@@ -35,11 +35,17 @@ MIN_OPEN_WORDS = 4
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = ["|", ">", "»", "›", "•", "·", "/", "-", "–", "::"]
 END_MARK = r"[.!?…:;,。！？][\"'”’»)\]]*$"
-#: or if it is short and holds one of these phrases (lower case).
+#: or if it is short and holds one of these phrases (lower case; A-Z of a line are lower-cased, no other letters).
 BOILERPLATE = [
     "all rights reserved", "accept cookies", "cookie policy", "privacy policy", "terms of use", "terms of service",
     "enable javascript", "javascript is disabled", "click here", "sign in", "log in", "subscribe to our newsletter",
     "lorem ipsum", "page not found", "skip to content", "share this", "read more",
+    "alle rechte vorbehalten", "cookies akzeptieren", "datenschutzerklärung", "nutzungsbedingungen", "javascript aktivieren",
+    "hier klicken", "jetzt anmelden", "newsletter abonnieren", "seite nicht gefunden", "zum inhalt springen", "weiterlesen",
+    "tous droits réservés", "accepter les cookies", "politique de confidentialité", "conditions d'utilisation", "mentions légales",
+    "activer javascript", "cliquez ici", "se connecter", "abonnez-vous à notre newsletter", "page introuvable", "aller au contenu", "lire la suite",
+    "todos los derechos reservados", "aceptar cookies", "política de privacidad", "política de cookies", "términos de uso", "condiciones de uso",
+    "habilitar javascript", "haga clic aquí", "iniciar sesión", "suscríbete a nuestro boletín", "página no encontrada", "saltar al contenido", "leer más",
 ]
 MAX_BOILERPLATE_WORDS = 25
 
@@ -158,7 +164,7 @@ def filter_documents(df: DataFrame, text: str = "text", n_chars: str | None = "n
 
 
 _WS = r"\x20\x09-\x0D"
-_SQL_PHRASES = "|".join(re.escape(p).replace("\\ ", " ") for p in BOILERPLATE)
+_SQL_PHRASES = "|".join(p.replace("'", "''") for p in BOILERPLATE)
 _SQL_SEPARATORS = ", ".join(f"'{s}'" for s in SEPARATORS)
 ORACLE = f"""
 WITH lines AS (
@@ -172,7 +178,7 @@ WITH lines AS (
     length(line) - length(regexp_replace(line, '[!?]', '', 'g')) AS marks,
     len(list_filter(w, lambda x: x IN ({_SQL_SEPARATORS}))) AS seps,
     regexp_matches(w[-1], '{END_MARK.replace("'", "''")}') AS ended,
-    regexp_matches(lower(line), '{_SQL_PHRASES}') AS boiler
+    regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SQL_PHRASES}') AS boiler
   FROM parts
 ), per_doc AS (
   SELECT doc_id, sum(len(w)) AS n_words, sum(chars) AS word_chars, sum((nth > 1)::INT) AS n_dup_lines, sum(symbols) AS n_symbols,
