@@ -45,6 +45,12 @@ def test_quality_rules_on_lines():
     assert not quality_rules.judge(b"a few words only.")[8]
 
 
+def test_quality_boilerplate_in_four_languages():
+    clean = " ".join(f"word{i} goes on." for i in range(40))
+    for line in ("All rights reserved.", "Alle Rechte vorbehalten.", "Tous droits réservés par l'éditeur.", "Todos los derechos reservados.", "Lisez nos conditions d'utilisation."):
+        assert quality_rules.judge(f"{clean}\n{line}".encode())[5] == 1
+
+
 def test_quality_odd_rows_and_filter(spark):
     got = quality_rules.score(odd_frame(spark)).collect()
     assert len(got) == len(ODD) + 2 and all(r["n_words"] is not None for r in got)
@@ -101,6 +107,50 @@ def test_license_neighbours_are_told_apart():
     assert names(TEMPLATES["MIT"].split(", subject to")[0] + TEMPLATES["MIT"].split("the Software.")[-1]) == ["MIT-0"]
 
 
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_license_cover_is_brute_force():
+    """Changed copies are reported if the words that an exact aligner matches cover the template, and not if it matches too few."""
+    s = license_scan.Scanner(TEMPLATES, license_scan.COVERAGE)
+    rng = random.Random(6)
+    found = missed = 0
+    for k in range(120):
+        name = rng.choice(["MIT", "ISC", "Unlicense", "Apache-2.0", "BSD-3-Clause"])
+        words = TEMPLATES[name].split()
+        template = next(t for t in s.templates if t.name == name)
+        keep = template.needs and set().union(*template.needs)
+        share = rng.choice([0, 0.05, 0.15, 0.19, 0.3])
+        own = []
+        for w in words:
+            if license_scan.normalized(w)[0] in keep or rng.random() >= share:
+                own.append(w)
+            if k % 3 == 0 and rng.random() < 0.5:
+                own.append(f"added{rng.randrange(99)}")  # far more than a quarter
+        text = " ".join(f"w{i}" for i in range(rng.randrange(300))) + " " + " ".join(own) + " and so on"
+        cover = longest_common(license_scan.normalized(text), template.words) / len(template.words)
+        names = [x[0] for x in s.scan(text)]
+        if cover < 0.8:
+            assert name not in names
+        else:
+            found += name in names
+            missed += name not in names
+    assert found > 60 and missed <= 0.05 * found  # patience alignment may match fewer words than the exact aligner
+
+
+def test_license_tags():
+    s = license_scan.Scanner(TEMPLATES, license_scan.COVERAGE)
+    names = lambda text: [x[0] for x in s.scan(text)]
+    assert names("# SPDX-License-Identifier: GPL-2.0-or-later\ncode") == ["SPDX:GPL-2.0-or-later"]
+    assert names("// SPDX-License-Identifier: MIT") == ["SPDX:MIT"] and names("SPDX-License-Identifier: Other") == []
+
+
 def test_license_frame(spark):
     got = license_scan.scan(odd_frame(spark)).collect()
     assert len(got) == len(ODD) + 2 and all(r["licenses"] == [] for r in got) and got[0]["found"] == "own"
