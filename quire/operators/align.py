@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quire.errors import AlignError
 from quire.functions.text import PDF_RULES, Rule, normalize, tokenize
@@ -91,11 +93,14 @@ def pages_of(tokens: DataFrame, blocks: DataFrame) -> DataFrame:
     """Rows (book, page_idx, hay, blocks): a page's tokens and its blocks (index, id, tokens, math) in order.
 
     tokens: (book, page_idx, tokens); blocks: (book, page_idx, index, id, tokens, math).
+    A page without blocks may be a row with a null index. ``text_page`` and ``block_page`` tell which side has the page.
     """
-    listed = blocks.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("index", "id", "tokens", "math"))).alias("blocks"))
+    own = F.when(F.col("index").isNotNull(), F.struct("index", "id", "tokens", "math"))
+    listed = blocks.groupBy(*KEYS).agg(F.array_sort(F.collect_list(own)).alias("blocks"))  # nulls are not collected
     kind = "array<struct<index:int,id:string,tokens:array<string>,math:boolean>>"
     rows = tokens.withColumnRenamed("tokens", "hay").join(listed, list(KEYS), "full_outer")
-    return rows.select(*KEYS, F.coalesce("hay", F.array().cast("array<string>")).alias("hay"), F.coalesce(F.col("blocks").cast(kind), F.array().cast(kind)).alias("blocks"))
+    sides = [F.col("hay").isNotNull().alias("text_page"), F.col("blocks").isNotNull().alias("block_page")]
+    return rows.select(*KEYS, F.coalesce("hay", F.array().cast("array<string>")).alias("hay"), F.coalesce(F.col("blocks").cast(kind), F.array().cast(kind)).alias("blocks"), *sides)
 
 
 def aligned(pages: DataFrame) -> DataFrame:
@@ -108,12 +113,19 @@ def aligned(pages: DataFrame) -> DataFrame:
     return pages.select("*", F.explode(F.array(spans)).alias("spans"))
 
 
+COUNTS = ("pdf_tokens", "md_tokens", "matched_blocks", "unmatched_blocks")
+
+
 def counts(aligned_pages: DataFrame) -> DataFrame:
     """Rows (book, page_idx, pdf_tokens, md_tokens, matched_blocks, unmatched_blocks)."""
+    return _counted(aligned_pages).select(*KEYS, *COUNTS)
+
+
+def _counted(aligned_pages: DataFrame) -> DataFrame:
     sizes = F.aggregate("blocks", F.lit(0), lambda a, b: a + F.size(b["tokens"]))
     rows = aligned_pages.withColumn("pairs", F.zip_with("blocks", "spans", lambda b, q: F.struct(F.size(b["tokens"]).alias("n"), q.alias("q"))))
     return rows.select(
-        *KEYS,
+        *aligned_pages.columns,
         F.size("hay").alias("pdf_tokens"),
         sizes.alias("md_tokens"),
         F.size(F.filter("pairs", lambda x: x["q"].isNotNull())).alias("matched_blocks"),
@@ -155,59 +167,90 @@ def _hunks(page: dict) -> Iterator[tuple]:
         yield i1, anchor, " ".join(p[max(0, i1 - CONTEXT) : i2 + CONTEXT]), " ".join(m[max(0, j1 - CONTEXT) : j2 + CONTEXT]), anchor in with_math, " ".join(p[i1:i2]), " ".join(m[j1:j2])
 
 
-def hunks(aligned_pages: DataFrame) -> DataFrame:
-    """Rows (book, page_idx, seq, anchor, pdf_text, md_text, math, pdf_part, md_part): what is left after alignment, as differences.
+HUNK = "struct<seq:int,anchor:string,pdf_text:string,md_text:string,math:boolean,pdf_part:string,md_part:string>"
 
-    The texts have context around the parts that differ; math tells whether the
-    anchor has inline math.
 
-    The matching blocks of the longest-matching-subsequence differ have no
-    relational form, so pages go to Python in Arrow batches, and only those with a
-    residue on either side; no shuffle, since a row holds its page.
-    """
-    rest = F.aggregate(F.filter("spans", lambda s: s.isNotNull()), F.lit(0), lambda a, s: a + s["e"] - s["s"])
+def _residue() -> Column:
+    """Whether alignment leaves tokens on either side of a page."""
+    placed = F.aggregate(F.filter("spans", lambda s: s.isNotNull()), F.lit(0), lambda a, s: a + s["e"] - s["s"])
     unplaced = F.exists(F.zip_with("blocks", "spans", lambda b, q: (F.size(b["tokens"]) > 0) & q.isNull()), lambda x: x)
-    work = aligned_pages.filter((rest < F.size("hay")) | unplaced)
+    return (placed < F.size("hay")) | unplaced
 
-    schema = "book string, page_idx int, seq int, anchor string, pdf_text string, md_text string, math boolean, pdf_part string, md_part string"
+
+def with_hunks(aligned_pages: DataFrame) -> DataFrame:
+    """aligned_pages, its array columns replaced by the hunks of each page: one evaluation for whatever is counted of them.
+
+    The matching blocks of the longest-matching-subsequence differ have no simple
+    relational form, so pages go to Python in Arrow batches, the texts only of those with
+    a residue on either side; no shuffle, since a row holds its page.
+    """
+    parts = ["hay", "blocks", "spans"]
+    kept = [c for c in aligned_pages.columns if c not in (*parts, *KEYS)]
+    work = aligned_pages.withColumn("work", _residue())
+    work = work.select(*KEYS, *kept, *(F.when(F.col("work"), F.col(c)).alias(c) for c in parts))
+    out = T.StructType([*work.select(*KEYS, *kept).schema.fields, T.StructField("hunks", T.ArrayType(T._parse_datatype_string(HUNK)))])
+    kind = to_arrow_type(out["hunks"].dataType)
+    fields = [f.name for f in out["hunks"].dataType.elementType.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string(), pa.string()]
-        names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
-            rows = [(page["book"], page["page_idx"], k, *h[1:]) for page in batch.to_pylist() for k, h in enumerate(_hunks(page))]
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=names)
+            same = batch.select([*KEYS, *kept])
+            pages = batch.select(["page_idx", *parts]).to_pylist()
+            found = [[dict(zip(fields, (k, *h[1:]), strict=True)) for k, h in enumerate(_hunks(page))] if page["hay"] is not None else [] for page in pages]
+            yield pa.RecordBatch.from_arrays([*same.columns, pa.array(found, type=kind)], names=[*same.schema.names, "hunks"])
 
-    return work.select("book", "page_idx", "hay", "blocks", "spans").mapInArrow(run, schema)
+    return work.mapInArrow(run, out)
+
+
+def hunks(aligned_pages: DataFrame) -> DataFrame:
+    """Rows (book, page_idx, seq, anchor, pdf_text, md_text, math, pdf_part, md_part): what is left after alignment, as differences.
+
+    The texts have context around the parts that differ; math tells whether the
+    anchor has inline math.
+    """
+    work = aligned_pages.filter(_residue()).select(*KEYS, "hay", "blocks", "spans")
+    return with_hunks(work).select(*KEYS, F.explode("hunks").alias("h")).select(*KEYS, "h.*")
 
 
 def hunks_per_page(found: DataFrame) -> DataFrame:
     return found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("hunks"))
 
 
-def result(aligned_pages: DataFrame, first_printed: DataFrame | None = None) -> DataFrame:
+def result(aligned_pages: DataFrame, first_printed: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """One row per book: its number of pages, the six counts, and its hunks in page order.
 
     first_printed: (book, first); a hunk's page is printed from there, else counted from 0.
+    sizes: (book, page_idx, width, height, model_width, model_height). A book whose sides have
+    different numbers of pages, or a page whose two sizes differ by more than a point, is
+    an error when its row is evaluated.
     """
-    per = counts(aligned_pages).groupBy("book").agg(
-        F.count(F.lit(1)).alias("pages"), *(F.sum(c).alias(c) for c in ("pdf_tokens", "md_tokens", "matched_blocks", "unmatched_blocks"))
-    )
-    found = hunks(aligned_pages)
+    rows = with_hunks(_counted(aligned_pages))
+    off = F.lit(None).cast("int")
+    if sizes is not None:
+        rows = rows.join(sizes.select(*KEYS, "width", "height", "model_width", "model_height"), list(KEYS), "left")
+        off = F.when((F.abs(F.col("width") - F.col("model_width")) > 1) | (F.abs(F.col("height") - F.col("model_height")) > 1), F.col("page_idx"))
+    own = F.struct("page_idx", F.col("hunks").alias("h"))
+    per = rows.groupBy("book").agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if("text_page").alias("text_pages"), F.count_if("block_page").alias("block_pages"), F.min(off).alias("off"),
+        *(F.sum(c).alias(c) for c in COUNTS), F.array_sort(F.collect_list(F.when(F.size("hunks") > 0, own))).alias("listed"),
+    )
     if first_printed is not None:
-        found = found.join(F.broadcast(first_printed.select("book", "first")), "book", "left")
+        per = per.join(first_printed.select("book", "first"), "book", "left")
     else:
-        found = found.withColumn("first", F.lit(0))
-    page = (F.coalesce("first", F.lit(0)) + F.col("page_idx")).alias("page")
-    listed = found.groupBy("book").agg(F.array_sort(F.collect_list(F.struct("page_idx", "seq", page, "anchor", "pdf_text", "md_text", "math"))).alias("h"))
-    rows = per.join(listed, "book", "left").withColumn("h", F.coalesce("h", F.array().cast("array<struct<page_idx:int,seq:int,page:int,anchor:string,pdf_text:string,md_text:string,math:boolean>>")))
-    with_math = F.size(F.filter("h", lambda x: x["math"]))
-    return rows.select(
+        per = per.withColumn("first", F.lit(0))
+    problem = F.when(F.col("text_pages") != F.col("block_pages"), F.format_string("%s: %d pages of text and %d of blocks", "book", "text_pages", "block_pages")).when(
+        F.col("off").isNotNull(), F.format_string("%s: page %d has two sizes", "book", "off")
+    )
+    first = F.coalesce("first", F.lit(0))
+    flat = F.flatten(F.transform("listed", lambda p: F.transform(p["h"], lambda x: F.struct((first + p["page_idx"]).alias("page"), x["anchor"].alias("anchor"), x["pdf_text"].alias("pdf_text"), x["md_text"].alias("md_text"), x["math"].alias("math")))))
+    per = per.withColumn("all", flat)
+    with_math = F.size(F.filter("all", lambda x: x["math"]))
+    return per.select(
         "book",
-        "pages",
-        F.struct("pdf_tokens", "md_tokens", "matched_blocks", "unmatched_blocks", F.size("h").alias("hunks"), with_math.alias("hunks_inline_math")).alias("counts"),
-        F.transform("h", lambda x: F.struct(x["page"].alias("page"), x["anchor"].alias("anchor"), x["pdf_text"].alias("pdf_text"), x["md_text"].alias("md_text"))).alias("hunks"),
+        # checked where the pages are counted, so no projection can lose the check while it keeps them
+        F.when(problem.isNotNull(), F.raise_error(problem).cast("long")).otherwise(F.col("pages")).alias("pages"),
+        F.struct(*COUNTS, F.size("all").alias("hunks"), with_math.alias("hunks_inline_math")).alias("counts"),
+        F.transform("all", lambda x: F.struct(x["page"].alias("page"), x["anchor"].alias("anchor"), x["pdf_text"].alias("pdf_text"), x["md_text"].alias("md_text"))).alias("hunks"),
     )
 
 

@@ -14,14 +14,14 @@ from quire.errors import SplitError
 from quire.functions.text import strip
 
 #: Numbered titles, and section numbers such as 5-1 or 5.1.
-NUMBERED = r"^\s*(?i:chapter\s+)?\d+\b"
-SECTION = r"^\s*(\d+)[-.]\d+\b"
+NUMBERED = r"^\s*(?i:chapter\s+)?\d+(?U:\b)"
+SECTION = r"^\s*(\d+)[-.]\d+(?U:\b)"
 SECTION_ID = r"^\s*(\d+[-.]\d+)\s*:?\s*"
 
 
 def chapter_number(c: Column) -> Column:
-    """5, '5', 'ch5' or 'ch05' as 5; anything else is an error when evaluated."""
-    digits = F.regexp_extract(c.cast("string"), r"\A(?:ch)?0*([0-9]+)\z", 1)
+    """5, '5', ' ch5 ' or 'ch05' as 5; anything else is an error when evaluated."""
+    digits = F.regexp_extract(strip(c.cast("string")), r"\A(?:ch)?0*([0-9]+)\z", 1)
     return F.when(digits != "", digits.cast("int")).otherwise(F.raise_error(F.concat(F.lit("not a chapter: "), c.cast("string"))).cast("int"))
 
 
@@ -150,7 +150,8 @@ def chapter(outline: DataFrame, config: DataFrame, pages: DataFrame, book: str,
 
 def printed_page(label: Column, page_idx: Column, offset: Column) -> Column:
     """The printed number of a page: its label if that is a number, else by offset, else an error when evaluated."""
-    numeric = F.when(label.rlike(r"^[0-9]+\z"), label.cast("int"))
+    bare = strip(label)
+    numeric = F.when(bare.rlike(r"\A[0-9]+\z"), bare.cast("int"))
     return F.coalesce(numeric, page_idx + 1 - offset, F.raise_error(F.lit("a page without numeric label or offset")).cast("int"))
 
 
@@ -165,31 +166,41 @@ def subtree(outline: DataFrame, chapters: DataFrame, config: DataFrame) -> DataF
     return deeper.join(own, ["book", "head"]).select("book", "number", "idx", "level", "title", (F.col("page") - 1).alias("page0"))
 
 
+def _sections(tree: DataFrame, config: DataFrame, labels: DataFrame) -> DataFrame:
+    """subtree() rows with ``own``: the section, where the entry is one level below its chapter."""
+    rows = tree.join(F.broadcast(config.select("book", "chapter_level")), "book")
+    at = labels.select(F.col("book").alias("book_"), "page_idx", "label", "page_offset")
+    own = F.col("level") == F.col("chapter_level") + 1
+    rows = rows.join(at, (F.col("book") == F.col("book_")) & (F.col("page0") == F.col("page_idx")) & own, "left")
+    section = F.nullif(F.regexp_extract("title", SECTION_ID, 1), F.lit(""))
+    found = F.struct(
+        section.alias("section"), strip(F.regexp_replace("title", SECTION_ID, "")).alias("title"), F.col("page0").alias("pdf_page"),
+        printed_page(F.col("label"), F.col("page0"), F.col("page_offset")).alias("printed_page"), "level",
+    )
+    return rows.select(*tree.columns, F.when(own, found).alias("own"))
+
+
 def sections(outline: DataFrame, chapters: DataFrame, config: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (book, number, idx, section, title, pdf_page, printed_page, level): entries one level below the chapter.
 
     labels: (book, page_idx, label, page_offset).
     """
-    rows = subtree(outline, chapters, config).join(F.broadcast(config.select("book", "chapter_level")), "book").filter(F.col("level") == F.col("chapter_level") + 1)
-    rows = rows.join(labels, (rows["book"] == labels["book"]) & (rows["page0"] == labels["page_idx"]), "left").drop(labels["book"])
-    section = F.nullif(F.regexp_extract("title", SECTION_ID, 1), F.lit(""))
-    return rows.select(
-        "book", "number", "idx", section.alias("section"), strip(F.regexp_replace("title", SECTION_ID, "")).alias("title"), F.col("page0").alias("pdf_page"),
-        printed_page(F.col("label"), F.col("page0"), F.col("page_offset")).alias("printed_page"), "level",
-    )
+    found = _sections(subtree(outline, chapters, config), config, labels).filter("own is not null")
+    return found.select("book", "number", "idx", "own.*")
 
 
 def build_meta(outline: DataFrame, chapters: DataFrame, config: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per chapter: its pages, printed pages, sections and subtree, as arrays in outline order."""
-    parts = sections(outline, chapters, config, labels)
     by = ["book", "number"]
-    listed = parts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("idx", "section", "title", "pdf_page", "printed_page", "level"))).alias("s"))
-    tree = subtree(outline, chapters, config).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("idx", "level", "title", "page0"))).alias("t"))
+    tree = _sections(subtree(outline, chapters, config), config, labels)
+    listed = tree.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct("idx", "level", "title", "page0"))).alias("t"), F.array_sort(F.collect_list(F.when(F.col("own").isNotNull(), F.struct("idx", "own.*")))).alias("s")
+    )
     at = labels.select("book", "page_idx", printed_page(F.col("label"), F.col("page_idx"), F.col("page_offset")).alias("printed"))
     rows = chapters.filter("error is null")
     for end in ("first", "last"):
         rows = rows.join(at.select("book", F.col("page_idx").alias(end), F.col("printed").alias(f"{end}_printed")), ["book", end], "left")
-    rows = rows.join(listed, by, "left").join(tree, by, "left")
+    rows = rows.join(listed, by, "left")
     no_sections = F.array().cast("array<struct<number:string,title:string,pdf_page:int,printed_page:int,level:int>>")
     no_tree = F.array().cast("array<struct<level:int,title:string,page:int>>")
     return rows.select(

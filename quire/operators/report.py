@@ -12,7 +12,7 @@ from quire.schemas import BODY, FIGURES, REPORT_TYPE, RUNNING
 
 #: What a running line may look like, folded.
 FOLIO = r"^(page\s+)?[0-9]+$|^[ivxlc]+$"
-HEAD = r"^(chapter|part)\b"
+HEAD = r"^(chapter|part)(?U:\b)"
 #: Share of the candidates to review, and the least number.
 SHARE, LEAST = 0.05, 3
 CHAPTER = ("book", "chapter")
@@ -30,10 +30,11 @@ def running_matter_suspects(blocks: DataFrame, titles: DataFrame, exact: bool =
     blocks: (book, chapter, id, type, page_idx, text); titles: (book, chapter, title).
     """
     matter = blocks.filter(F.col("type").isin(*RUNNING)).withColumn("folded", fold(F.col("text"), exact))
-    pages = matter.groupBy(*CHAPTER, "folded").agg(F.countDistinct("page_idx").alias("pages"))
+    # on two pages or more: the first and the last page differ
+    pages = matter.groupBy(*CHAPTER, "folded").agg((F.min("page_idx") != F.max("page_idx")).alias("repeated"))
     named = titles.select(*CHAPTER, fold(F.coalesce("title", F.lit("")), exact).alias("title_folded"))
     rows = matter.join(pages, [*CHAPTER, "folded"]).join(named, list(CHAPTER), "left")
-    calm = is_running_matter(F.col("folded"), F.col("pages") >= 2, F.coalesce("title_folded", F.lit("")))
+    calm = is_running_matter(F.col("folded"), F.coalesce("repeated", F.lit(False)), F.coalesce("title_folded", F.lit("")))
     return rows.filter(~calm).select(*blocks.columns)
 
 
@@ -91,7 +92,9 @@ def build(meta: DataFrame, blocks: DataFrame, hunks: DataFrame, extraction: Data
     flagged = flags(blocks, meta, exact).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("id", "type", "crop", "reason"))).alias("flagged_blocks"))
     sample = spot_sample(candidates(blocks)).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("page_idx", "index", "id"))).alias("s"))
     listed = hunks.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("seq", "page", "anchor", "pdf_text", "md_text"))).alias("h"))
-    stamp = F.concat(F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    # in UTC whatever the session's time zone is
+    utc = F.to_utc_timestamp("modified", F.current_timezone())
+    stamp = F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     ex = extraction.select(*by, F.struct("backend", F.coalesce("effort", F.lit("")).alias("effort"), F.coalesce("version", F.lit("")).alias("mineru_version"), stamp.alias("timestamp")).alias("extraction"))
     rows = meta.select(*by, F.col("printed_pages").alias("pages"))
     for part in (ex, counts(blocks), listed, flagged, sample):

@@ -64,7 +64,7 @@ FROM (SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY lang,
 LABELS = "SELECT source AS book, CAST(k - 1 AS INT) AS page_idx, CASE WHEN k % 3 = 0 THEN CAST(k + 100 AS STRING) WHEN k % 3 = 1 THEN 'iv' END AS label, 7 AS page_offset FROM numbered"
 #: Documents with the glyphs that the rules are about.
 GLYPHS = """
-SELECT doc_id, '•' || ' item' || chr(10) || '- ' || replace(replace(text, ' the ', ' “the” '), ' of ', ' soft' || chr(173) || chr(10) || 'hyphen ex-' || chr(10) || 'ample a-b-c – <sup>2</sup> ') AS text FROM documents"""
+SELECT doc_id, '•' || ' item' || chr(10) || 'P A R' || chr(9) || 'T  I I' || chr(10) || 'ﬁn ½ Å a​b' || chr(10) || '- ' || replace(replace(text, ' the ', ' “the” '), ' of ', ' soft' || chr(173) || chr(10) || 'hyphen ex-' || chr(10) || 'ample a-b-c – <sup>2</sup> ') AS text FROM documents"""
 #: Typed blocks from lines: the type goes by the line's place.
 BLOCKS = """
 SELECT source AS book, doc_id, n,
@@ -74,6 +74,11 @@ SELECT source AS book, doc_id, n,
 HEADS = """
 SELECT source AS book, 'ch01' AS chapter, 'p' || CAST(doc_id AS STRING) || '-' || CAST(n AS STRING) AS id, CASE WHEN n = 0 THEN 'page_header' WHEN n = 1 THEN 'page_footer' ELSE 'paragraph' END AS type,
   CAST(doc_id AS INT) AS page_idx, CASE WHEN n = 0 AND doc_id % 17 = 0 THEN 'Page ' || CAST(doc_id AS STRING) WHEN n = 0 AND doc_id % 19 = 0 THEN 'Chapter 3 ' || line ELSE line END AS text FROM doc_lines"""
+#: The running lines alone: no other line is split off.
+RUNNING_SPARK = """
+SELECT source AS book, 'ch01' AS chapter, 'p' || CAST(doc_id AS STRING) || '-' || CAST(n AS STRING) AS id, CASE WHEN n = 0 THEN 'page_header' ELSE 'page_footer' END AS type, CAST(doc_id AS INT) AS page_idx,
+  CASE WHEN n = 0 AND doc_id % 17 = 0 THEN 'Page ' || CAST(doc_id AS STRING) WHEN n = 0 AND doc_id % 19 = 0 THEN 'Chapter 3 ' || line ELSE line END AS text
+FROM (SELECT source, doc_id, slice(split(text, '\\n', 3), 1, 2) AS two FROM documents) LATERAL VIEW posexplode(two) AS n, line"""
 WORDS_SPARK = "SELECT CAST(source AS STRING) AS book, CAST(doc_id AS INT) AS page_idx, n, k, word FROM doc_lines LATERAL VIEW posexplode(split(line, ' ')) AS k, word"
 WORDS_DUCK = "SELECT source AS book, doc_id::INT AS page_idx, n, unnest(range(len(w)))::INT AS k, unnest(w) AS word FROM (SELECT *, string_split(line, ' ') AS w FROM doc_lines)"
 #: Words on a grid, and a box on every fourth page that masks some.
@@ -85,9 +90,9 @@ SHARED = {"numbered": NUMBERED, "outline": OUTLINE, "book_pages": BOOK_PAGES, "c
 READS = {
     "doc_lines": ["documents"], "numbered": ["documents"], "outline": ["documents", "doc_lines", "numbered"], "book_pages": ["documents"], "config": ["documents"], "overrides": ["documents"],
     "readings": ["numbered", "labels"], "world": ["region", "nation", "customer"], "unnumbered": ["region", "nation", "customer"], "detached": ["nation", "customer"], "page_text": ["documents"],
-    "page_labels": ["numbered"], "glyphs": ["documents"], "typed": ["doc_lines"], "heads": ["doc_lines"], "words": ["doc_lines"], "boxed": ["words"], "regions": ["documents"],
+    "page_labels": ["numbered"], "glyphs": ["documents"], "typed": ["doc_lines"], "heads": ["doc_lines"], "running": ["documents"], "words": ["doc_lines"], "boxed": ["words"], "regions": ["documents"],
 }
-SPARK = {"doc_lines": LINES_SPARK, "words": WORDS_SPARK}
+SPARK = {"doc_lines": LINES_SPARK, "words": WORDS_SPARK, "running": RUNNING_SPARK}
 DUCK = {"doc_lines": LINES_DUCK, "words": WORDS_DUCK}
 
 

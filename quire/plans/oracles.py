@@ -30,9 +30,14 @@ _SECTIONS = f"""sections AS (
     page0 AS pdf_page, {_PRINTED.format(p="page0")} AS printed_page, level FROM tree WHERE level = 3)"""
 
 
-def _normalized(text: str) -> str:
-    """The chain for marked-up text, without NFKC and spaced capitals."""
-    out = f"regexp_replace({text}, '</?su[bp]>', '', 'g')"
+#: Runs of three to seven spaced capitals; the pattern language looks neither ahead nor behind.
+_CAPS = r"(^|\s)([A-Z]{1,2})[ \t]+([A-Z]{1,2})[ \t]+([A-Z]{1,2})" + r"(?:[ \t]+([A-Z]{1,2}))?" * 4 + r"(\s|$)"
+
+
+def _normalized(text: str, marked: bool = True) -> str:
+    """The whole chain; of the compatibility characters those that the texts are given (their own text has none)."""
+    out = f"regexp_replace({text}, '</?su[bp]>', '', 'g')" if marked else text
+    out = f"nfc_normalize(replace(replace(replace({out}, 'ﬁ', 'fi'), '½', '1⁄2'), 'Å', 'Å'))"
     quoted = PLAIN.replace("'", "''")
     out = f"translate({out}, '{FANCY}', '{quoted}')"
     out = f"replace(regexp_replace({out}, chr(173) || '\\n\\s*', '', 'g'), chr(173), '')"
@@ -40,6 +45,7 @@ def _normalized(text: str) -> str:
     for _ in range(2):  # without lookaround, a second pass reaches hyphens that share a letter
         out = f"regexp_replace({out}, '({_W})-({_W})', '\\1\\2', 'g')"
     out = f"regexp_replace(translate({out}, '{BULLETS}', '{' ' * len(BULLETS)}'), '(?m)^[ \\t]*[-*][ \\t]+', '', 'g')"
+    out = f"regexp_replace({out}, '{_CAPS}', '\\1\\2\\3\\4\\5\\6\\7\\8\\9', 'g')"
     return f"replace({out}, chr(8203), '')"
 
 
@@ -84,16 +90,20 @@ changes AS (
     CASE WHEN moved THEN 'merged, moved to chapter ' || chapter WHEN sid IS NOT NULL AND NOT (sid_idx = idx AND trim(title) = new) THEN 'merged' WHEN demoted THEN 'demoted to level 3' END AS note FROM judged
   UNION ALL SELECT 2, page, value, value, 'unpaired id' FROM loose)"""
 
-_LAYER = r"regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<title.*?</title>|<!--.*?-->', ' ', 'g'), '<[^>]*>', chr(10), 'g')"
+_CLEAN = "regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<title.*?</title>|<!--.*?-->', ' ', 'g')"
+_LAYER = f"regexp_replace({_CLEAN}, '<[^>]*>', chr(10), 'g')"
+_BLOCK_TEXTS = f"regexp_extract_all(regexp_replace({_CLEAN}, '</?(a|b|br|i|em|span|strong)( [^>]*)?>', ' ', 'g'), '<(p|h1|li|footer)>([^<]+)', 2)"
+_BOOK = "'web' || (page_id // 100)"
+_SIDES = f"""sides AS (SELECT page_id::INT AS page_idx, {_BOOK} AS book, {_tokens(_normalized(_LAYER, False))} AS hay, {_BLOCK_TEXTS} AS b FROM pages),
+parts AS (SELECT page_idx, unnest(b) AS t, unnest(range(len(b))) AS i FROM sides)"""
 _ARTIFACTS = ", ".join(f"('{n.format(stem='c')}')" for n in REQUIRED)
 
 #: The greedy alignment, block by block, on strings: what is placed is struck out of the page.
 _ALIGN = rf"""
-WITH RECURSIVE sides AS (SELECT page_id::INT AS page_idx, {_tokens(_normalized(_LAYER))} AS hay, regexp_extract_all(html, '<(p|h1|li|footer)>([^<]+)', 2) AS b FROM pages),
-parts AS (SELECT page_idx, unnest(b) AS t, unnest(range(len(b))) AS i FROM sides),
+WITH RECURSIVE {_SIDES},
 toks AS (SELECT page_idx, i, {_tokens(_normalized("t || CASE WHEN i % 4 = 3 THEN ' odd' ELSE '' END"))} AS toks FROM parts),
 listed AS (SELECT page_idx, list(array_to_string(toks, ' ') ORDER BY i) AS bl, list(len(toks) ORDER BY i) AS ns FROM toks GROUP BY page_idx),
-start AS (SELECT s.page_idx, len(hay) AS n_hay, ' ' || array_to_string(hay, ' ') || ' ' AS orig, coalesce(bl, []) AS bl, coalesce(ns, []) AS ns FROM sides s LEFT JOIN listed l ON l.page_idx = s.page_idx),
+start AS (SELECT s.page_idx, s.book, len(hay) AS n_hay, ' ' || array_to_string(hay, ' ') || ' ' AS orig, coalesce(bl, []) AS bl, coalesce(ns, []) AS ns FROM sides s LEFT JOIN listed l ON l.page_idx = s.page_idx),
 walk AS (
   SELECT page_idx, 0 AS k, orig AS h, 1::BIGINT AS cur, 0::BIGINT AS pos FROM start
   UNION ALL
@@ -107,11 +117,79 @@ placed AS (
   FROM walk w JOIN start s ON s.page_idx = w.page_idx WHERE k > 0)
 """
 
+#: What alignment leaves, matched like the differ does: the longest common run (the first of equals), then left and right of it.
+_HUNKS = _ALIGN.rstrip() + """,
+cov AS (SELECT page_idx, k, s, s + n AS e FROM placed WHERE s IS NOT NULL),
+spread AS (SELECT page_idx, unnest(hay) AS t, unnest(range(len(hay))) AS pos FROM sides),
+p AS (SELECT h.page_idx, t, pos, row_number() OVER (PARTITION BY h.page_idx ORDER BY pos) - 1 AS i FROM spread h WHERE NOT EXISTS (SELECT 1 FROM cov c WHERE c.page_idx = h.page_idx AND pos >= c.s AND pos < c.e)),
+mt AS (SELECT q.page_idx, q.k, unnest(toks) AS t, unnest(range(len(toks))) AS o FROM toks JOIN placed q ON q.page_idx = toks.page_idx AND q.k = toks.i WHERE q.s IS NULL),
+m AS (SELECT *, row_number() OVER (PARTITION BY page_idx ORDER BY k, o) - 1 AS j FROM mt),
+sizes AS (SELECT s.page_idx, coalesce(np, 0) AS np, coalesce(nm, 0) AS nm, coalesce(ps, []) AS ps, coalesce(ms, []) AS ms FROM sides s
+  LEFT JOIN (SELECT page_idx, count(*) AS np, list(t ORDER BY i) AS ps FROM p GROUP BY page_idx) a ON a.page_idx = s.page_idx LEFT JOIN (SELECT page_idx, count(*) AS nm, list(t ORDER BY j) AS ms FROM m GROUP BY page_idx) b ON b.page_idx = s.page_idx),
+same AS (SELECT p.page_idx, i, j, i - row_number() OVER (PARTITION BY p.page_idx, i - j ORDER BY i) AS g FROM p JOIN m ON p.page_idx = m.page_idx AND p.t = m.t),
+eq AS (SELECT page_idx, i, j, max(i) OVER (PARTITION BY page_idx, i - j, g) - i + 1 AS n FROM same),
+todo AS (
+  SELECT page_idx, 0::BIGINT AS alo, np::BIGINT AS ahi, 0::BIGINT AS blo, nm::BIGINT AS bhi FROM sizes
+  UNION ALL
+  SELECT page_idx, CASE WHEN z = 0 THEN alo ELSE i + n END, CASE WHEN z = 0 THEN i ELSE ahi END, CASE WHEN z = 0 THEN blo ELSE j + n END, CASE WHEN z = 0 THEN j ELSE bhi END
+  FROM (SELECT page_idx, alo, ahi, blo, bhi, (key + 9999999999) // 10000000000 AS n, ((key + 9999999999) // 10000000000 * 10000000000 - key) // 100000 AS i, ((key + 9999999999) // 10000000000 * 10000000000 - key) % 100000 AS j FROM (
+      SELECT w.page_idx, alo, ahi, blo, bhi, max(least(e.n, ahi - e.i, bhi - e.j) * 10000000000 - e.i * 100000 - e.j) AS key
+      FROM todo w JOIN eq e ON e.page_idx = w.page_idx AND e.i >= alo AND e.i < ahi AND e.j >= blo AND e.j < bhi GROUP BY w.page_idx, alo, ahi, blo, bhi)), (VALUES (0), (1)) halves(z)
+  WHERE CASE WHEN z = 0 THEN alo < i AND blo < j ELSE i + n < ahi AND j + n < bhi END),
+best AS (SELECT w.page_idx, max(least(e.n, ahi - e.i, bhi - e.j) * 10000000000 - e.i * 100000 - e.j) AS key FROM todo w JOIN eq e ON e.page_idx = w.page_idx AND e.i >= alo AND e.i < ahi AND e.j >= blo AND e.j < bhi GROUP BY w.page_idx, alo, ahi, blo, bhi),
+matched AS (SELECT page_idx, (key + 9999999999) // 10000000000 AS n, ((key + 9999999999) // 10000000000 * 10000000000 - key) // 100000 AS i, ((key + 9999999999) // 10000000000 * 10000000000 - key) % 100000 AS j FROM best
+  UNION ALL SELECT page_idx, 0, np, nm FROM sizes),
+ops AS (SELECT page_idx, coalesce(lag(i + n) OVER w, 0) AS i1, i AS i2, coalesce(lag(j + n) OVER w, 0) AS j1, j AS j2 FROM matched WINDOW w AS (PARTITION BY page_idx ORDER BY i, n DESC)),
+isles AS (SELECT *, sum(fresh) OVER (PARTITION BY page_idx ORDER BY i1, j1) AS g FROM (
+  SELECT *, CASE WHEN i1 <= lag(i2) OVER (PARTITION BY page_idx ORDER BY i1, j1) + 2 THEN 0 ELSE 1 END AS fresh FROM ops WHERE i1 < i2 OR j1 < j2)),
+merged AS (SELECT page_idx, min(i1) AS i1, max(i2) AS i2, min(j1) AS j1, max(j2) AS j2 FROM isles GROUP BY page_idx, g),
+anchored AS (SELECT d.*, z.ps, z.ms, CASE
+    WHEN j1 < j2 THEN (SELECT k FROM m WHERE m.page_idx = d.page_idx AND m.j = d.j1)
+    ELSE coalesce((SELECT arg_max(c.k, c.e) FROM cov c JOIN p ON p.page_idx = c.page_idx AND p.i = d.i1 WHERE c.page_idx = d.page_idx AND c.e <= p.pos),
+      (SELECT k FROM m WHERE m.page_idx = d.page_idx AND m.j = d.j1 - 1), (SELECT min(i) FROM toks WHERE toks.page_idx = d.page_idx AND len(toks) > 0)) END AS k
+  FROM merged d JOIN sizes z ON z.page_idx = d.page_idx),
+hunks AS (SELECT s.book, a.page_idx, (row_number() OVER (PARTITION BY a.page_idx ORDER BY i1, j1) - 1)::INT AS seq,
+    CASE WHEN k IS NULL THEN format('p{:03d}-none', a.page_idx) ELSE format('p{:03d}-b{:03d}', a.page_idx, k) END AS anchor,
+    coalesce(array_to_string(ps[greatest(0, i1 - 3) + 1 : i2 + 3], ' '), '') AS pdf_text, coalesce(array_to_string(ms[greatest(0, j1 - 3) + 1 : j2 + 3], ' '), '') AS md_text, coalesce(k % 5 = 3, false) AS math,
+    coalesce(array_to_string(ps[i1 + 1 : i2], ' '), '') AS pdf_part, coalesce(array_to_string(ms[j1 + 1 : j2], ' '), '') AS md_part
+  FROM anchored a JOIN sides s ON s.page_idx = a.page_idx)
+"""
+_COUNTED = """
+counted AS (SELECT s.book, s.page_idx, n_hay AS pdf_tokens, coalesce(list_sum(ns), 0)::INT AS md_tokens, count(*) FILTER (p.s IS NOT NULL) AS matched_blocks, count(*) FILTER (p.s IS NULL AND p.n > 0) AS unmatched_blocks
+  FROM start s LEFT JOIN placed p ON p.page_idx = s.page_idx GROUP BY s.book, s.page_idx, n_hay, ns)"""
+_KINDS = r"""
+ones AS (SELECT *, CASE WHEN md_part = '' THEN pdf_part WHEN pdf_part = '' THEN md_part END AS alone FROM hunks),
+gone AS (SELECT book, pdf_part AS t, min(page_idx) AS a, max(page_idx) AS b FROM hunks WHERE pdf_part <> '' AND md_part = '' GROUP BY ALL),
+came AS (SELECT book, md_part AS t, min(page_idx) AS c, max(page_idx) AS d FROM hunks WHERE md_part <> '' AND pdf_part = '' GROUP BY ALL),
+moved AS (SELECT g.book, g.t, a = b AND a = c AND a = d AS one_page FROM gone g JOIN came c ON g.book = c.book AND g.t = c.t),
+words AS (SELECT o.*, v.one_page, regexp_replace(pdf_part, '[\s\p{Z}\p{P}]', '', 'g') AS pl, regexp_replace(md_part, '[\s\p{Z}\p{P}]', '', 'g') AS ml, regexp_replace(pdf_part, '[^\p{L}\p{N}_]', '', 'g') AS pw, regexp_replace(md_part, '[^\p{L}\p{N}_]', '', 'g') AS mw,
+    len(list_filter(string_split(md_part, ' '), lambda x: x <> '')) - len(list_filter(string_split(pdf_part, ' '), lambda x: x <> '')) AS more
+  FROM ones o LEFT JOIN moved v ON v.book = o.book AND v.t = o.alone),
+kinds AS (SELECT book, CASE WHEN math THEN 'inline-math' WHEN one_page IS NOT NULL THEN CASE WHEN one_page THEN 'move' ELSE 'move across pages' END
+    WHEN pl = ml THEN CASE WHEN more > 0 THEN 'split' WHEN more < 0 THEN 'joined' ELSE 'punctuation' END WHEN pw = mw THEN 'symbol'
+    WHEN pdf_part <> '' AND md_part <> '' THEN 'replace' WHEN md_part = '' THEN 'deletion' ELSE 'insertion' END AS kind FROM words)"""
+
 ORACLES: dict[str, str] = {
     "align_blocks": _ALIGN + "SELECT page_idx, format('p{:03d}-b{:03d}', page_idx, k) AS id, coalesce(s, -1) AS s, coalesce(s + n, -1) AS e FROM placed",
-    "guardrail_counts": _ALIGN + """
-SELECT 'web' AS book, s.page_idx, n_hay AS pdf_tokens, coalesce(list_sum(ns), 0)::INT AS md_tokens, count(*) FILTER (p.s IS NOT NULL) AS matched_blocks, count(*) FILTER (p.s IS NULL AND p.n > 0) AS unmatched_blocks
-FROM start s LEFT JOIN placed p ON p.page_idx = s.page_idx GROUP BY s.page_idx, n_hay, ns""",
+    "guardrail_counts": _ALIGN.rstrip() + "," + _COUNTED + " SELECT * FROM counted",
+    "diff_hunks": _HUNKS + "SELECT * FROM hunks",
+    "hunks_per_page": _HUNKS + "SELECT book, page_idx, count(*) AS hunks FROM hunks GROUP BY ALL",
+    "hunks_with_math": _HUNKS + "SELECT page_idx, count(*) AS hunks, count(*) FILTER (math) AS hunks_inline_math FROM hunks GROUP BY ALL",
+    "hunk_classes": _HUNKS.rstrip() + "," + _KINDS + " SELECT book, kind, count(*) AS hunks FROM kinds GROUP BY ALL",
+    "guardrail_result": _HUNKS.rstrip() + "," + _COUNTED + """,
+told AS (SELECT book, count(*)::INT AS hunks, count(*) FILTER (math)::INT AS hunks_inline_math, md5(string_agg((101 + page_idx) || '|' || anchor || '|' || pdf_text || '|' || md_text, chr(10) ORDER BY page_idx, seq)) AS digest FROM hunks GROUP BY book)
+SELECT c.book, count(*) AS pages, sum(pdf_tokens)::BIGINT AS pdf_tokens, sum(md_tokens)::BIGINT AS md_tokens, sum(matched_blocks)::BIGINT AS matched_blocks, sum(unmatched_blocks)::BIGINT AS unmatched_blocks,
+  coalesce(any_value(l.hunks), 0) AS hunks, coalesce(any_value(hunks_inline_math), 0) AS hunks_inline_math, coalesce(any_value(digest), md5('')) AS digest
+FROM counted c LEFT JOIN told l ON l.book = c.book GROUP BY c.book""",
+    "chapter_reports": _HUNKS.rstrip() + r""",
+kinds AS (SELECT page_idx, i, toks, ['paragraph', 'title', 'table', 'page_header', 'image'][(i % 5) + 1] AS type, format('p{:03d}-b{:03d}', page_idx, i) AS id, lower(array_to_string(toks, ' ')) AS f FROM toks),
+marked AS (SELECT *, CASE WHEN type = 'table' THEN id || ':table:crops/' || id || '.png:vlm_generated'
+    WHEN type = 'page_header' AND f <> '' AND NOT regexp_matches(f, '^(page\s+)?[0-9]+$|^[ivxlc]+$') AND NOT regexp_matches(f, '^(chapter|part)([^\p{L}\p{N}_]|$)') THEN id || ':text:crops/' || id || '.png:running_matter_suspect' END AS flag FROM kinds),
+per AS (SELECT page_idx, count(*) AS blocks, count(*) FILTER (type = 'table') AS tables, count(*) FILTER (type = 'image') AS figures, coalesce(string_agg(flag, '|' ORDER BY id), '') AS flagged, count(*) FILTER (type IN ('paragraph', 'title')) AS body FROM marked GROUP BY page_idx),
+found AS (SELECT page_idx, count(*) AS n FROM hunks GROUP BY page_idx)
+SELECT s.book, s.page_idx::VARCHAR AS chapter, coalesce(blocks, 0) AS blocks, coalesce(tables, 0) AS tables, 0::BIGINT AS formulas, coalesce(figures, 0) AS figures, coalesce(n, 0) AS diff_hunks, coalesce(flagged, '') AS flagged,
+  least(coalesce(body, 0), greatest(3, round_even(coalesce(body, 0) * 0.05, 0)))::INT AS spots, strftime(make_timestamp(s.page_idx::BIGINT * 1000000), '%Y-%m-%dT%H:%M:%S+00:00') AS "timestamp", NULL::VARCHAR AS violation
+FROM sides s LEFT JOIN per USING (page_idx) LEFT JOIN found USING (page_idx)""".replace("\\\\", "\\"),
     "outline_chapter_entries": _w("outline", _ENTRIES) + "SELECT book, idx, number, title FROM entries",
     "outline_children": _w("world") + "SELECT c.book, p.idx AS parent, c.idx AS child FROM world c JOIN world p ON p.idx < c.idx AND c.level = p.level + 1 WHERE NOT EXISTS (SELECT 1 FROM world k WHERE k.idx > p.idx AND k.idx < c.idx AND k.level <= p.level)",
     "outline_level_stats": _w("outline") + r"SELECT book, level, count(*) AS entries, count(*) FILTER (regexp_matches(title, '^\s*((?i:chapter)\s+)?\d+\b')) AS numbered FROM outline GROUP BY ALL",
@@ -125,11 +203,12 @@ nums AS (SELECT DISTINCT book, page_idx, v::INT AS v FROM (SELECT book, page_idx
     "printed_pages": _w("page_labels") + "SELECT book, page_idx, CASE WHEN regexp_full_match(label, '[0-9]+') THEN label::INT ELSE page_idx + 1 - page_offset END AS printed FROM page_labels",
     "chapter_subtree": _w("outline book_pages overrides", _RANGE_STEPS, _RULED, _SUBTREE) + "SELECT * FROM tree",
     "chapter_sections": _w("outline book_pages overrides", _RANGE_STEPS, _RULED, _SUBTREE, _SECTIONS) + "SELECT * FROM sections",
-    "chapter_meta": _w("outline book_pages overrides", _RANGE_STEPS, _RULED, _SUBTREE, _SECTIONS) + f"""
+    "chapter_meta": _w("outline book_pages overrides", _RANGE_STEPS, _RULED, _SUBTREE, _SECTIONS, """
+ss AS (SELECT book, number, count(*)::INT AS n_sections, md5(string_agg(concat_ws('|', section, title, pdf_page, printed_page, level), chr(10) ORDER BY idx)) AS sections FROM sections GROUP BY ALL),
+ts AS (SELECT book, number, count(*)::INT AS n_subtree, md5(string_agg(concat_ws('|', level, title, page0), chr(10) ORDER BY idx)) AS subtree FROM tree GROUP BY ALL)""") + f"""
 SELECT r.book, slug AS chapter, r.number, r.title, first AS first_page, last AS last_page, CASE WHEN first <= p.page_count THEN {_PRINTED.format(p="first")} ELSE -1 END AS first_printed,
-  (SELECT count(*) FROM sections s WHERE s.book = r.book AND s.number = r.number)::INT AS n_sections, (SELECT count(*) FROM tree s WHERE s.book = r.book AND s.number = r.number)::INT AS n_subtree,
-  (SELECT arg_max(s.title, s.idx) FROM sections s WHERE s.book = r.book AND s.number = r.number) AS last_section
-FROM ruled r JOIN book_pages p ON p.book = r.book WHERE error IS NULL""",
+  CASE WHEN last <= p.page_count THEN {_PRINTED.format(p="last")} ELSE -1 END AS last_printed, coalesce(n_sections, 0) AS n_sections, coalesce(sections, md5('')) AS sections, coalesce(n_subtree, 0) AS n_subtree, coalesce(subtree, md5('')) AS subtree
+FROM ruled r JOIN book_pages p ON p.book = r.book LEFT JOIN ss ON ss.book = r.book AND ss.number = r.number LEFT JOIN ts ON ts.book = r.book AND ts.number = r.number WHERE error IS NULL""",
     "chapter_scope": _w("outline overrides readings", _ENTRIES) + "SELECT DISTINCT book, number FROM readings UNION SELECT book, number FROM (SELECT book, number FROM entries UNION SELECT book, number FROM overrides) WHERE book NOT IN (SELECT book FROM readings)",
     "patch_number_from_children": _w("unnumbered") + r"""
 SELECT book, idx, level, CASE WHEN level = 1 AND n IS NOT NULL AND NOT regexp_matches(title, '^\s*((?i:chapter)\s+)?\d+\b') THEN n || ': ' || trim(title) ELSE title END AS title, page FROM (
@@ -169,19 +248,17 @@ seen AS (SELECT w.* FROM boxed w WHERE NOT EXISTS (SELECT 1 FROM masks m WHERE m
 by_line AS (SELECT book, page_idx, line_no, string_agg(word, ' ' ORDER BY ord) AS l FROM seen GROUP BY ALL),
 by_page AS (SELECT book, page_idx, string_agg(l, chr(10) ORDER BY line_no) AS t FROM by_line GROUP BY ALL)""") + "SELECT book, page_idx, md5(t) AS digest, length(t)::BIGINT AS n FROM by_page",
     "passage_first_match": f"""
-WITH d AS (SELECT doc_id, ' ' || array_to_string({_tokens('text')}, ' ') || ' ' AS h FROM documents), b AS (SELECT item_id, ' ' || array_to_string({_tokens('text')}, ' ') || ' ' AS p FROM benchmark WHERE len({_tokens('text')}) >= 5)
+WITH d AS (SELECT doc_id, ' ' || array_to_string({_tokens('text')}, ' ') || ' ' AS h FROM documents), b AS (SELECT item_id, ' ' || array_to_string({_tokens('text')}, ' ') || ' ' AS p FROM benchmark WHERE len({_tokens('text')}) > 0)
 SELECT item_id, doc_id, length(left(h, strpos(h, p) - 1)) - length(replace(left(h, strpos(h, p) - 1), ' ', '')) AS pos FROM d JOIN b ON contains(h, p)""",
     "page_token_counts": f"""
-WITH sides AS (SELECT page_id::INT AS page_idx, len({_tokens(_normalized(_LAYER))}) AS pdf_tokens, regexp_extract_all(html, '<(p|h1|li|footer)>([^<]+)', 2) AS b FROM pages),
-blocks AS (SELECT page_idx, unnest(b) AS t, unnest(range(len(b))) AS i FROM sides),
-md AS (SELECT page_idx, sum(len({_tokens(_normalized("t || CASE WHEN i % 4 = 3 THEN ' odd' ELSE '' END"))}))::BIGINT AS md_tokens, count(*) AS blocks FROM blocks GROUP BY page_idx)
-SELECT page_idx, pdf_tokens, md_tokens, blocks FROM sides LEFT JOIN md USING (page_idx)""",
+WITH {_SIDES},
+md AS (SELECT page_idx, sum(len({_tokens(_normalized("t || CASE WHEN i % 4 = 3 THEN ' odd' ELSE '' END"))}))::BIGINT AS md_tokens, count(*) AS blocks FROM parts GROUP BY page_idx)
+SELECT page_idx, len(hay)::BIGINT AS pdf_tokens, md_tokens, coalesce(blocks, 0) AS blocks FROM sides LEFT JOIN md USING (page_idx)""",
     "running_matter_suspects": _w("heads", f"matter AS (SELECT *, {_FOLDED} AS f FROM heads WHERE type <> 'paragraph')", "counted AS (SELECT f, book, count(DISTINCT page_idx) AS pages FROM matter GROUP BY ALL)") + r"""
 SELECT m.book, m.id FROM matter m JOIN counted c ON m.book = c.book AND m.f = c.f
 WHERE m.f <> '' AND NOT regexp_matches(m.f, '^(page\s+)?[0-9]+$|^[ivxlc]+$') AND NOT regexp_matches(m.f, '^(chapter|part)\b') AND pages < 2 AND NOT contains(m.f, 'the and')""",
     "spot_sample": _w("heads", "ranked AS (SELECT book, id, row_number() OVER (PARTITION BY book, chapter ORDER BY sha256(book || chapter || id), id) AS k, count(*) OVER (PARTITION BY book, chapter) AS n FROM heads WHERE type = 'paragraph')") + "SELECT book, id FROM ranked WHERE k <= least(n, greatest(3, round_even(n * 0.05, 0)))",
     "report_violations": "SELECT c_custkey, ['$', 'pages', 'pages', 'extraction', 'counts.diff_hunks', 'diff_hunks[1].page', 'flagged_blocks[0].type', 'spot_check[0]', 'status', 'counts.tables', '$', '$'][c_custkey % 13] AS path FROM customer WHERE c_custkey % 13 <> 0",
-    "chapter_reports": None,
     "artifact_contract": f"""
 WITH docs AS (SELECT doc_id, doc_id::VARCHAR AS chapter, n_chars % 40 + 1 AS pages FROM documents), names(name) AS (VALUES {_ARTIFACTS}),
 missing AS (SELECT doc_id, 'missing ' || string_agg(name, ', ' ORDER BY name) AS m FROM docs CROSS JOIN names WHERE (doc_id % 5 = 0 AND name = 'images') OR (doc_id % 10 = 0 AND name = 'c.md') GROUP BY doc_id),
@@ -199,7 +276,6 @@ FROM spans s JOIN sample USING (book) LEFT JOIN tops USING (book)""",
 listed AS (SELECT book, number FROM readings UNION SELECT DISTINCT book, 77777 FROM readings),
 scope AS (SELECT book, number FROM listed UNION SELECT book, number FROM (SELECT book, number FROM entries UNION SELECT book, number FROM overrides) WHERE book NOT IN (SELECT book FROM readings))""") + "SELECT s.book, s.number, CASE WHEN r.book IS NULL THEN 'not in the outline' ELSE r.error END AS fault FROM scope s LEFT JOIN ruled r ON s.book = r.book AND s.number = r.number",
 }
-del ORACLES["chapter_reports"]
 ORACLES["probe_evidence"] = (
     ORACLES["outline_offset_candidates"].replace('SELECT book, page_idx + 1 - v AS "offset", count(*) AS pages FROM nums GROUP BY ALL', "")
     + ', counted AS (SELECT book, page_idx + 1 - v AS "offset", count(*) AS pages FROM nums GROUP BY ALL) SELECT book, "offset", pages, row_number() OVER (PARTITION BY book ORDER BY pages DESC, "offset") AS k FROM counted QUALIFY k <= 3'

@@ -105,7 +105,9 @@ def chapter_meta(s, d):
     meta = O.build_meta(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
     return meta.select(
         "book", "chapter", "number", "title", F.col("pdf_pages")[0].alias("first_page"), F.col("pdf_pages")[1].alias("last_page"), F.coalesce(F.col("printed_pages")[0], F.lit(-1)).alias("first_printed"),
-        F.size("sections").alias("n_sections"), F.size("toc_subtree").alias("n_subtree"), F.get("sections", F.size("sections") - 1)["title"].alias("last_section"),
+        F.coalesce(F.col("printed_pages")[1], F.lit(-1)).alias("last_printed"),
+        F.size("sections").alias("n_sections"), F.md5(F.array_join(F.transform("sections", lambda x: F.concat_ws("|", x["number"], x["title"], x["pdf_page"], x["printed_page"], x["level"])), "\n")).alias("sections"),
+        F.size("toc_subtree").alias("n_subtree"), F.md5(F.array_join(F.transform("toc_subtree", lambda x: F.concat_ws("|", x["level"], x["title"], x["page"])), "\n")).alias("subtree"),
     )
 
 
@@ -141,13 +143,6 @@ def patch_rebuild_sections(s, d):
     return P.rebuild_numbered_sections(relation(s, d, "detached"), 2)[0]
 
 
-RULES = [
-    {"rule": "number_from_children", "level": 1},
-    {"rule": "rename", "level": 1, "match": "Chapter 2 +", "replace": "Chapter 2: "},
-    {"rule": "insert", "level": 1, "title": "9: END", "page": 999, "after": {"level": 1, "match": "ASIA|INDONESIA$|Chapter 2: "}},
-]
-
-
 @query
 def patch_changes(s, d):
     return P.rebuild_numbered_sections(relation(s, d, "detached"), 2)[1].select("level", "page", "old", "new", "note")
@@ -198,8 +193,7 @@ def report_counts(s, d):
 
 @query
 def normalize_pdf_tokens(s, d):
-    rules = tuple(r for r in X.without_python(X.MD_RULES) if r is not X.join_spaced_caps)
-    t = relation(s, d, "glyphs").withColumn("t", X.tokenize(X.normalize(F.col("text"), rules)))
+    t = relation(s, d, "glyphs").withColumn("t", X.tokenize(X.normalize(F.col("text"), X.MD_RULES)))
     return t.select("doc_id", F.size("t").cast("long").alias("tokens"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
@@ -243,42 +237,71 @@ def masked_page_text(s, d):
     return A.page_text(left).select("book", "page_idx", F.md5("text").alias("digest"), F.length("text").cast("long").alias("n"))
 
 
+#: Tokens of a passage by which its places are looked for; a shorter one is looked for by all of its tokens.
+START = 5
+#: So many keys are looked up within each text; more are joined.
+FEW_KEYS = 10_000
+
+
 @query
 def passage_first_match(s, d):
     """Where each benchmark passage first stands in each document: candidates by their first tokens, then compared whole."""
-    start = 5
     docs = relation(s, d, "documents").select("doc_id", X.tokenize(F.col("text")).alias("hay"))
-    passages = relation(s, d, "benchmark").select("item_id", X.tokenize(F.col("text")).alias("needle")).filter(F.size("needle") >= start)
-    keys = passages.select("item_id", F.xxhash64(F.slice("needle", 1, start)).alias("key"))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("hay") - start + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("hay", i, start)))
-    # positions go to the join, texts do not
-    near = docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("key")).join(keys, "key").select("doc_id", "item_id")
+    passages = relation(s, d, "benchmark").select("item_id", X.tokenize(F.col("text")).alias("needle")).filter(F.size("needle") > 0)
+    n = F.least(F.size("needle"), F.lit(START))
+    keys = passages.select("item_id", n.alias("n"), F.xxhash64(F.slice("needle", 1, n)).alias("key"))
+
+    def candidates(k: int):
+        """Pairs that share the key of a passage of k tokens, or of START and more; None if there is no such passage."""
+        own = keys.filter(F.col("n") == k).select("item_id", "key")
+        few = [r["key"] for r in own.select("key").distinct().limit(FEW_KEYS + 1).collect()]
+        if not few:
+            return None
+        places = F.when(F.size("hay") >= k, F.sequence(F.lit(1), F.greatest(F.size("hay") - k + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        grams = F.transform(places, lambda i: F.xxhash64(F.slice("hay", i, k)))
+        if len(few) <= FEW_KEYS:
+            grams = F.filter(grams, lambda g: g.isin(few))
+        # keys go to the join, texts do not
+        return docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("key")).join(own, "key").select("doc_id", "item_id")
+
+    near = None
+    for found in filter(None, map(candidates, range(1, START + 1))):
+        near = found if near is None else near.unionByName(found)
+    if near is None:
+        near = docs.join(passages, F.lit(False)).select("doc_id", "item_id")
     pairs = near.join(docs, "doc_id").join(passages, "item_id")
     none = F.array().cast("array<struct<s:int,e:int>>")
     found = pairs.select("item_id", "doc_id", A.first_free(F.col("hay"), F.col("needle"), none, F.lit(0)).alias("pos"))
     return found.filter("pos is not null").select("item_id", "doc_id", F.col("pos").cast("long").alias("pos")).distinct()
 
 
+#: Markup that is not text, tags within a line, and what opens a block; once the tags within lines are gone a block's text has no tag.
+HTML_HIDDEN = r"(?s)<script.*?</script>|<style.*?</style>|<title.*?</title>|<!--.*?-->"
+HTML_INLINE = r"</?(a|b|br|i|em|span|strong)( [^>]*)?>"
 HTML_BLOCK = r"<(p|h1|li|footer)>([^<]+)"
-FAST_MD = X.without_python(X.MD_RULES)
-FAST_PDF = X.without_python(X.PDF_RULES)
+#: Pages of a book.
+BOOK = 100
+
+
+def _book():
+    return F.concat(F.lit("web"), F.floor(F.col("page_id") / BOOK))
 
 
 def _sides(s, d):
-    """Both extractions of each web page: its text layer, and its blocks."""
-    pages = relation(s, d, "pages").select(F.lit("web").alias("book"), F.col("page_id").cast("int").alias("page_idx"), "html")
-    layer = F.regexp_replace(F.regexp_replace("html", r"(?s)<script.*?</script>|<style.*?</style>|<title.*?</title>|<!--.*?-->", " "), r"<[^>]*>", "\n")
-    tokens = pages.select("book", "page_idx", A.page_tokens(layer, FAST_PDF).alias("tokens"))
-    found = pages.select("book", "page_idx", F.posexplode(F.expr("regexp_extract_all(html, '" + HTML_BLOCK + "', 2)")).alias("index", "text"))
+    """Both extractions of each web page: its text layer, and its blocks; a page without blocks is a row with a null index."""
+    pages = relation(s, d, "pages").select(_book().alias("book"), F.col("page_id").cast("int").alias("page_idx"), F.regexp_replace("html", HTML_HIDDEN, " ").alias("html"))
+    tokens = pages.select("book", "page_idx", A.page_tokens(F.regexp_replace("html", r"<[^>]*>", "\n")).alias("tokens"))
+    flat = F.regexp_replace("html", HTML_INLINE, " ")
+    found = pages.withColumn("html", flat).select("book", "page_idx", F.posexplode_outer(F.expr("regexp_extract_all(html, '" + HTML_BLOCK + "', 2)")).alias("index", "text"))
     text = F.when(F.col("index") % 4 == 3, F.concat(F.col("text"), F.lit(" odd"))).otherwise(F.col("text"))
-    blocks = found.select("book", "page_idx", "index", B.block_id(F.col("page_idx"), F.col("index")).alias("id"), X.tokenize(X.normalize(text, FAST_MD)).alias("tokens"), (F.col("index") % 5 == 3).alias("math"))
+    blocks = found.select("book", "page_idx", "index", B.block_id(F.col("page_idx"), F.col("index")).alias("id"), X.tokenize(X.normalize(text, X.MD_RULES)).alias("tokens"), (F.col("index") % 5 == 3).alias("math"))
     return tokens, blocks
 
 
 @query
 def page_token_counts(s, d):
     tokens, blocks = _sides(s, d)
-    md = blocks.groupBy("page_idx").agg(F.sum(F.size("tokens")).cast("long").alias("md_tokens"), F.count(F.lit(1)).alias("blocks"))
+    md = blocks.groupBy("page_idx").agg(F.sum(F.size("tokens")).cast("long").alias("md_tokens"), F.count("index").alias("blocks"))
     return tokens.select("page_idx", F.size("tokens").cast("long").alias("pdf_tokens")).join(md, "page_idx", "left")
 
 
@@ -304,9 +327,13 @@ def diff_hunks(s, d):
 
 @query
 def guardrail_result(s, d):
-    """The whole result of the comparison, per book, with its counts flat."""
-    first = relation(s, d, "pages").select(F.lit("web").alias("book"), F.lit(101).alias("first")).limit(1)
-    return A.result(_aligned(s, d), first).select("book", "pages", "counts.*", F.size("hunks").alias("listed"), F.get("hunks", F.lit(0))["page"].alias("first_page"))
+    """The whole result of the comparison, per book, with its counts flat; page sizes that agree are checked on the way."""
+    pages = relation(s, d, "pages").select(_book().alias("book"), F.col("page_id").cast("int").alias("page_idx"))
+    first = pages.select("book", F.lit(101).alias("first")).distinct()
+    sizes = pages.select("book", "page_idx", F.lit(612.0).alias("width"), F.lit(792.0).alias("height"), F.lit(612.4).alias("model_width"), F.lit(791.6).alias("model_height"))
+    found = A.result(_aligned(s, d), first, sizes)
+    hunk = lambda h: F.concat_ws("|", h["page"].cast("string"), h["anchor"], h["pdf_text"], h["md_text"])
+    return found.select("book", "pages", "counts.*", F.md5(F.array_join(F.transform("hunks", hunk), "\n")).alias("digest"))
 
 
 @query
@@ -321,19 +348,19 @@ def hunks_with_math(s, d):
 
 @query
 def hunk_classes(s, d):
-    return C.classify(A.hunks(_aligned(s, d))).groupBy("kind").agg(F.count(F.lit(1)).alias("hunks"))
+    return C.classify(A.hunks(_aligned(s, d))).groupBy("book", "kind").agg(F.count(F.lit(1)).alias("hunks"))
 
 
 # report
 
 
 def _titles(s, d):
-    return relation(s, d, "heads").select("book", "chapter").distinct().withColumn("title", F.lit("The and"))
+    return relation(s, d, "documents").select(F.col("source").alias("book"), F.lit("ch01").alias("chapter")).distinct().withColumn("title", F.lit("The and"))
 
 
 @query
 def running_matter_suspects(s, d):
-    return R.running_matter_suspects(relation(s, d, "heads"), _titles(s, d), exact=False).select("book", "id")
+    return R.running_matter_suspects(relation(s, d, "running"), _titles(s, d)).select("book", "id")
 
 
 @query
@@ -373,15 +400,17 @@ def report_violations(s, d):
 def chapter_reports(s, d):
     """Whole reports of the web pages, a chapter per page; they pass the validator."""
     found = A.hunks(_aligned(s, d)).select("book", F.col("page_idx").cast("string").alias("chapter"), "seq", F.col("page_idx").alias("page"), "anchor", "pdf_text", "md_text")
-    docs = relation(s, d, "pages").select(F.col("page_id"), F.lit("web").alias("book"), F.col("page_id").cast("string").alias("chapter"))
+    docs = relation(s, d, "pages").select(F.col("page_id"), _book().alias("book"), F.col("page_id").cast("string").alias("chapter"))
     meta = docs.select("book", "chapter", F.lit("").alias("title"), F.array(F.col("page_id").cast("int"), F.col("page_id").cast("int")).alias("printed_pages"))
-    blocks = _sides(s, d)[1]
+    blocks = _sides(s, d)[1].filter("index is not null")
     kind = F.element_at(F.array(*(F.lit(t) for t in ("paragraph", "title", "table", "page_header", "image"))), (F.col("index") % 5 + 1).cast("int"))
     blocks = blocks.select("book", F.col("page_idx").cast("string").alias("chapter"), "page_idx", "index", "id", kind.alias("type"), F.lit("").alias("content"), F.lit("").alias("crop"), F.array_join("tokens", " ").alias("text"))
     run = docs.select("book", "chapter", F.lit("hybrid-http-client").alias("backend"), F.lit("high").alias("effort"), F.lit("1").alias("version"), F.timestamp_seconds(F.col("page_id")).alias("modified"))
-    report = R.build(meta, blocks, found, run, exact=False)
+    report = R.build(meta, blocks, found, run)
     checked = report.withColumn("json", F.to_json(F.struct(*report.columns)))
-    return checked.select("chapter", "counts.*", F.size("flagged_blocks").alias("flagged"), F.size("spot_check").alias("spots"), V.first_violation(F.col("json"))["path"].alias("violation"))
+    flag = lambda x: F.concat_ws(":", x["id"], x["type"], x["crop"], x["reason"])
+    flags = F.array_join(F.transform("flagged_blocks", flag), "|").alias("flagged")
+    return checked.select("book", "chapter", "counts.*", flags, F.size("spot_check").alias("spots"), "extraction.timestamp", V.first_violation(F.col("json"))["path"].alias("violation"))
 
 
 # contracts and profiling
