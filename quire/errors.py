@@ -18,7 +18,7 @@ class ExtractError(QuireError):
 
 
 class BlockError(QuireError):
-    """A page or block that breaks the block model."""
+    """A page or block that breaks the block model; raised by Spark when the row is evaluated, with this name in its message."""
 
 
 class PatchError(QuireError):

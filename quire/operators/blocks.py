@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.errors import BlockError
 from quire.functions.text import MD_RULES, Rule, flatten_latex, normalize, tokenize
 from quire.schemas import CAPTIONED, MODEL_MADE, RAW_PAGES, SPANS, TEXT, TYPES
 
 #: All the keys that a block's content can have, read at once.
 CONTENT = (
-    "paragraph_content {s}, title_content {s}, level int, list_items array<struct<item_content:{s}>>, "
+    "paragraph_content {s}, title_content {s}, level int, list_type string, table_type string, list_items array<struct<item_content:{s}>>, "
     "page_header_content {s}, page_footer_content {s}, page_number_content {s}, page_footnote_content {s}, page_aside_text_content {s}, "
     "math_content string, html string, content string, image_source struct<path:string>, "
     "table_caption {s}, table_footnote {s}, chart_caption {s}, chart_footnote {s}, image_caption {s}, image_footnote {s}"
@@ -39,8 +40,18 @@ def joined(groups: Column) -> Column:
 
 
 def raw_blocks(files: DataFrame, json: str = "value") -> DataFrame:
-    """files with page_idx, index and the raw block; a page without blocks is one row with a null block."""
-    pages = files.select(*(c for c in files.columns if c != json), F.posexplode_outer(F.from_json(json, RAW_PAGES)).alias("page_idx", "blocks_"))
+    """files with page_idx, index and the raw block; a page without blocks is one row with a null block.
+
+    Text that is not a list of pages (each a list of blocks) is an error when evaluated.
+    """
+    read = F.from_json(json, RAW_PAGES)
+    listed = F.try_parse_json(json)
+    # from_json reads a single value as a list of one; the text itself tells
+    pages = F.try_variant_get(listed, "$", "array<variant>")
+    shaped = F.schema_of_variant(listed).startswith("ARRAY") & ~F.exists(pages, lambda p: ~F.coalesce(F.schema_of_variant(p), F.lit("")).startswith("ARRAY"))
+    sound = F.coalesce(shaped, F.lit(False)) & read.isNotNull()
+    checked = F.when(sound, read).otherwise(F.raise_error(F.concat(F.lit(f"{BlockError.__name__}: not a list of pages: "), F.substring(F.coalesce(F.col(json), F.lit("null")), 1, 80))).cast(RAW_PAGES))
+    pages = files.select(*(c for c in files.columns if c != json), F.posexplode_outer(checked).alias("page_idx", "blocks_"))
     return pages.select(*(c for c in pages.columns if c != "blocks_"), F.posexplode_outer("blocks_").alias("index", "raw"))
 
 
@@ -67,7 +78,7 @@ def parse(raw: DataFrame) -> DataFrame:
         .when(F.col("raw.bbox").isNull() | (F.size("raw.bbox") != 4), F.concat(F.lit("no box at "), here))
     )
     # checked where the id is made, so no projection can lose the check while it keeps the block
-    identity = F.when(problem.isNotNull(), F.raise_error(problem).cast("string")).when(F.col("raw").isNotNull(), block_id(F.col("page_idx"), F.col("index")))
+    identity = F.when(problem.isNotNull(), F.raise_error(F.concat(F.lit(f"{BlockError.__name__}: "), problem)).cast("string")).when(F.col("raw").isNotNull(), block_id(F.col("page_idx"), F.col("index")))
     of_type = lambda *types: F.col("type").isin(*types)
     return rows.select(
         *(x for x in raw.columns if x not in ("raw", "page_idx", "index")),
@@ -83,7 +94,7 @@ def parse(raw: DataFrame) -> DataFrame:
         F.coalesce(F.when(of_type("table"), F.col("c.html")), F.lit("")).alias("html"),
         F.coalesce(F.when(of_type("chart", "image"), F.col("c.content")), F.lit("")).alias("content"),
         F.coalesce(F.when(of_type("table", "equation_interline", "chart", "image"), F.col("c.image_source.path")), F.lit("")).alias("crop"),
-        F.when(of_type("chart", "image"), F.col("raw.sub_type")).alias("sub_type"),
+        F.when(of_type("list"), F.col("c.list_type")).when(of_type("table"), F.col("c.table_type")).otherwise(F.col("raw.sub_type")).alias("sub_type"),
     )
 
 

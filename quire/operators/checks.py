@@ -68,18 +68,50 @@ def intake(books: DataFrame, pages: DataFrame, outline: DataFrame) -> DataFrame:
     )
 
 
-def probe(outline: DataFrame, config: DataFrame, pages: DataFrame, readings: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """Rows (book, number, fault): every chapter in scope, resolved; fault is null where that works."""
+def probe(outline: DataFrame, config: DataFrame, pages: DataFrame, readings: DataFrame, overrides: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
+    """Rows (book, number, fault): every chapter in scope, resolved; fault is null where that works.
+
+    With labels (book, page_idx, label, page_offset), its first and last page and those of
+    its sections must have a printed number too.
+    """
     scope = O.list_chapters(outline, config, readings, overrides)
-    found = O.resolve_chapters(outline, config, pages, overrides).groupBy("book", "number").agg(F.max("error").alias("error"), F.count(F.lit(1)).alias("n"))
+    chapters = O.resolve_chapters(outline, config, pages, overrides)
+    found = chapters.groupBy("book", "number").agg(F.max("error").alias("error"), F.count(F.lit(1)).alias("n"))
     rows = scope.join(found, ["book", "number"], "left")
-    return rows.select("book", "number", F.when(F.col("n").isNull(), F.lit("not in the outline")).otherwise(F.col("error")).alias("fault"))
+    bare = F.lit(None).cast("int")
+    if labels is not None:
+        level = config.select("book", "chapter_level")
+        ends = chapters.filter("error is null").select("book", "number", F.explode(F.array("first", "last")).alias("page_idx"))
+        tree = O.subtree(outline, chapters, config).join(level, "book").filter(F.col("level") == F.col("chapter_level") + 1)
+        needed = ends.unionByName(tree.select("book", "number", F.col("page0").alias("page_idx"))).distinct()
+        at = labels.select("book", "page_idx", O.printed_number(F.col("label"), F.col("page_idx"), F.col("page_offset")).alias("printed"))
+        missing = needed.join(at, ["book", "page_idx"], "left").filter("printed is null").groupBy("book", "number").agg(F.min("page_idx").alias("bare"))
+        rows, bare = rows.join(missing, ["book", "number"], "left"), F.col("bare")
+    fault = (
+        F.when(F.col("n").isNull(), F.lit("not in the outline"))
+        .when(F.col("error").isNotNull(), F.col("error"))
+        .when(bare.isNotNull(), F.format_string("page %d has no numeric label or offset", bare))
+    )
+    return rows.select("book", "number", fault.alias("fault"))
 
 
-def evidence(outline: DataFrame, page_text: DataFrame, samples: int = 3, top: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Level statistics, the first titles of each level, and the most frequent page offsets of each book."""
+def evidence(outline: DataFrame, page_text: DataFrame, config: DataFrame | None = None, labels: DataFrame | None = None, samples: int = 3, top: int = 3) -> dict[str, DataFrame]:
+    """What a book's configuration can go by: ``levels`` (statistics), ``titles`` (the first of each level), ``offsets``
+    (the most frequent); with config ``chapters`` (number of entries, the first and last), with labels too ``labels``
+    (those of the first chapter's first three pages, and whether one is a number)."""
     first = W.partitionBy("book", "level").orderBy("idx")
     titles = outline.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= samples)
     often = W.partitionBy("book").orderBy(F.desc("pages"), "offset")
     offsets = O.offset_candidates(page_text).withColumn("k", F.row_number().over(often)).filter(F.col("k") <= top)
-    return O.level_stats(outline), titles, offsets
+    found = {"levels": O.level_stats(outline), "titles": titles, "offsets": offsets}
+    if config is not None:
+        entries = O.chapter_entries(outline, config).join(outline.select("book", "idx", "page"), ["book", "idx"])
+        entry = F.struct("number", "title", "page")
+        found["chapters"] = entries.groupBy("book").agg(F.count(F.lit(1)).alias("entries"), F.min_by(entry, "idx").alias("first"), F.max_by(entry, "idx").alias("last"))
+        if labels is not None:
+            start = found["chapters"].select("book", (F.col("first.page") - 1).alias("start"))
+            near = labels.join(start, "book").filter(F.col("page_idx").between(F.col("start"), F.col("start") + 2))
+            shown = F.array_sort(F.collect_list(F.struct("page_idx", "label")))
+            numeric = F.max(F.coalesce(F.trim("label").rlike(r"\A[0-9]+\z"), F.lit(False)))
+            found["labels"] = near.groupBy("book").agg(F.transform(shown, lambda x: F.coalesce(x["label"], F.lit(""))).alias("labels"), numeric.alias("numeric"))
+    return found

@@ -148,11 +148,15 @@ def chapter(outline: DataFrame, config: DataFrame, pages: DataFrame, book: str,
     return found[0].asDict()
 
 
-def printed_page(label: Column, page_idx: Column, offset: Column) -> Column:
-    """The printed number of a page: its label if that is a number, else by offset, else an error when evaluated."""
+def printed_number(label: Column, page_idx: Column, offset: Column) -> Column:
+    """The printed number of a page: its label if that is a number, else by offset, else null."""
     bare = strip(label)
-    numeric = F.when(bare.rlike(r"\A[0-9]+\z"), bare.cast("int"))
-    return F.coalesce(numeric, page_idx + 1 - offset, F.raise_error(F.lit("a page without numeric label or offset")).cast("int"))
+    return F.coalesce(F.when(bare.rlike(r"\A[0-9]+\z"), bare.cast("int")), page_idx + 1 - offset)
+
+
+def printed_page(label: Column, page_idx: Column, offset: Column) -> Column:
+    """printed_number(), but a page without one is an error when evaluated."""
+    return F.coalesce(printed_number(label, page_idx, offset), F.raise_error(F.lit("a page without numeric label or offset")).cast("int"))
 
 
 def subtree(outline: DataFrame, chapters: DataFrame, config: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def rename(outline: DataFrame, level: int, match: str, replace: str) -> Result:
     hit = (F.col("level") == level) & F.col("title").rlike(match)
     without = outline.groupBy("book").agg(F.max(hit).alias("any")).filter("not any").limit(1).collect()
     if without or outline.isEmpty():
-        raise PatchError(f"rename {match!r} matched no level-{level} entries")
+        raise PatchError(f"no title at level {level} fits {match!r}, so there is nothing to rename")
     groups = re.compile(match).groups
     # everything before the first match is lazy and everything after it greedy, so one replacement hits the first match only
     shifted = re.sub(r"\$(\d+)", lambda m: f"${int(m[1]) + 1}" if m[1] != "0" else "$0", _java_replacement(replace))
@@ -72,7 +72,7 @@ def insert(outline: DataFrame, level: int, title: str, page: int, after: dict) -
     hit = (F.col("level") == after["level"]) & F.col("title").rlike(after["match"])
     bad = outline.groupBy("book").agg(F.count_if(hit).alias("n")).filter("n <> 1").limit(1).collect()
     if bad or outline.isEmpty():
-        raise PatchError(f"insert {title!r}: {after} matched {bad[0]['n'] if bad else 0} entries, one is needed")
+        raise PatchError(f"{title!r} needs one place to follow, {after} gives {bad[0]['n'] if bad else 0}")
     new = outline.filter(hit).select("book", "idx", F.lit(level).alias("level"), F.lit(title).alias("title"), F.lit(page).alias("page"), F.lit(1).alias("later"))
     rows = _renumbered(outline.withColumn("later", F.lit(0)).unionByName(new), "idx", "later")
     made = new.select("book", "idx", "level", "page", F.lit("").alias("old"), F.col("title").alias("new"), F.lit("inserted").alias("note"))
@@ -163,11 +163,11 @@ def patch(outline: DataFrame, rules: list[dict]) -> Result:
     for spec in rules:
         name = spec.get("rule")
         if name not in RULES:
-            raise PatchError(f"unknown rule {name!r}; known: {sorted(RULES)}")
+            raise PatchError(f"there is no rule {name!r}, only {', '.join(sorted(RULES))}")
         try:
             outline, made = RULES[name](outline, **{k: v for k, v in spec.items() if k != "rule"})
         except TypeError as error:
-            raise PatchError(f"rule {name}: bad arguments {spec}") from error
+            raise PatchError(f"{name} cannot take {sorted(k for k in spec if k != 'rule')}") from error
         made = made.withColumn("rule_no", F.lit(done))
         changes = made if changes is None else changes.unionByName(made)
         done += 1

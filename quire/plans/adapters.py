@@ -138,13 +138,14 @@ def page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.struct(
         of("title", line).alias("title_content"), of("title", F.col("n") % 3 + 1).alias("level"), of("paragraph", math).alias("paragraph_content"),
         of("list", F.array(F.struct(line.alias("item_content")), F.struct(F.array(text(F.lit("x"))).alias("item_content")))).alias("list_items"),
+        of("list", F.lit("bulleted")).alias("list_type"), of("table", F.lit("grid")).alias("table_type"),
         of("page_header", line).alias("page_header_content"), of("page_footer", line).alias("page_footer_content"), of("page_number", line).alias("page_number_content"),
         of("equation_interline", F.col("line")).alias("math_content"), of("table", F.concat(F.lit("<t>"), "line")).alias("html"),
         F.when(F.col("type") == "chart", F.col("line")).when((F.col("type") == "image") & (F.col("doc_id") % 2 == 0), F.col("line")).alias("content"),
         of("table", line).alias("table_caption"), of("table", F.array(text(F.lit("note")))).alias("table_footnote"), of("image", line).alias("image_caption"), of("chart", line).alias("chart_footnote"), path.alias("image_source"),
     )
     box = F.array(F.col("n") % 50 + 0.5, F.col("n") % 40 + 1.5, F.col("n") + 2.4, F.col("n") + 100.5).cast("array<double>")
-    sub = F.when(F.col("type") == "image", F.lit("photo"))
+    sub = F.when(F.col("type") == "image", F.lit("photo")).when(F.col("type") == "title", F.lit("head")).when(F.col("type").isin("list", "table"), F.lit("not this"))
     block = F.struct("n", F.struct("type", box.alias("bbox"), sub.alias("sub_type"), content.alias("content")).alias("b"))
     pages = t.groupBy("book", "doc_id").agg(F.transform(F.array_sort(F.collect_list(block)), lambda x: x["b"]).alias("page"))
     both = F.when(F.col("doc_id") % 7 == 0, F.array("page", F.slice("page", 1, 0))).otherwise(F.array("page"))

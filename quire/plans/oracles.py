@@ -223,7 +223,7 @@ SELECT book, idx, level, CASE WHEN level = 1 AND n IS NOT NULL AND NOT regexp_ma
 SELECT doc_id, 0 AS page_idx, id, type, round_even(n % 50 + 0.5, 0)::INT AS x0, round_even(n % 40 + 1.5, 0)::INT AS y0, round_even(n + 2.4, 0)::INT AS x1, round_even(n + 100.5, 0)::INT AS y1,
   CASE WHEN type = 'title' THEN n % 3 + 1 ELSE -1 END AS level, CASE WHEN type = 'equation_interline' THEN line ELSE '' END AS math, CASE WHEN type = 'table' THEN '<t>' || line ELSE '' END AS html,
   CASE WHEN type = 'chart' OR (type = 'image' AND doc_id % 2 = 0) THEN line ELSE '' END AS content, CASE WHEN type IN ('table', 'equation_interline', 'image', 'chart') AND n % 4 <> 0 THEN 'images/' || n || '.jpg' ELSE '' END AS crop,
-  CASE WHEN type = 'image' THEN 'photo' END AS sub_type FROM numbers
+  CASE type WHEN 'image' THEN 'photo' WHEN 'title' THEN 'head' WHEN 'list' THEN 'bulleted' WHEN 'table' THEN 'grid' END AS sub_type FROM numbers
 UNION ALL SELECT doc_id, 1, NULL, NULL, -1, -1, -1, -1, -1, '', '', '', '', NULL FROM documents WHERE doc_id % 7 = 0""",
     "block_text_math": _w("typed", _TYPED) + """
 SELECT doc_id, id, CASE type WHEN 'paragraph' THEN line || ' end' WHEN 'list' THEN CASE WHEN line = '' THEN 'x' ELSE line || chr(10) || 'x' END WHEN 'table' THEN '' WHEN 'chart' THEN '' WHEN 'image' THEN '' WHEN 'equation_interline' THEN '' ELSE line END AS text,
@@ -272,9 +272,14 @@ tops AS (SELECT book, count(*) AS outline_entries, count(*) FILTER (level = 1) A
 SELECT s.book, s.pages, with_text || '/' || sampled AS text_layer_sample, coalesce(outline_entries, 0) AS outline_entries, coalesce(outline_top_level, 0) AS outline_top_level, coalesce(titles, '') AS first_titles,
   array_to_string(list_filter([CASE WHEN with_text < sampled THEN (sampled - with_text) || ' of ' || sampled || ' sampled pages have no text' END, CASE WHEN outline_entries IS NULL THEN 'no outline and no chapter ranges' END], lambda x: x IS NOT NULL), '|') AS faults
 FROM spans s JOIN sample USING (book) LEFT JOIN tops USING (book)""",
-    "probe_check": _w("outline book_pages overrides readings", _RANGE_STEPS, _RULED, """
+    # the fifth source has no offset, so only its numeric labels count
+    "probe_check": _w("outline book_pages overrides readings", _RANGE_STEPS, _RULED, _SUBTREE, """
 listed AS (SELECT book, number FROM readings UNION SELECT DISTINCT book, 77777 FROM readings),
-scope AS (SELECT book, number FROM listed UNION SELECT book, number FROM (SELECT book, number FROM entries UNION SELECT book, number FROM overrides) WHERE book NOT IN (SELECT book FROM readings))""") + "SELECT s.book, s.number, CASE WHEN r.book IS NULL THEN 'not in the outline' ELSE r.error END AS fault FROM scope s LEFT JOIN ruled r ON s.book = r.book AND s.number = r.number",
+scope AS (SELECT book, number FROM listed UNION SELECT book, number FROM (SELECT book, number FROM entries UNION SELECT book, number FROM overrides) WHERE book NOT IN (SELECT book FROM readings)),
+needed AS (SELECT book, number, unnest([first, last]) AS page FROM ruled WHERE error IS NULL UNION SELECT book, number, page0 FROM tree WHERE level = 3),
+bare AS (SELECT n.book, n.number, min(page) AS page FROM needed n JOIN book_pages p ON p.book = n.book WHERE page < 0 OR page > page_count OR (n.book = 'src5' AND page % 3 <> 0) GROUP BY ALL)""") + """
+SELECT s.book, s.number, CASE WHEN r.book IS NULL THEN 'not in the outline' WHEN r.error IS NOT NULL THEN r.error WHEN b.page IS NOT NULL THEN 'page ' || b.page || ' has no numeric label or offset' END AS fault
+FROM scope s LEFT JOIN ruled r ON s.book = r.book AND s.number = r.number LEFT JOIN bare b ON s.book = b.book AND s.number = b.number""",
 }
 ORACLES["probe_evidence"] = (
     ORACLES["outline_offset_candidates"].replace('SELECT book, page_idx + 1 - v AS "offset", count(*) AS pages FROM nums GROUP BY ALL', "")

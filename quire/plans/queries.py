@@ -100,10 +100,18 @@ def chapter_sections(s, d):
     return O.sections(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
 
 
+def meta(s, d):
+    """The meta documents of all chapters."""
+    return O.build_meta(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
+
+
 @query
 def chapter_meta(s, d):
-    meta = O.build_meta(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
-    return meta.select(
+    return flat_meta(meta(s, d))
+
+
+def flat_meta(documents):
+    return documents.select(
         "book", "chapter", "number", "title", F.col("pdf_pages")[0].alias("first_page"), F.col("pdf_pages")[1].alias("last_page"), F.coalesce(F.col("printed_pages")[0], F.lit(-1)).alias("first_printed"),
         F.coalesce(F.col("printed_pages")[1], F.lit(-1)).alias("last_printed"),
         F.size("sections").alias("n_sections"), F.md5(F.array_join(F.transform("sections", lambda x: F.concat_ws("|", x["number"], x["title"], x["pdf_page"], x["printed_page"], x["level"])), "\n")).alias("sections"),
@@ -325,13 +333,20 @@ def diff_hunks(s, d):
     return A.hunks(_aligned(s, d))
 
 
-@query
-def guardrail_result(s, d):
-    """The whole result of the comparison, per book, with its counts flat; page sizes that agree are checked on the way."""
+def comparison(s, d):
+    """The results of the comparison of all books; page sizes that agree are checked on the way."""
     pages = relation(s, d, "pages").select(_book().alias("book"), F.col("page_id").cast("int").alias("page_idx"))
     first = pages.select("book", F.lit(101).alias("first")).distinct()
     sizes = pages.select("book", "page_idx", F.lit(612.0).alias("width"), F.lit(792.0).alias("height"), F.lit(612.4).alias("model_width"), F.lit(791.6).alias("model_height"))
-    found = A.result(_aligned(s, d), first, sizes)
+    return A.result(_aligned(s, d), first, sizes)
+
+
+@query
+def guardrail_result(s, d):
+    return flat_comparison(comparison(s, d))
+
+
+def flat_comparison(found):
     hunk = lambda h: F.concat_ws("|", h["page"].cast("string"), h["anchor"], h["pdf_text"], h["md_text"])
     return found.select("book", "pages", "counts.*", F.md5(F.array_join(F.transform("hunks", hunk), "\n")).alias("digest"))
 
@@ -396,8 +411,7 @@ def report_violations(s, d):
     return V.violations(_report_documents(s, d)).select("c_custkey", "path")
 
 
-@query
-def chapter_reports(s, d):
+def reports(s, d):
     """Whole reports of the web pages, a chapter per page; they pass the validator."""
     found = A.hunks(_aligned(s, d)).select("book", F.col("page_idx").cast("string").alias("chapter"), "seq", F.col("page_idx").alias("page"), "anchor", "pdf_text", "md_text")
     docs = relation(s, d, "pages").select(F.col("page_id"), _book().alias("book"), F.col("page_id").cast("string").alias("chapter"))
@@ -406,7 +420,15 @@ def chapter_reports(s, d):
     kind = F.element_at(F.array(*(F.lit(t) for t in ("paragraph", "title", "table", "page_header", "image"))), (F.col("index") % 5 + 1).cast("int"))
     blocks = blocks.select("book", F.col("page_idx").cast("string").alias("chapter"), "page_idx", "index", "id", kind.alias("type"), F.lit("").alias("content"), F.lit("").alias("crop"), F.array_join("tokens", " ").alias("text"))
     run = docs.select("book", "chapter", F.lit("hybrid-http-client").alias("backend"), F.lit("high").alias("effort"), F.lit("1").alias("version"), F.timestamp_seconds(F.col("page_id")).alias("modified"))
-    report = R.build(meta, blocks, found, run)
+    return R.build(meta, blocks, found, run)
+
+
+@query
+def chapter_reports(s, d):
+    return flat_reports(reports(s, d))
+
+
+def flat_reports(report):
     checked = report.withColumn("json", F.to_json(F.struct(*report.columns)))
     flag = lambda x: F.concat_ws(":", x["id"], x["type"], x["crop"], x["reason"])
     flags = F.array_join(F.transform("flagged_blocks", flag), "|").alias("flagged")
@@ -427,20 +449,29 @@ def artifact_contract(s, d):
     return K.artifact_faults(chapters, present.drop("doc_id"), middle, content)
 
 
-@query
-def intake_check(s, d):
+def manifest(s, d):
+    """The intake's manifest: a row per book."""
     pages = relation(s, d, "page_text")
     books = pages.groupBy("book").agg(F.lit(1).alias("begin"), (F.max("page_idx") + 1).alias("end")).withColumn("has_ranges", F.lit(False))
-    found = K.intake(books, pages, _outline(s, d).filter("book <> 'src4'"))
+    return K.intake(books, pages, _outline(s, d).filter("book <> 'src4'"))
+
+
+@query
+def intake_check(s, d):
+    return flat_manifest(manifest(s, d))
+
+
+def flat_manifest(found):
     return found.select("book", "pages", "text_layer_sample", "outline_entries", "outline_top_level", F.array_join("first_titles", "|").alias("first_titles"), F.array_join("faults", "|").alias("faults"))
 
 
 @query
 def probe_check(s, d):
     listed = _readings(s, d).withColumn("chapters", F.array_append("chapters", F.lit(77777)))
-    return K.probe(_outline(s, d), relation(s, d, "config"), relation(s, d, "book_pages"), listed, relation(s, d, "overrides"))
+    labels = _labels(s, d).withColumn("page_offset", F.when(F.col("book") != "src5", F.col("page_offset")))
+    return K.probe(_outline(s, d), relation(s, d, "config"), relation(s, d, "book_pages"), listed, relation(s, d, "overrides"), labels)
 
 
 @query
 def probe_evidence(s, d):
-    return K.evidence(_outline(s, d), relation(s, d, "page_text"))[2].select("book", "offset", "pages", F.col("k").cast("long").alias("k"))
+    return K.evidence(_outline(s, d), relation(s, d, "page_text"))["offsets"].select("book", "offset", "pages", F.col("k").cast("long").alias("k"))

@@ -63,7 +63,9 @@ def books(spark: SparkSession, path: str) -> DataFrame:
     import yaml
 
     with open(path, encoding="utf-8") as f:
-        given = yaml.safe_load(f)
+        given = (yaml.safe_load(f) or {}).get("books")
+    if not isinstance(given, dict):
+        raise ConfigError(f"{path}: no books")
     rows = []
     for book, c in given.items():
         toc = c.get("toc") or {}
@@ -95,7 +97,7 @@ def readings(spark: SparkSession, course: str, directory: str) -> DataFrame:
     if os.path.exists(path):
         with open(path, encoding="utf-8") as f:
             given = yaml.safe_load(f) or {}
-    return spark.createDataFrame([(b, [int(n) for n in c]) for b, c in given.items()], "book string, chapters array<int>")
+    return spark.createDataFrame([(b, [int(n) for n in c or []]) for b, c in given.items()], "book string, chapters array<int>")
 
 
 def overrides(config: DataFrame) -> DataFrame:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quire.errors import ConfigError, PatchError, ReportError
 from quire.operators import patches, validate
 
 
 def write_documents(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines below book=.../chapter=..., other columns as the document; text stays as it is, non-ASCII too."""
-    rows.write.mode(mode).partitionBy("book", "chapter").json(path)
+    """JSON lines below book=... and, if rows have one, chapter=...; other columns are the document, text stays as it is."""
+    rows.write.mode(mode).partitionBy(*(c for c in ("book", "chapter") if c in rows.columns)).json(path)
+
+
+def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Documents that write_documents() wrote, with the schema of the rows that it was given."""
+    return spark.read.schema(schema).json(path).select(*schema.names)
 
 
 def write_reports(reports: DataFrame, path: str) -> None:
@@ -27,7 +33,7 @@ def write_reports(reports: DataFrame, path: str) -> None:
 def chapter_pages(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     """The pages of each chapter, numbered from 0 within it."""
     spans = chapters.filter("error is null").select("book", F.col("slug").alias("chapter"), "first", "last")
-    rows = pages.join(F.broadcast(spans), "book").filter(F.col("page_idx").between(F.col("first"), F.col("last")))
+    rows = pages.join(spans, "book").filter(F.col("page_idx").between(F.col("first"), F.col("last")))
     return rows.withColumn("page_idx", F.col("page_idx") - F.col("first")).drop("first", "last")
 
 
@@ -60,23 +66,41 @@ def version_path(path: str, version: int) -> str:
     return f"{path}/version={version}"
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of an outline below a path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
+
+
+def outline_version(outline: DataFrame, path: str, version: int) -> DataFrame:
+    return outline.sparkSession.read.schema(outline.schema).parquet(version_path(path, version))
+
+
+def _differ(a: DataFrame, b: DataFrame) -> bool:
+    return not (a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty())
+
+
 def apply_patches(outline: DataFrame, rules: list[dict], path: str, force: bool = False) -> DataFrame:
-    """Write the outline as version 0 and the patched one as version 1, read both back and compare; the changes.
+    """Write what the rules make of the newest version below path (at first: of outline) as the next one; the changes.
 
-    An outline that has been patched is not patched again, unless forced; version 0 is never overwritten.
+    Version 0 keeps the original and is never written again. Rules that change nothing write
+    nothing. An outline that differs from its original has been patched already: that is an
+    error, unless forced to put these patches on top. What was written is read back and compared.
     """
-    spark = outline.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    there = fs.exists(at(version_path(path, 0)))
-    if there and not force:
-        raise PatchError(f"{path} has been patched already")
-    if not there:
+    have = versions(outline.sparkSession, path)
+    now = outline_version(outline, path, have[-1]) if have else outline
+    if len(have) > 1 and not force and _differ(now, outline_version(outline, path, 0)):
+        raise PatchError(f"{path} has been patched already; forcing puts the rules on top of that")
+    patched, changes = patches.patch(now, rules)
+    if changes.isEmpty():
+        return changes
+    if not have:
         outline.write.parquet(version_path(path, 0))
-    original = spark.read.schema(outline.schema).parquet(version_path(path, 0))
-    patched, changes = patches.patch(original, rules)
-    patched.write.mode("overwrite").parquet(version_path(path, 1))
-    back = spark.read.schema(patched.schema).parquet(version_path(path, 1))
-    if not (back.exceptAll(patched).isEmpty() and patched.exceptAll(back).isEmpty()):
+        patched, changes = patches.patch(outline_version(outline, path, 0), rules)
+    new = have[-1] + 1 if have else 1
+    patched.write.mode("overwrite").parquet(version_path(path, new))
+    if _differ(outline_version(patched, path, new), patched):
         raise PatchError(f"{path}: what was written differs from what was meant")
     return changes

@@ -3,7 +3,9 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
-from quire.plans import adapters, oracles, queries
+from quire.plans import adapters, files, oracles, queries
+
+QUERIES, ORACLES = queries.QUERIES | files.QUERIES, oracles.ORACLES | files.ORACLES
 
 
 def test_entry(spark):
@@ -12,7 +14,7 @@ def test_entry(spark):
 
 
 def test_registry():
-    assert set(queries.QUERIES) <= set(entry.queries()) and set(oracles.ORACLES) <= set(queries.QUERIES)
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -25,16 +27,16 @@ def duck(data):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, data, duck, name):
-    got = queries.QUERIES[name](spark, data)
+    got = QUERIES[name](spark, data)
     cols = sorted(got.columns)
-    want = duck.sql(oracles.ORACLES[name])
+    want = duck.sql(ORACLES[name])
     assert sorted(want.columns) == cols
     quoted = ", ".join(f'"{c}"' for c in cols)
-    assert Counter(tuple(r[c] for c in cols) for r in got.collect()) == Counter(duck.sql(f"SELECT {quoted} FROM ({oracles.ORACLES[name]})").fetchall())
+    assert Counter(tuple(r[c] for c in cols) for r in got.collect()) == Counter(duck.sql(f"SELECT {quoted} FROM ({ORACLES[name]})").fetchall())
 
 
 def test_reports_pass_the_validator(spark, data):
-    rows = queries.QUERIES["chapter_reports"](spark, data).collect()
+    rows = QUERIES["chapter_reports"](spark, data).collect()
     assert rows and all(r["violation"] is None for r in rows) and sum(r["diff_hunks"] for r in rows) > 0

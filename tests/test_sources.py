@@ -2,12 +2,13 @@ import json
 
 import pytest
 
-from quire.errors import ConfigError, ExtractError
+from quire.errors import ConfigError, ExtractError, PatchError
 from quire.operators import external
 from quire.sources import readers, sinks
 
 BOOKS = """
-bma:
+books:
+ bma:
   title: A book
   edition: 13
   pdf: bma.pdf
@@ -15,7 +16,7 @@ bma:
   toc: {source: outline, chapter_level: 2, chapter_pattern: '^(\\d+): ', page_offset: 4, patches: [{rule: rename, level: 1, match: a, replace: b}]}
   chapter_ranges: {ch02: [5, 9]}
   routing: {table: true}
-bkm:
+ bkm:
   title: Another
 """
 
@@ -28,8 +29,11 @@ def test_books(spark, tmp_path):
     assert [tuple(r) for r in readers.overrides(df).collect()] == [("bma", 2, 5, 9)]
     with pytest.raises(ConfigError, match="bkm, bma"):
         readers.book_config(df, "x")
-    (tmp_path / "mitx.yaml").write_text("bma: [6, 5]\n")
-    assert [tuple(r) for r in readers.readings(spark, "mitx", str(tmp_path)).collect()] == [("bma", [6, 5])]
+    (tmp_path / "bare.yaml").write_text("bma: {title: A book}")
+    with pytest.raises(ConfigError, match="no books"):
+        readers.books(spark, str(tmp_path / "bare.yaml"))
+    (tmp_path / "mitx.yaml").write_text("bma: [6, 5]\nbkm:\n")
+    assert [tuple(r) for r in readers.readings(spark, "mitx", str(tmp_path)).collect()] == [("bma", [6, 5]), ("bkm", [])]
     assert readers.readings(spark, "none", str(tmp_path)).count() == 0
 
 
@@ -70,12 +74,25 @@ def test_chapter_pages(spark):
     assert sorted(tuple(r) for r in sinks.chapter_pages(pages, chapters).select("chapter", "page_idx").collect()) == [("ch02", 0), ("ch02", 1)]
 
 
+def test_patches_stack_only_by_force(spark, tmp_path):
+    path = str(tmp_path / "outline")
+    outline = spark.createDataFrame([("b", 0, 1, "a one", 1), ("b", 1, 1, "a two", 5)], "book string, idx int, level int, title string, page int")
+    rename = lambda match, replace: [{"rule": "rename", "level": 1, "match": match, "replace": replace}]
+    titles = lambda v: [r["title"] for r in sinks.outline_version(outline, path, v).orderBy("idx").collect()]
+    assert sinks.apply_patches(outline, rename("a", "a"), path).count() == 0 and sinks.versions(spark, path) == []
+    assert sinks.apply_patches(outline, rename("a", "b"), path).count() == 2 and titles(1) == ["b one", "b two"]
+    with pytest.raises(PatchError, match="already"):
+        sinks.apply_patches(outline, rename("b", "c"), path)
+    assert sinks.apply_patches(outline, rename("b", "c"), path, force=True).count() == 2
+    assert titles(0) == ["a one", "a two"] and titles(2) == ["c one", "c two"]
+
+
 def test_external(tmp_path):
     got = external.command("a.pdf", "out", "http://x", {"table": True, "inline_formula": False, "lang": "en", "other": 1})
     assert got[-6:] == ["-f", "false", "-t", "true", "-l", "en"] and got[:2] == ["mineru", "-p"]
     assert external.environment({"A": "1"})["A"] == "1"
     settings = tmp_path / "m.json"
-    for text, message in ((None, "missing"), ("{}", "no folder"), (json.dumps({"models-dir": {"pipeline": str(tmp_path)}}), None)):
+    for text, message in ((None, "lacks models"), ("{}", "lacks models"), (json.dumps({"models-dir": {"pipeline": str(tmp_path)}}), None)):
         if text is not None:
             settings.write_text(text)
         if message:
