@@ -18,6 +18,7 @@ from quire.operators import report as R
 from quire.operators import validate as V
 from quire.plans import adapters
 from quire.plans.adapters import relation
+from quire.sources.scratch import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,7 +34,7 @@ def query(f: Query) -> Query:
 
 def _outline(s, d):
     """The outline is read by many branches of a plan; it is small beside the texts that it is made from."""
-    return relation(s, d, "outline").cache()
+    return materialize(relation(s, d, "outline"), "outline")
 
 
 @query
@@ -79,13 +80,14 @@ def printed_pages(s, d):
     return relation(s, d, "page_labels").select("book", "page_idx", O.printed_page(F.col("label"), F.col("page_idx"), F.col("page_offset")).alias("printed"))
 
 
-def _chapters(s, d):
-    return O.resolve_chapters(_outline(s, d), relation(s, d, "config"), relation(s, d, "book_pages"), relation(s, d, "overrides"))
+def _chapters(s, d, outline=None):
+    return O.resolve_chapters(_outline(s, d) if outline is None else outline, relation(s, d, "config"), relation(s, d, "book_pages"), relation(s, d, "overrides"))
 
 
 @query
 def chapter_subtree(s, d):
-    return O.subtree(_outline(s, d), _chapters(s, d), relation(s, d, "config"))
+    outline = _outline(s, d)
+    return O.subtree(outline, _chapters(s, d, outline), relation(s, d, "config"))
 
 
 def _labels(s, d):
@@ -97,12 +99,14 @@ def _labels(s, d):
 
 @query
 def chapter_sections(s, d):
-    return O.sections(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
+    outline = _outline(s, d)
+    return O.sections(outline, _chapters(s, d, outline), relation(s, d, "config"), _labels(s, d))
 
 
 def meta(s, d):
     """The meta documents of all chapters."""
-    return O.build_meta(_outline(s, d), _chapters(s, d), relation(s, d, "config"), _labels(s, d))
+    outline = _outline(s, d)
+    return O.build_meta(outline, _chapters(s, d, outline), relation(s, d, "config"), _labels(s, d))
 
 
 @query
