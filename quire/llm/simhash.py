@@ -25,8 +25,9 @@ NEAREST codewords of the extended Golay code by their correlation with the votes
 so the bits that are most likely to flip count least. Any two segments are a key:
 the COMBINED pairs of codewords that lose least correlation. A pair is lost only
 if it agrees in fewer than two segments; of pairs just at 0.8 that is 2 %, at
-0.85 under 1 % (README has measured figures). Candidates are verified by the
-exact similarity of their sets of shingles, so nothing below the threshold links.
+0.85 under 1 % (README has measured figures). Candidates form clusters; within a
+cluster the exact similarity of all pairs of sets of shingles is worked out, in
+tiles, so nothing below the threshold links, and no pair is ever a row.
 
 Work per key. Only distinct prints are keyed. Members of a key are cut into
 blocks of at most ``BLOCK`` and every pair of blocks is one tile; a tile is
@@ -217,11 +218,16 @@ def tile_forest(prints: np.ndarray, split: int, bits: int) -> list[tuple[int, in
     return edges
 
 
-def _tiles(keyed: DataFrame, ident: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of keyed by tile (key, x, y) and side (mine), sorted; and a table that can go when they have been read."""
+def _tiles(keyed: DataFrame, ident: str, block: int | None = None, weight: str | None = None, most: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Rows of keyed by tile (key, x, y) and side (mine), sorted; and a table that can go when they have been read.
+
+    A side holds about ``block`` members, and about ``most`` of what a column ``weight`` counts.
+    """
     # only keys with more members than one tile side holds are cut into blocks; they are few, or joined by shuffle
-    hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
-    hot = materialize(hot.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "simhash-hot")
+    need = F.ceil(F.count(F.lit(1)) / (block or BLOCK))
+    if weight:
+        need = F.greatest(need, F.ceil(F.sum(weight) / most))
+    hot = materialize(keyed.groupBy("key").agg(need.cast("int").alias("blocks")).filter(F.col("blocks") > 1), "simhash-hot")
     few = hot.limit(FEW_KEYS + 1).count() <= FEW_KEYS
     cut = keyed.join(F.broadcast(hot) if few else hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     mine = F.pmod(F.xxhash64(ident), F.col("blocks")).cast("int")
@@ -267,8 +273,8 @@ def _split(tile: dict[str, np.ndarray], s: int, e: int) -> int:
     return int(np.searchsorted(tile["mine"][s:e], y, "left")) if x != y else e - s
 
 
-def _forest(ident: str, prints: list[str], accept: int, keys: bool = False) -> Callable:
-    """compare() for _over_tiles: spanning forests of the links in tiles, as (a, b), with their key if asked for."""
+def _forest(ident: str, prints: list[str], accept: int) -> Callable:
+    """compare() for _over_tiles: spanning forests of the links in tiles, as (a, b)."""
 
     def compare(tile: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         own, names = np.stack([tile[c] for c in prints], axis=1).view(np.uint64), tile[ident]
@@ -282,10 +288,7 @@ def _forest(ident: str, prints: list[str], accept: int, keys: bool = False) -> C
             if got:
                 found.append(np.array(got) + s)
         at = np.concatenate(found)
-        out = [names[at[:, 0]], names[at[:, 1]]]
-        if keys:
-            out.insert(0, tile["key"][at[:, 0]])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["key", "a", "b"][-len(out) :])
+        yield pa.RecordBatch.from_arrays([pa.array(names[at[:, 0]]), pa.array(names[at[:, 1]])], names=["a", "b"])
 
     return compare
 
@@ -376,6 +379,8 @@ def soft_keys(packed: np.ndarray) -> np.ndarray:
 PRINTS, SOFT = [f"f{k}" for k in range(WORDS)], [f"s{k}" for k in range(SEGMENTS)]
 #: Texts soft-decoded at a time.
 CHUNK = 128
+#: Sets of shingles, and shingles, that one side of a tile holds; columns of a product of sets.
+SETS, GRAMS, COLUMNS = 256, 1 << 20, 1 << 13
 
 
 def _sketches(df: DataFrame, shingle: int) -> DataFrame:
@@ -412,45 +417,64 @@ def _soft_keyed(classes: DataFrame) -> DataFrame:
     return classes.select("h", *PRINTS, *SOFT).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def _apart_pairs(tile: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """compare() for _over_tiles: all near pairs (a, b) of a tile that are not in one group yet."""
-    own, names, group = np.stack([tile[c] for c in PRINTS], axis=1).view(np.uint64), tile["h"], tile["root"]
-    for s, e in zip(*(b.tolist() for b in _bounds(tile)), strict=True):
-        split = _split(tile, s, e)
-        for i in range(s, s + split):
-            first = i + 1 if split == e - s else s + split
-            near = np.flatnonzero((_apart(own[first:e], own[i]) <= NEAR_BITS) & (group[first:e] != group[i])) + first
-            if len(near):
-                a, b = np.minimum(names[i], names[near]), np.maximum(names[i], names[near])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
+def similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which pairs of sets (arrays of distinct longs) have that Jaccard similarity, exactly, as a square of booleans."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # an element of one set alone is in no intersection
+    shared = np.flatnonzero(often > 1)
+    place = np.full(len(often), -1, np.int64)
+    place[shared] = np.arange(len(shared))
+    at = place[column]
+    owner, at = owner[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, len(shared), COLUMNS):
+        s, e = np.searchsorted(at, [low, low + COLUMNS])
+        part = np.zeros((len(sets), min(COLUMNS, len(shared) - low)), np.float32)
+        part[owner[s:e], at[s:e] - low] = 1
+        both += part @ part.T  # counts below 2 ** 24 are exact in single precision
+    return both + 1e-9 >= similarity * (sizes[:, None] + sizes[None, :] - both)
+
+
+def _verified(similarity: float) -> Callable:
+    """compare() for _over_tiles: spanning forests of the similar pairs in tiles of sets (h, grams), as (a, b)."""
 
-def _verified(pairs: DataFrame, own: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """pairs (a, b) with ``similar``: whether the sets of shingles of the two classes' texts have that Jaccard similarity.
-
-    Only the texts of classes in pairs are read again; a pair and its two sets meet by joins.
-    """
-    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    ends = ends.join(classes.select("h", "least.*"), "h").withColumnsRenamed({"doc_id": "d", "t": "u"})
-    texts_ = own.withColumn("t", F.xxhash64("text")).join(ends, (F.col("doc_id") == F.col("d")) & (F.col("t") == F.col("u"))).select("h", "text")
-
-    def rows(column: list[bytes | None]) -> dict[str, list]:
-        return {"grams": [np.unique(np.array(shingle_hashes(x, shingle)[1], np.uint64)).view(np.int64) for x in column]}
+    def compare(tile: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        names, sets, found = tile["h"], tile["grams"], []
+        for s, e in zip(*(b.tolist() for b in _bounds(tile)), strict=True):
+            split = _split(tile, s, e)
+            near = similar([np.asarray(x) for x in sets[s:e]], similarity)
+            parent = list(range(e - s))
+
+            def root(i: int) -> int:
+                while parent[i] != i:
+                    parent[i] = parent[parent[i]]
+                    i = parent[i]
+                return i
+
+            for i in range(split):
+                first = i + 1 if split == e - s else split
+                for j in (np.flatnonzero(near[i, first:]) + first).tolist():
+                    a, b = root(i), root(j)
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        found.append((s + i, s + j))
+        at = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(names[at[:, 0]]), pa.array(names[at[:, 1]])], names=["a", "b"])
 
-    sets = arrow_map(texts_, ["text"], T.StructType([T.StructField("grams", T.ArrayType(T.LongType()))]), rows)
-    sets = materialize(sets.groupBy("h").agg(F.first("grams").alias("grams")), "simhash-grams")
-    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("grams").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    united = F.size("x") + F.size("y") - F.col("shared")
-    return both.withColumn("shared", shared).select("a", "b", (F.col("shared") + 1e-9 >= similarity * united).alias("similar"))
+    return compare
 
 
 def groups(own: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """Rows (doc_id, t): the first document of each group of near-duplicates among own (doc_id, text), its text's xxhash64 as t.
 
-    Groups are the components of all candidate pairs that verify. A first pass takes
-    of each key a spanning forest of candidates; where one of these fails, a second
-    one takes all pairs of that key that are not in one group by then.
+    Candidates are linked to clusters by spanning forests of their keys' tiles. Within a
+    cluster all pairs are verified, in tiles of sets of shingles, each of which gives a
+    spanning forest of its similar pairs; the groups are the components of these.
+    Only the texts of classes in clusters are read again.
     """
     bounded_batches(own.sparkSession)
     printed = _sketches(own, shingle).select("doc_id", F.xxhash64("text").alias("t"), "h", "h2", *PRINTS, *SOFT)
@@ -458,23 +482,22 @@ def groups(own: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) ->
     classes = materialize(printed.groupBy("h", "h2").agg(first, *(F.min(c).alias(c) for c in (*PRINTS, *SOFT))), "simhash-classes")
     keyed = materialize(_soft_keyed(classes), "simhash-keys")
     parts, hot = _tiles(keyed, "h")
-    forest = _over_tiles(_forest("h", PRINTS, NEAR_BITS, keys=True), parts.columns)
-    found = materialize(parts.mapInArrow(forest, "key long, a long, b long").select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b"), "simhash-candidates")
-    remove(hot)
-    checked = materialize(_verified(found.select("a", "b").distinct(), own, classes, shingle, similarity), "simhash-checked")
-    edges = checked.filter("similar").select("a", "b")
-    roots = components(edges, "a", "b")
-    failed = checked.filter("not similar").select("a", "b")
-    if not failed.isEmpty():
-        roots = materialize(roots, "simhash-roots")
-        again = materialize(found.join(failed, ["a", "b"], "left_semi").select("key").distinct(), "simhash-again")
-        open_ = keyed.join(again, "key", "left_semi").join(roots.select(F.col("node").alias("h"), "root"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-        parts, _ = _tiles(materialize(open_.select("key", "h", *PRINTS, "root"), "simhash-open"), "h")
-        rest = parts.mapInArrow(_over_tiles(_apart_pairs, parts.columns), "a long, b long").filter("a != b").distinct().join(failed, ["a", "b"], "left_anti")
-        rest = materialize(rest, "simhash-rest")
-        more = materialize(_verified(rest, own, classes, shingle, similarity).filter("similar").select("a", "b"), "simhash-more")
-        if not more.isEmpty():
-            roots = components(edges.unionByName(more), "a", "b")
+    forest = _over_tiles(_forest("h", PRINTS, NEAR_BITS), parts.columns)
+    found = materialize(parts.mapInArrow(forest, "a long, b long").filter("a != b").distinct(), "simhash-candidates")
+    remove(keyed, hot)
+    clusters = components(found, "a", "b").select(F.col("node").alias("h"), F.col("root").alias("key"))
+    ends = materialize(clusters.join(classes.select("h", "least.*"), "h").withColumnsRenamed({"doc_id": "d", "t": "u"}), "simhash-clusters")
+    texts_ = own.withColumn("t", F.xxhash64("text")).join(ends, (F.col("doc_id") == F.col("d")) & (F.col("t") == F.col("u"))).select("key", "h", "text")
+
+    def rows(column: list[bytes | None]) -> dict[str, list]:
+        return {"grams": [np.unique(np.array(shingle_hashes(x, shingle)[1], np.uint64)).view(np.int64) for x in column]}
+
+    sets = arrow_map(texts_, ["text"], T.StructType([T.StructField("grams", T.ArrayType(T.LongType()))]), rows)
+    # one row of each class, whatever rows repeat
+    sets = materialize(sets.groupBy("key", "h").agg(F.first("grams").alias("grams")).withColumn("n", F.size("grams")), "simhash-grams")
+    parts, _ = _tiles(sets, "h", SETS, "n", GRAMS)
+    checked = parts.mapInArrow(_over_tiles(_verified(similarity), parts.columns), "a long, b long").filter("a != b").distinct()
+    roots = components(materialize(checked, "simhash-checked"), "a", "b")
     rooted = classes.select("h", "least").join(roots.select(F.col("node").alias("h"), "root"), "h", "left")
     return rooted.groupBy(F.coalesce("root", "h").alias("root")).agg(F.min("least").alias("least")).select("least.*")
 
