@@ -177,6 +177,14 @@ def test_soft_decoding_is_brute_force():
     assert all(len(set(k)) == len(k) for k in keys.tolist()) and (keys[0] >> 24).max() == 9
 
 
+def test_similar_sets_are_brute_force(monkeypatch):
+    monkeypatch.setattr(simhash, "COLUMNS", 7)
+    rng = random.Random(5)
+    sets = [set(rng.sample(range(40), rng.randrange(0, 30))) for _ in range(60)] + [set(range(25)), set(range(24)), set(range(20)), set()]
+    near = simhash.similar([np.array(sorted(x), np.int64) for x in sets], 0.8)
+    assert all(near[i, j] == (5 * len(a & b) >= 4 * len(a | b)) for i, a in enumerate(sets) for j, b in enumerate(sets))
+
+
 def similar_pair(rng, n, close):
     """Two word lists of n words whose shingle sets have a similarity of at least ``close``, as near to it as it gets."""
     grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
@@ -233,6 +241,7 @@ def test_groups_are_those_of_all_pairs(spark, monkeypatch):
                 own[at] = word()
             docs[len(docs)] = " ".join(own)
     monkeypatch.setattr(simhash, "BLOCK", 16)
+    monkeypatch.setattr(simhash, "SETS", 16)
     got = {r["doc_id"] for r in simhash.keep_first(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)).collect()}
     want = near_firsts(docs)
     assert len(want) > 60 and want <= got and len(got) <= len(want) + 2  # of 240; a search may miss a link, never add one
