@@ -6,7 +6,7 @@ import difflib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,8 +67,48 @@ def align(hay: Column, blocks: Column) -> Column:
 
     Blocks are placed in order, each at the first free place at or after the end of
     the one placed before it, else at the first free place at all. Blocks without
-    tokens are not placed.
+    tokens are not placed. Tokens without spaces, as all that tokenize() makes, are looked for in the joined
+    text; others are compared token by token.
     """
+    odd = lambda c: F.exists(c, lambda t: t.isNull() | (t == "") | F.contains(t, F.lit(" ")))
+    return F.when(odd(hay) | F.exists(blocks, odd), _align_tokens(hay, blocks)).otherwise(_align_text(hay, blocks))
+
+
+def _align_text(hay: Column, blocks: Column) -> Column:
+    """align() by searches in the page's text, a space around each token; what is placed is struck out by spaces, which no block has in a row."""
+    kind = "array<struct<s:int,e:int>>"
+    whole = F.concat(F.lit(" "), F.array_join(hay, " "), F.lit(" "))
+    at = lambda sub, text, pos: F.call_function("locate", sub, text, pos)
+    bound = lambda c, f: F.get(F.transform(F.array(c), f), 0)
+
+    def walk(orig: Column) -> Column:
+        start = F.struct(orig.alias("left"), F.lit(1).alias("cur"), F.array().cast(kind).alias("spans"))
+
+        def step(acc: Column, b: Column) -> Column:
+            def put(p: Column, own: Column) -> Column:
+                n = F.length(own) - 2
+                before = orig.substr(F.lit(1), p)
+                s = F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit(""))) - 1
+                struck = F.concat(acc["left"].substr(F.lit(1), p), F.repeat(F.lit(" "), n), acc["left"].substr(p + 1 + n, F.length(orig)))
+                found = bound(s, lambda i: F.struct(i.cast("int").alias("s"), (i + F.size(b)).cast("int").alias("e")))
+                return F.when(p > 0, F.struct(struck.alias("left"), (p + n + 1).alias("cur"), F.concat(acc["spans"], F.array(found)).alias("spans"))).otherwise(
+                    F.struct(acc["left"].alias("left"), acc["cur"].alias("cur"), F.concat(acc["spans"], F.array(F.lit(None).cast("struct<s:int,e:int>"))).alias("spans"))
+                )
+
+            def search(own: Column) -> Column:
+                later = F.nullif(at(own, acc["left"], acc["cur"]), F.lit(0))
+                place = F.when(F.size(b) > 0, F.coalesce(later, at(own, acc["left"], F.lit(1)))).otherwise(F.lit(0))
+                return bound(place, lambda p: put(p, own))
+
+            return bound(F.concat(F.lit(" "), F.array_join(b, " "), F.lit(" ")), search)
+
+        return F.aggregate(blocks, start, step, lambda acc: acc["spans"])
+
+    return bound(whole, walk)
+
+
+def _align_tokens(hay: Column, blocks: Column) -> Column:
+    """align() by comparing slices of tokens, whatever they hold."""
     kind = "array<struct<s:int,e:int>>"
     start = F.struct(F.lit(0).alias("cur"), F.array().cast(kind).alias("spans"))
 
@@ -167,6 +207,8 @@ def _hunks(page: dict) -> Iterator[tuple]:
         yield i1, anchor, " ".join(p[max(0, i1 - CONTEXT) : i2 + CONTEXT]), " ".join(m[max(0, j1 - CONTEXT) : j2 + CONTEXT]), anchor in with_math, " ".join(p[i1:i2]), " ".join(m[j1:j2])
 
 
+#: Pages that are Python objects at a time, and bytes of one Arrow batch: these bound a worker's memory, whatever the input.
+PAGES_AT_ONCE, ARROW_BYTES = 64, 16 << 20
 HUNK = "struct<seq:int,anchor:string,pdf_text:string,md_text:string,math:boolean,pdf_part:string,md_part:string>"
 
 
@@ -177,6 +219,13 @@ def _residue() -> Column:
     return (placed < F.size("hay")) | unplaced
 
 
+def _bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ARROW_BYTES; a smaller bound of the session's stays."""
+    own = int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch())
+    if not 0 < own <= ARROW_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def with_hunks(aligned_pages: DataFrame) -> DataFrame:
     """aligned_pages, its array columns replaced by the hunks of each page: one evaluation for whatever is counted of them.
 
@@ -186,6 +235,7 @@ def with_hunks(aligned_pages: DataFrame) -> DataFrame:
     """
     parts = ["hay", "blocks", "spans"]
     kept = [c for c in aligned_pages.columns if c not in (*parts, *KEYS)]
+    _bounded_batches(aligned_pages.sparkSession)
     work = aligned_pages.withColumn("work", _residue())
     work = work.select(*KEYS, *kept, *(F.when(F.col("work"), F.col(c)).alias(c) for c in parts))
     out = T.StructType([*work.select(*KEYS, *kept).schema.fields, T.StructField("hunks", T.ArrayType(T._parse_datatype_string(HUNK)))])
@@ -193,7 +243,7 @@ def with_hunks(aligned_pages: DataFrame) -> DataFrame:
     fields = [f.name for f in out["hunks"].dataType.elementType.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, PAGES_AT_ONCE) for whole in batches for k in range(0, whole.num_rows, PAGES_AT_ONCE)):
             same = batch.select([*KEYS, *kept])
             pages = batch.select(["page_idx", *parts]).to_pylist()
             found = [[dict(zip(fields, (k, *h[1:]), strict=True)) for k, h in enumerate(_hunks(page))] if page["hay"] is not None else [] for page in pages]

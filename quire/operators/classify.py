@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import SPACE, tokenize
+from quire.sources.scratch import materialize
 
 KEYS = ("book", "page_idx", "seq")
 
@@ -26,7 +27,8 @@ def _words(c: Column) -> Column:
 
 
 def classify(found: DataFrame) -> DataFrame:
-    """hunks() rows with ``kind``; moves across pages are told from moves within one."""
+    """hunks() rows with ``kind``; moves across pages are told from moves within one. The hunks are read three times, so they are found once."""
+    found = materialize(found, "hunks")
     one = lambda side, other: found.filter((F.col(side) != "") & (F.col(other) == "")).select("book", F.col(side).alias("text_"), "page_idx")
     # per text, the pages it stands on; equal texts meet by key, and each side is summed up before it is joined
     gone = one("pdf_part", "md_part").groupBy("book", "text_").agg(F.min("page_idx").alias("a"), F.max("page_idx").alias("b"))

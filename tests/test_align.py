@@ -114,3 +114,40 @@ def test_classes(spark):
     got = {tuple(r)[:3]: r["kind"] for r in classify(df).collect()}
     want = ["inline-math", "move across pages", "move across pages", "move", "move", "split", "joined", "punctuation", "symbol", "replace", "deletion", "insertion", "insertion"]
     assert [got[r[:3]] for r in rows] == want
+
+
+def test_tokens_with_spaces_align_by_tokens(spark):
+    pages = [(["a b", "c", "a", "b"], [["a", "b"], ["a b"]]), (["", "x"], [["x"], [""]]), (["x", "x", "x"], [["x", "x"], ["x"], ["x"]])]
+    got = {r["page_idx"]: [(s["s"], s["e"]) if s else None for s in r["spans"]] for r in A.aligned(A.pages_of(*frames(spark, pages))).collect()}
+    assert got == {i: plain_align(*p) for i, p in enumerate(pages)} and got[2] == [(0, 2), (2, 3), None]
+
+
+def test_words_of_many_letters_align_in_text(spark):
+    random.seed(5)
+    words = ["ab", "b", "abc", "é", "東京", "$1", "c"]
+    pages = [([random.choice(words) for _ in range(random.randrange(40))], [[random.choice(words) for _ in range(random.randrange(4))] for _ in range(random.randrange(9))]) for _ in range(300)]
+    got = {r["page_idx"]: [(s["s"], s["e"]) if s else None for s in r["spans"]] for r in A.aligned(A.pages_of(*frames(spark, pages))).collect()}
+    assert got == {i: plain_align(*p) for i, p in enumerate(pages)}
+
+
+def test_a_worker_holds_few_pages_as_objects(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    limit = A.PAGES_AT_ONCE
+
+    def counting(page, plain=A._hunks):
+        seen.add(1)
+        return plain(page)
+
+    monkeypatch.setattr(A, "_hunks", counting)
+    pages = [(["x", str(i)], [["y"]]) for i in range(3 * limit + 5)]
+    own = A.aligned(A.pages_of(*frames(spark, pages))).coalesce(1)
+    assert A.with_hunks(own).count() == len(pages)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")) <= A.ARROW_BYTES
+
+
+def test_hunks_are_found_once_for_classes(spark):
+    from quire.operators.classify import classify
+
+    found = A.hunks(A.aligned(A.pages_of(*frames(spark, [("a b c".split(), [["a", "x", "c"]])]))))
+    plan = classify(found)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("Relation") == 3
