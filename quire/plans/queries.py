@@ -417,10 +417,12 @@ def report_violations(s, d):
 
 def reports(s, d):
     """Whole reports of the web pages, a chapter per page; they pass the validator."""
-    found = A.hunks(_aligned(s, d)).select("book", F.col("page_idx").cast("string").alias("chapter"), "seq", F.col("page_idx").alias("page"), "anchor", "pdf_text", "md_text")
+    tokens, sides = _sides(s, d)
+    sides = materialize(sides, "sides")  # read for the comparison, the flags, the counts and the sample
+    found = A.hunks(A.aligned(A.pages_of(tokens, sides))).select("book", F.col("page_idx").cast("string").alias("chapter"), "seq", F.col("page_idx").alias("page"), "anchor", "pdf_text", "md_text")
     docs = relation(s, d, "pages").select(F.col("page_id"), _book().alias("book"), F.col("page_id").cast("string").alias("chapter"))
     meta = docs.select("book", "chapter", F.lit("").alias("title"), F.array(F.col("page_id").cast("int"), F.col("page_id").cast("int")).alias("printed_pages"))
-    blocks = _sides(s, d)[1].filter("index is not null")
+    blocks = sides.filter("index is not null")
     kind = F.element_at(F.array(*(F.lit(t) for t in ("paragraph", "title", "table", "page_header", "image"))), (F.col("index") % 5 + 1).cast("int"))
     blocks = blocks.select("book", F.col("page_idx").cast("string").alias("chapter"), "page_idx", "index", "id", kind.alias("type"), F.lit("").alias("content"), F.lit("").alias("crop"), F.array_join("tokens", " ").alias("text"))
     run = docs.select("book", "chapter", F.lit("hybrid-http-client").alias("backend"), F.lit("high").alias("effort"), F.lit("1").alias("version"), F.timestamp_seconds(F.col("page_id")).alias("modified"))

@@ -40,3 +40,8 @@ def test_against_sql(spark, data, duck, name):
 def test_reports_pass_the_validator(spark, data):
     rows = QUERIES["chapter_reports"](spark, data).collect()
     assert rows and all(r["violation"] is None for r in rows) and sum(r["diff_hunks"] for r in rows) > 0
+
+
+def test_sides_of_reports_are_made_once(spark, data):
+    plan = queries.reports(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
