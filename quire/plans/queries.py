@@ -389,7 +389,9 @@ def spot_sample(s, d):
 
 def _report_documents(s, d):
     """A report per customer, most of them broken in one way."""
-    c = relation(s, d, "customer").select("c_custkey", (F.col("c_custkey") % 13).cast("int").alias("w"))
+    # keys are few bytes, so a small file would be one task; the work is what is made of them
+    keys = relation(s, d, "customer").select("c_custkey").repartition(int(s.conf.get("spark.sql.shuffle.partitions")))
+    c = keys.select("c_custkey", (F.col("c_custkey") % 13).cast("int").alias("w"))
     w = F.col("w")
     hunk = F.struct(F.lit(5).alias("page"), F.lit("p000-b001").alias("anchor"), F.lit("a").alias("pdf_text"), F.lit("b").alias("md_text"))
     bad_hunk = F.struct(F.lit(-1).alias("page"), F.lit("p000-b001").alias("anchor"), F.lit("a").alias("pdf_text"), F.lit("b").alias("md_text"))

@@ -42,6 +42,10 @@ def test_reports_pass_the_validator(spark, data):
     assert rows and all(r["violation"] is None for r in rows) and sum(r["diff_hunks"] for r in rows) > 0
 
 
+def test_report_documents_are_checked_in_many_tasks(spark, data):
+    assert queries._report_documents(spark, data).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_sides_of_reports_are_made_once(spark, data):
     plan = queries.reports(spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan
