@@ -39,6 +39,14 @@ def page_json(spark: SparkSession, path: str) -> DataFrame:
     return B.parse(B.raw_blocks(keyed))
 
 
+def page_lines(spark: SparkSession, path: str) -> DataFrame:
+    """page_json() of many chapters: files below book=, a JSON line (chapter, value) for each page file, as write_documents() writes them.
+
+    A folder and a file for each chapter are made, committed and listed one by one, so they do for a book's chapters, not for 100,000s.
+    """
+    return B.parse(B.raw_blocks(spark.read.schema("chapter string, value string, book string").json(path).select("book", "chapter", "value")))
+
+
 def middle_json(spark: SparkSession, path: str) -> DataFrame:
     """Rows (path, pages, sizes, effort, version) of the layout model's own files; other fields are not read."""
     files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.from_json("value", MIDDLE).alias("m"))

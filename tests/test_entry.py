@@ -49,3 +49,10 @@ def test_report_documents_are_checked_in_many_tasks(spark, data):
 def test_sides_of_reports_are_made_once(spark, data):
     plan = queries.reports(spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan
+
+
+def test_chapters_of_a_book_share_page_files(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "new_path", lambda s, name: f"file://{tmp_path}/{name}")
+    chapters = QUERIES["page_files"](spark, data).count()
+    written = [p.relative_to(tmp_path / "pages").parts for p in tmp_path.rglob("*.json")]
+    assert all(len(p) == 2 and p[0].startswith("book=") for p in written) and 0 < len(written) < chapters
