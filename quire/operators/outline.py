@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.errors import SplitError
 from quire.functions.text import strip
+from quire.operators.order import running
 
 #: Numbered titles, and section numbers such as 5-1 or 5.1.
 NUMBERED = r"^\s*(?i:chapter\s+)?\d+(?U:\b)"
@@ -60,12 +61,12 @@ def with_parent(outline: DataFrame, out: str = "parent") -> DataFrame:
     level up; an outline that skips levels leaves null.
     """
     deepest = outline.agg(F.max("level")).first()[0] or 0
-    before = in_order(before=True)
+    levels = range(2, deepest + 1)
+    rows = running(outline, ["idx"], {f"above{k}": F.when(F.col("level") < k, F.struct("idx", "level")) for k in levels}) if levels else outline
     parent = F.lit(None).cast("int")
-    for k in range(2, deepest + 1):
-        last = F.last(F.when(F.col("level") < k, F.struct("idx", "level")), ignorenulls=True).over(before)
-        parent = F.when((F.col("level") == k) & (last["level"] == k - 1), last["idx"]).otherwise(parent)
-    return outline.withColumn(out, parent)
+    for k in levels:
+        parent = F.when((F.col("level") == k) & (F.col(f"above{k}.level") == k - 1), F.col(f"above{k}.idx")).otherwise(parent)
+    return rows.withColumn(out, parent).drop(*(f"above{k}" for k in levels))
 
 
 def children(outline: DataFrame) -> DataFrame:

@@ -10,27 +10,27 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.errors import PatchError
 from quire.functions.text import collapse, strip
-from quire.operators.outline import NUMBERED, SECTION, in_order, with_parent
+from quire.operators.order import chunk, numbered, running
+from quire.operators.outline import NUMBERED, SECTION, with_parent
+from quire.sources.scratch import materialize
 
 COLUMNS = ["book", "idx", "level", "title", "page"]
 Result = tuple[DataFrame, DataFrame]
 
 
-def _renumbered(rows: DataFrame, *keys: str) -> DataFrame:
-    at = F.row_number().over(W.partitionBy("book").orderBy(*keys)) - 1
-    return rows.withColumn("idx_", at.cast("int")).select("book", F.col("idx_").alias("idx"), "level", "title", "page")
+def _renumbered(rows: DataFrame, buckets: list[Column], *keys: str) -> DataFrame:
+    return numbered(rows, "idx_", buckets, list(keys)).select("book", F.col("idx_").alias("idx"), "level", "title", "page")
 
 
-def _changes(rows: DataFrame, *keys: str) -> DataFrame:
-    """rows (book, level, page, old, new, note and sort keys) as numbered changes."""
-    seq = (F.row_number().over(W.partitionBy("book").orderBy(*keys)) - 1).cast("int")
-    return rows.withColumn("seq", seq).select("book", "seq", "level", "page", "old", "new", "note")
+def _changes(rows: DataFrame, *keys: str, first: str | None = None) -> DataFrame:
+    """rows (book, level, page, old, new, note and sort keys) as numbered changes; keys are integers, in chunks by the first after ``first``."""
+    buckets = [F.col(first)] if first else []
+    return numbered(rows, "seq_", [*buckets, chunk(F.col(keys[0]))], list(keys)).select("book", F.col("seq_").alias("seq"), "level", "page", "old", "new", "note")
 
 
 def number_from_children(outline: DataFrame, level: int) -> Result:
@@ -74,7 +74,7 @@ def insert(outline: DataFrame, level: int, title: str, page: int, after: dict) -
     if bad or outline.isEmpty():
         raise PatchError(f"{title!r} needs one place to follow, {after} gives {bad[0]['n'] if bad else 0}")
     new = outline.filter(hit).select("book", "idx", F.lit(level).alias("level"), F.lit(title).alias("title"), F.lit(page).alias("page"), F.lit(1).alias("later"))
-    rows = _renumbered(outline.withColumn("later", F.lit(0)).unionByName(new), "idx", "later")
+    rows = _renumbered(outline.withColumn("later", F.lit(0)).unionByName(new), [chunk(F.col("idx"))], "idx", "later")
     made = new.select("book", "idx", "level", "page", F.lit("").alias("old"), F.col("title").alias("new"), F.lit("inserted").alias("note"))
     return rows, _changes(made, "idx")
 
@@ -87,34 +87,29 @@ def rebuild_numbered_sections(outline: DataFrame, level: int, id_pattern: str =
     entry, under the chapter of its number; a text left over within a numbered
     chapter goes down one level; a number left over stays, and is reported.
     """
-    before = in_order(before=True)
     parent = level - 1
     digits = F.nullif(F.regexp_extract("title", r"(\d+)", 1), F.lit("")).cast("int")
-    rows = outline.withColumn("own_number", F.when(F.col("level") == parent, digits))
-    host = F.when(F.col("level") > parent, F.last(F.when(F.col("level") == parent, F.struct("idx", "own_number")), ignorenulls=True).over(before))
-    rows = rows.withColumn("host", host)
-    # tokens of the level: the text first, then the numbers
+    at_level, none = F.col("level") == level, F.array().cast("array<string>")
     ids = F.transform(F.expr(f"regexp_extract_all(title, {_quoted(id_pattern)}, 0)"), lambda x: F.regexp_replace(x, rf"\A{id_pattern}\z", "$1.$2"))
     text = collapse(F.regexp_replace("title", id_pattern, " "))
-    tokens = F.concat(
-        F.when(text != "", F.array(F.struct(F.lit("text").alias("kind"), text.alias("value")))).otherwise(F.array().cast("array<struct<kind:string,value:string>>")),
-        F.transform(ids, lambda x: F.struct(F.lit("id").alias("kind"), x.alias("value"))),
-    )
-    own = rows.filter(F.col("level") == level).select("book", "idx", "page", "title", "host", F.posexplode(tokens).alias("sub", "t"))
-    own = own.select("book", "idx", "page", "title", "host", "sub", F.col("t.kind").alias("kind"), F.col("t.value").alias("value"))
-    # a group is a run of texts and the run of numbers behind it
-    order = W.partitionBy("book").orderBy("idx", "sub")
-    fresh = (F.col("kind") == "text") & (F.lag("kind").over(order) == "id")
-    own = own.withColumn("grp", F.sum(F.when(fresh, 1).otherwise(0)).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    group = W.partitionBy("book", "grp")
-    rank = F.row_number().over(W.partitionBy("book", "grp", "kind").orderBy("idx", "sub"))
-    n_text, n_id = F.count_if(F.col("kind") == "text").over(group), F.count_if(F.col("kind") == "id").over(group)
-    own = own.withColumn("rank", rank).withColumn("n_text", n_text).withColumn("pairs", F.least(n_text, n_id))
-    own = own.withColumn("pair", F.when(F.col("kind") == "text", F.col("rank") - (F.col("n_text") - F.col("pairs"))).otherwise(F.col("rank")))
-    own = own.withColumn("paired", (F.col("pair") >= 1) & (F.col("pair") <= F.col("pairs"))).drop("rank", "n_text", "pairs")
-    numbers = own.filter("kind = 'id' and paired").select("book", "grp", "pair", F.col("value").alias("sid"), F.col("idx").alias("sid_idx"))
-    texts = own.filter("kind = 'text'").join(numbers, ["book", "grp", "pair"], "left")
-    texts = texts.withColumn("sid", F.when(F.col("paired"), F.col("sid")))
+    # tokens of the level: the text first, then the numbers
+    rows = outline.withColumns({"own_number": F.when(F.col("level") == parent, digits), "text": F.when(at_level, F.nullif(text, F.lit(""))), "ids": F.when(at_level, ids).otherwise(none)})
+    has_text = F.col("text").isNotNull().cast("int")
+    # the chapter row before each row, and how many texts and numbers stand before it
+    rows = running(rows, ["idx"], {"chapter_row": F.when(F.col("level") == parent, F.struct("idx", "own_number"))}, {"texts": has_text, "numbers": F.size("ids")})
+    rows = materialize(rows.withColumn("host", F.when(F.col("level") > parent, F.col("chapter_row"))), "patch-rows")
+    where = ["book", "idx", "page", "host", "chapter_row"]
+    has_text = F.col("text").isNotNull().cast("int")
+    own_texts = rows.filter("text is not null").select(*where, "title", F.lit(0).alias("sub"), F.col("text").alias("value"), (F.col("texts") + 1).alias("nth"), F.col("numbers").alias("numbers_before"))
+    own_ids = rows.select(*where, (F.col("texts") + has_text).alias("texts_before"), F.col("numbers").alias("first"), has_text.alias("sub0"), F.posexplode("ids").alias("k", "value"))
+    own_ids = own_ids.select(*where, "texts_before", "value", (F.col("first") + F.col("k") + 1).alias("nth"), (F.col("sub0") + F.col("k")).alias("sub"))
+    # a group is a run of texts and the run of numbers behind it: the last texts and the first numbers are pairs
+    text_runs = own_texts.groupBy("book", F.col("numbers_before").alias("start")).agg(F.count(F.lit(1)).alias("n_text"))
+    id_runs = own_ids.groupBy("book", "texts_before").agg(F.count(F.lit(1)).alias("n_id"), (F.min("nth") - 1).alias("start"))
+    runs = id_runs.join(text_runs, ["book", "start"], "left").select("book", "texts_before", "start", F.least(F.coalesce("n_text", F.lit(0)), "n_id").alias("pairs"))
+    own_ids = own_ids.join(runs, ["book", "texts_before"]).withColumn("pair", F.col("nth") - F.col("start"))
+    numbers = own_ids.filter("pair <= pairs").select("book", (F.col("texts_before") - F.col("pairs") + F.col("pair")).alias("nth"), F.col("value").alias("sid"), F.col("idx").alias("sid_idx"))
+    texts = own_texts.join(numbers, ["book", "nth"], "left")
     parents = rows.filter((F.col("level") == parent) & F.col("own_number").isNotNull()).groupBy("book", F.col("own_number").alias("chapter")).agg(F.max("idx").alias("target"))
     texts = texts.withColumn("chapter", F.split_part("sid", F.lit("."), F.lit(1)).cast("int")).join(parents, ["book", "chapter"], "left")
     moved = F.col("target").isNotNull() & ~F.col("target").eqNullSafe(F.col("host.idx"))
@@ -129,24 +124,20 @@ def rebuild_numbered_sections(outline: DataFrame, level: int, id_pattern: str =
         .when(F.col("sid").isNotNull() & ~(same & (strip(F.col("title")) == F.col("new"))), F.lit("merged"))
         .when(F.col("demoted"), F.lit(f"demoted to level {level + 1}")),
     ).withColumn("old", F.when(F.col("sid").isNull(), F.col("value")).when(same, strip(F.col("title"))).otherwise(F.concat_ws(" | ", "value", "sid")))
-    loose = own.filter("kind = 'id' and not paired")
-    change_rows = (
-        texts.filter("note is not null")
-        .select("book", "idx", "sub", F.lit(level).alias("level"), "page", "old", "new", "note")
-        .unionByName(loose.select("book", "idx", "sub", F.lit(level).alias("level"), "page", F.col("value").alias("old"), F.col("value").alias("new"), F.lit("unpaired id").alias("note")))
-    )
     # the new outline: rows keep (idx, sub), a moved section takes along the deeper rows behind it
-    made = texts.select("book", "idx", "sub", F.when(F.col("demoted"), F.lit(level + 1)).otherwise(F.lit(level)).alias("level"), F.col("new").alias("title"), "page", F.when(F.col("moved"), F.col("target")).alias("target"))
-    kept = loose.select("book", "idx", "sub", F.lit(level).alias("level"), F.col("value").alias("title"), "page", F.lit(None).cast("int").alias("target"))
-    other = rows.filter(F.col("level") != level).select("book", "idx", F.lit(0).alias("sub"), "level", "title", "page", F.lit(None).cast("int").alias("target"))
-    rows = made.unionByName(kept).unionByName(other)
-    shallow = F.when(F.col("level") <= level, F.struct("target", "idx", "sub"))
-    leader = F.last(shallow, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("leader", leader)
+    place = ["book", "idx", "sub", "page", "chapter_row"]
+    nothing, nowhere = F.lit(None).cast("string"), F.lit(None).cast("int").alias("target")
+    made = texts.select(*place, F.when(F.col("demoted"), F.lit(level + 1)).otherwise(F.lit(level)).alias("level"), F.col("new").alias("title"), F.when(F.col("moved"), F.col("target")).alias("target"), "old", "note")
+    kept = own_ids.filter("pair > pairs").select(*place, F.lit(level).alias("level"), F.col("value").alias("title"), nowhere, F.col("value").alias("old"), F.lit("unpaired id").alias("note"))
+    other = rows.filter(F.col("level") != level).withColumn("sub", F.lit(0)).select(*place, "level", "title", nowhere, nothing.alias("old"), nothing.alias("note"))
+    rows = materialize(made.unionByName(kept).unionByName(other), "patch-made")
+    change_rows = rows.filter("note is not null").select("book", "idx", "sub", F.lit(level).alias("level"), "page", "old", F.col("title").alias("new"), "note")
+    rows = running(rows, ["idx", "sub"], {"leader": F.when(F.col("level") <= level, F.struct("target", "idx", "sub"))}, own=True)
     away = F.coalesce(F.col("leader.target").isNotNull(), F.lit(False))
-    rows = rows.withColumn("k0", F.when(away, F.col("leader.target")).otherwise(F.col("idx")))
-    rows = rows.withColumn("k1", F.when(away, F.lit(1)).otherwise(F.lit(0))).withColumn("k2", F.when(away, F.col("idx")).otherwise(F.col("sub"))).withColumn("k3", F.col("sub"))
-    return _renumbered(rows, "k0", "k1", "k2", "k3"), _changes(change_rows, "idx", "sub")
+    # between two chapter rows stand what moved behind the first of them and what was there, each in its old order
+    after = F.when(away, F.col("leader.target")).otherwise(F.coalesce("chapter_row.idx", F.lit(-1)))
+    stayed = F.when(away, F.lit(0)).otherwise(F.lit(1))
+    return _renumbered(rows, [after, stayed, chunk(F.col("idx"))], "idx", "sub"), _changes(change_rows, "idx", "sub")
 
 
 def _quoted(pattern: str) -> str:
@@ -174,7 +165,7 @@ def patch(outline: DataFrame, rules: list[dict]) -> Result:
     if changes is None:
         empty = outline.limit(0).select("book", F.lit(0).alias("rule_no"), F.lit(0).alias("idx_"))
         changes = empty.select("book", F.lit(0).alias("seq"), F.lit(0).alias("level"), F.lit(0).alias("page"), F.lit("").alias("old"), F.lit("").alias("new"), F.lit("").alias("note"), "rule_no")
-    return outline, _changes(changes, "rule_no", "seq")
+    return outline, _changes(changes, "seq", first="rule_no")
 
 
 def changes_by_note(changes: DataFrame) -> DataFrame:

@@ -85,6 +85,26 @@ WORDS_DUCK = "SELECT source AS book, doc_id::INT AS page_idx, n, unnest(range(le
 BOXED = "SELECT book, page_idx, n * 100000 + k AS ord, 10.0 * k AS x0, 12.0 * n AS y0, 10.0 * k + 8 AS x1, 12.0 * n + 10 AS y1, word, CAST(floor(n / 3) AS INT) AS block_no, n AS line_no FROM words"
 REGIONS = "SELECT source AS book, CAST(doc_id AS INT) AS page_idx, CASE WHEN doc_id % 8 = 0 THEN 'table' WHEN doc_id % 8 = 4 THEN 'chart' ELSE 'paragraph' END AS type, doc_id % 300 AS b0, 10 AS b1, 500 + doc_id % 300 AS b2, 200 AS b3 FROM documents WHERE doc_id % 2 = 0"
 
+#: Places of the last sort key that one part of a book of customers has.
+PART = 1 << 14
+
+
+def _dealt(text: str, groups: str, order: str) -> str:
+    """The same rows, numbered in parts (by the groups and the first key of the order) instead of in one task."""
+    select, inner = text.split(" FROM (\n", 1)
+    whole = f"row_number() OVER (ORDER BY {groups}, {order})"
+    if whole not in select:
+        raise ValueError(f"no {whole}")
+    parts = [*groups.split(", "), "part"]
+    keys, named = ", ".join(parts), ", ".join(f"{p} AS {p}_" for p in parts)
+    return (
+        f"WITH dealt AS (SELECT *, CAST(floor({order.split(',')[0]} / {PART}) AS INT) AS part FROM (\n{inner}), sizes AS (SELECT {keys}, count(*) AS size FROM dealt GROUP BY {keys}), "
+        f"starts AS (SELECT {named}, coalesce(sum(size) OVER (ORDER BY {keys} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sizes) "
+        + select.replace(whole, f"start + row_number() OVER (PARTITION BY {keys} ORDER BY {order})")
+        + f" FROM dealt JOIN starts ON {' AND '.join(f'{p} <=> {p}_' for p in parts)}"
+    )
+
+
 #: Relations that others read, in order.
 SHARED = {"numbered": NUMBERED, "outline": OUTLINE, "book_pages": BOOK_PAGES, "config": CONFIG, "overrides": OVERRIDES, "readings": READINGS, "world": WORLD, "unnumbered": UNNUMBERED, "detached": DETACHED, "page_text": PAGE_TEXT, "page_labels": LABELS, "glyphs": GLYPHS, "typed": BLOCKS, "heads": HEADS, "boxed": BOXED, "regions": REGIONS}
 READS = {
@@ -92,7 +112,7 @@ READS = {
     "readings": ["numbered", "labels"], "world": ["region", "nation", "customer"], "unnumbered": ["region", "nation", "customer"], "detached": ["nation", "customer"], "page_text": ["documents"],
     "page_labels": ["numbered"], "glyphs": ["documents"], "typed": ["doc_lines"], "heads": ["doc_lines"], "running": ["documents"], "words": ["doc_lines"], "boxed": ["words"], "regions": ["documents"],
 }
-SPARK = {"doc_lines": LINES_SPARK, "words": WORDS_SPARK, "running": RUNNING_SPARK}
+SPARK = {"doc_lines": LINES_SPARK, "words": WORDS_SPARK, "running": RUNNING_SPARK, "world": _dealt(WORLD, "r, n", "c"), "unnumbered": _dealt(UNNUMBERED, "r, n", "c"), "detached": _dealt(DETACHED, "n", "c, o")}
 DUCK = {"doc_lines": LINES_DUCK, "words": WORDS_DUCK}
 
 

@@ -1,12 +1,14 @@
 import random
+import re
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quire.errors import PatchError, SplitError
-from quire.operators import checks, patches
+from quire.operators import checks, order, patches
 from quire.operators import outline as O
+from quire.plans.adapters import relation
 from quire.sources import sinks
 
 BOOK = [(1, "Part One", 1), (2, "1: First", 1), (3, "1-1: A", 1), (2, "2: Second", 3), (3, " 2-1 : B", 3), (4, "Deep", 4), (3, "Key Takeaways", 4), (1, "Part Two", 5), (2, "3: Third", 5)]
@@ -170,6 +172,31 @@ def test_rules_in_order_and_versions(spark, tmp_path):
     assert sinks.apply_patches(df, rules, path, force=True).count() == 2
 
 
+def test_books_in_chunks(spark, data, monkeypatch):
+    world, bare = relation(spark, data, "detached"), relation(spark, data, "unnumbered")
+    rules = [{"rule": "rebuild_numbered_sections", "level": 2}, {"rule": "insert", "level": 1, "title": "X", "page": 1, "after": {"level": 1, "match": "^Chapter 3 "}}]
+
+    def made():
+        (new, changes), (numbered, more) = patches.patch(world, rules), patches.number_from_children(bare, 1)
+        plan = new._jdf.queryExecution().optimizedPlan().toString()
+        return [sorted(map(tuple, df.collect())) for df in (new, changes, numbered, more)], plan
+
+    whole, plan = made()
+    # positions are found per bucket, so no task holds a book
+    specs = re.findall(r"row_number\(\) windowspecdefinition\(book#\d+, (\w+)", plan)
+    assert specs and set(specs) == {"bucket0_"}
+    monkeypatch.setattr(order, "BITS", 1)
+    assert made()[0] == whole and [r[1] for r in whole[0]] == list(range(len(whole[0]))) and [r[1] for r in whole[1]] == list(range(len(whole[1])))
+
+
+def test_running_values_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(order, "BITS", 1)
+    df = spark.createDataFrame([(b, i, 1 if i % 4 == 1 else None) for b in ("a", None) for i in range(9)], "book string, idx int, v int")
+    got = order.running(df, ["idx"], {"newest": F.when(F.col("v") == 1, F.col("idx"))}, {"n": F.col("v")})
+    want = {(b, i, max((k for k in range(i) if k % 4 == 1), default=None), sum(k % 4 == 1 for k in range(i))) for b in ("a", None) for i in range(9)}
+    assert {(r["book"], r["idx"], r["newest"], r["n"]) for r in got.collect()} == want
+
+
 # contracts and intake
 
 
