@@ -5,21 +5,25 @@ rolling hash over that line and the one before it falls into one of ``SPREAD``
 classes, so that the same passage gets the same cuts wherever it stands, as
 soon as two of its lines agree. A line with ``LONG`` or more words is a passage
 by itself and always a chunk of its own. Chunks of two or more lines that hold
-a word, and those long lines, are compared over all documents: by hash first, then, for
-hashes seen twice, by their bytes. Of equal chunks the first (smallest doc_id,
+a word, and those long lines, are compared over all documents, by the SHA-256 of
+their lines' SHA-256. Of equal chunks the first (smallest doc_id,
 then position) stays; the others are removed, and the lines around them join.
 
 Chunks miss a passage's edges, and a short passage as a whole. With ``whole``
 every run of lines with ``LONG`` words in all is found: from each line with a word the
 shortest run of so many words that begins there, and the one that ends there, are
-compared over all documents by the SHA-256 of their lines' SHA-256. In a passage of LONG words or more these runs
+compared over all documents in the same way. In a passage of LONG words or more these runs
 cover every line, wherever it stands. Runs that an earlier place has are
 removed, so each line removed has an equal one before it, and the first of them stays.
 Lines without words do not count in a run; those inside it go with it.
 
+Chunks and runs come from one pass over the texts and are one table. A chunk
+with the lines of a run has its key; wherever such a chunk stands, the run is found
+too, so neither changes what goes of the other.
+
 The rolling hash has a window of two lines: it is the hash of both lines' hashes.
 
-DataFrame functions only. Counting pre-aggregates on the chunk, so a passage
+DataFrame functions only. Counting pre-aggregates on the key, so a passage
 that a third of all documents share is one partial row per task; marking joins
 on it, where Spark's adaptive execution splits hot keys. What goes is a list of
 line runs per document, and a text is put together from the runs between them,
@@ -36,12 +40,14 @@ column that has the name given for the count of removed lines is replaced by it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, materialize, private, scratch
+from quire.llm.common import materialize, private, scratch
 
 #: Chunks hold SPREAD lines on average; a line of LONG words or more is one chunk.
 SPREAD, LONG = 3, 50
@@ -55,126 +61,130 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def chunks(text: Column, make: Callable[[Column, Column, Column], Column]) -> Column:
-    """The array of make(k, first, lines) over a text's chunks: k from 0, the number of the chunk's first line, and its lines.
-
-    All in one expression over the text, so that a long text is never copied into
-    each of its chunks' rows.
-    """
+def counts(lines: Column) -> Column:
+    """The number of words of each of an array of lines, as longs: that of the matches of WORD, by searches for bytes, since matches are objects."""
 
-    def cut(lines: Column) -> Column:
-        hashes = F.transform(lines, lambda x: F.xxhash64(x))
-        return _bind(hashes, lambda h: _bind(F.transform(lines, _long), lambda long: _bind(_ends(h, long), lambda e: runs(lines, e))))
+    def plain(x: Column) -> Column:
+        """The line with words parted by one space, so that a word less than their number are its spaces."""
+        odd = [F.contains(x, F.lit(c)) for c in ("  ", "\t", "\x0b", "\x0c", "\r")]
+        return F.trim(F.when(reduce(or_, odd), single(x)).otherwise(x))
 
-    def runs(lines: Column, e: Column) -> Column:
-        def one(x: Column, k: Column) -> Column:
-            first = F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1)
-            return _bind(first, lambda f: _bind(F.slice(lines, f + 1, x - f + 1), lambda own: make(k, f, own)))
+    def single(x: Column) -> Column:
+        """Runs of white space as one space; the mark is a character of words, so one that is there may be another."""
+        space = [(c, " ") for c in "\t\x0b\x0c\r"]
+        for old, to in (*space, ("\x01", "x"), (" ", " \x01"), ("\x01 ", ""), (" \x01", " ")):
+            x = F.replace(x, F.lit(old), F.lit(to))
+        return x
 
-        return F.transform(e, one)
+    def count(x: Column) -> Column:
+        size = F.octet_length(x)
+        return F.when(size == 0, F.lit(0)).otherwise(size - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long")
 
-    return _bind(F.split(text, "\n"), cut)
+    return F.transform(F.transform(lines, plain), count)
 
 
-def _long(line: Column) -> Column:
-    """Whether a line has LONG words; one that is too short for that is not searched for words."""
-    return (F.length(line) >= 2 * LONG - 1) & (F.regexp_count(line, F.lit(WORD)) >= LONG)
+def _run(digests: Column, at: Column, n: Column, start: Column, end: Column) -> Column:
+    """The run of lines from start to end, by the n digests from ``at`` on."""
+    key = F.unhex(F.sha2(F.array_join(F.slice(digests, at + 1, n), "\n"), 256))
+    return F.struct(key.alias("key"), start.cast("int").alias("start"), end.cast("int").alias("end"))
 
 
-def _ends(h: Column, long: Column) -> Column:
-    """The last lines of the chunks."""
+def _ends(h: Column, n: Column) -> Column:
+    """The last lines of the chunks, from the lines' hashes and numbers of words."""
     last = F.size(h) - 1
     return F.filter(
         F.sequence(F.lit(0), last),
         lambda i: (i == last)
-        | F.get(long, i)
-        | F.coalesce(F.get(long, i + 1), F.lit(False))
+        | (F.get(n, i) >= LONG)
+        | F.coalesce(F.get(n, i + 1) >= LONG, F.lit(False))
         | ((i > 0) & (F.pmod(F.xxhash64(F.get(h, i - 1), F.get(h, i)), F.lit(SPREAD)) == 0)),
     )
 
 
-def _compared(own: Column) -> Column:
-    """Whether a chunk is compared: two lines with words, or a long line."""
-    several = (F.size(own) > 1) & (F.size(F.filter(own, lambda x: x.rlike(WORD))) > 1)
-    return several | ((F.size(own) == 1) & _long(F.get(own, 0)))
-
-
-def _chunk_rows(docs: DataFrame, value: Callable[[Column], Column]) -> DataFrame:
-    """Rows (*KEYS, start, end, value) of the chunks that are compared; value is made of the chunk's text."""
-
-    def make(k: Column, first: Column, own: Column) -> Column:
-        end = (first + F.size(own) - 1).alias("end")
-        return F.when(_compared(own), F.struct(first.alias("start"), end, value(F.array_join(own, "\n")).alias("value")))
+def chunks(lines: Column, n: Column, d: Column) -> Column:
+    """The array of (key, start, end) of the chunks that are compared: two lines with words, or a long line."""
 
-    found = F.filter(chunks(F.col("text"), make), lambda c: c.isNotNull())
-    rows = docs.filter("doc_id is not null and text is not null").select(*KEYS, F.explode(found).alias("c"))
-    return rows.select(*KEYS, "c.*")
+    def compared(first: Column, size: Column) -> Column:
+        several = (size > 1) & (F.size(F.filter(F.slice(n, first + 1, size), lambda x: x > 0)) > 1)
+        return several | ((size == 1) & (F.get(n, first) >= LONG))
 
+    def runs(e: Column) -> Column:
+        def one(x: Column, k: Column) -> Column:
+            first = F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1)
+            return _bind(first, lambda f: F.when(compared(f, x - f + 1), _run(d, f, x - f + 1, f, x)))
 
-def _place() -> Column:
-    return (F.col("doc_id").cast("decimal(38,0)") * PLACE + F.pmod("t", F.lit(PLACE))) * PLACE + F.col("start")
-
+        return F.filter(F.transform(e, one), lambda c: c.isNotNull())
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """Rows (*KEYS, start, end) of chunks to remove; docs has KEYS (doc_id, and t to tell texts of one doc_id apart) and text."""
-    hashes = _chunk_rows(docs, F.xxhash64).select(F.col("value").alias("hash"))
-    twice = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "line-hashes")
-    rows = _chunk_rows(docs, lambda c: F.struct(F.xxhash64(c).alias("hash"), c.alias("chunk"))).select(*KEYS, "start", "end", "value.*")
-    shared = materialize(rows.join(twice.hint("shuffle_hash"), "hash", "left_semi"), "line-chunks")
-    # grouping by the chunk itself compares bytes: chunks that differ but share a hash stay apart
-    first = shared.groupBy("hash", F.col("chunk").alias("bytes")).agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
-    first = materialize(first.filter("first < last").withColumnRenamed("hash", "h"), "line-first")
-    marked = shared.join(first, (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("bytes"))).filter(_place() > F.col("first"))
-    return materialize(marked.select(*KEYS, "start", "end").distinct(), "line-repeats")
+    return _bind(F.transform(lines, lambda x: F.xxhash64(x)), lambda h: _bind(_ends(h, n), runs))
 
 
-def windows(text: Column) -> Column:
+def windows(n: Column, d: Column) -> Column:
     """The array of (key, start, end) of a text's shortest runs of LONG words, from each line with a word onwards and backwards.
 
     A run of one line is a chunk already and left out.
     """
-
-    def words(lines: Column) -> Column:
-        counted = F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_count(x, F.lit(WORD)).alias("n"), x.alias("x")))
-        return F.transform(F.filter(counted, lambda c: c["n"] > 0), lambda c: F.struct(c["i"], c["n"], F.sha2(c["x"], 256).alias("d")))
+    # words and lines as one number, words * step + lines, since a sum of structs makes one per line
+    step = LONG + 1
+    enough = F.lit(LONG * step).cast("long")
+    # (place, length) as one number: Spark compares arrays of structs pair by pair
+    both = lambda p, m: p.cast("long") * (LONG + 1) + m
 
     def reach(own: Column) -> Column:
         """How many of these lines, from the first on, have LONG words; 0 if all of them have fewer."""
-        state = lambda n, at, done: F.struct(n.cast("long").alias("n"), at.cast("int").alias("at"), done.alias("done"))
-        step = lambda a, c: F.when(a["done"], a).otherwise(state(a["n"] + c["n"], a["at"] + 1, a["n"] + c["n"] >= LONG))
-        return F.aggregate(own, state(F.lit(0), F.lit(0), F.lit(False)), step, lambda a: F.when(a["done"], a["at"]).otherwise(0))
-
-    def run(w: Column, at: Column, n: Column) -> Column:
-        """The run of n lines from the one at ``at``; LONG lines with a word have LONG words."""
-        own = F.slice(w, at + 1, n)
-        key = F.unhex(F.sha2(F.array_join(F.transform(own, lambda c: c["d"]), ""), 256))
-        return F.struct(key.alias("key"), F.get(w, at)["i"].alias("start"), F.get(w, at + n - 1)["i"].alias("end"))
-
-    def found(w: Column) -> Column:
-        # (place, length) as one number: Spark compares arrays of structs pair by pair
-        both = lambda p, n: p.cast("long") * (LONG + 1) + n
-        onward = F.transform(w, lambda c, p: both(p, reach(F.slice(w, p + 1, LONG))))
-
-        def back(p: Column) -> Column:
+        add = lambda a, c: F.when(a >= enough, a).otherwise(a + c)
+        return F.aggregate(own, F.lit(0).cast("long"), add, lambda a: F.when(a >= enough, a % step).otherwise(F.lit(0).cast("long")))
+
+    def found(c: Column, at: Column, w: Column) -> Column:
+        onward = F.transform(c, lambda x, p: F.when(x < enough, _bind(reach(F.slice(c, p + 1, LONG)), lambda m: both(p, m))))
+
+        def back(x: Column, p: Column) -> Column:
             low = F.greatest(p - (LONG - 1), F.lit(0))
-            return _bind(reach(F.reverse(F.slice(w, low + 1, p - low + 1))), lambda n: both(p - n + 1, n))
+            return F.when(x < enough, _bind(reach(F.reverse(F.slice(c, low + 1, p - low + 1))), lambda m: both(p - m + 1, m)))
 
-        every = F.array_distinct(F.concat(onward, F.transform(w, lambda c, p: back(p))))
+        every = F.array_distinct(F.concat(onward, F.transform(c, back)))
         several = F.filter(every, lambda b: b % (LONG + 1) > 1)
-        return F.transform(several, lambda b: run(w, F.floor(b / (LONG + 1)).cast("int"), (b % (LONG + 1)).cast("int")))
 
-    # a text too short for LONG words is not searched
-    return F.when(F.length(text) >= 2 * LONG - 1, _bind(words(F.split(text, "\n")), found))
+        def run(p: Column, m: Column) -> Column:
+            return _run(w, p, m, F.get(at, p), F.get(at, p + m - 1))
+
+        return F.transform(several, lambda b: run(F.floor(b / (LONG + 1)).cast("int"), (b % (LONG + 1)).cast("int")))
+
+    def worded(at: Column) -> Column:
+        c = F.transform(at, lambda i: F.get(n, i) * step + 1)
+        return _bind(c, lambda c: _bind(F.transform(at, lambda i: F.get(d, i)), lambda w: found(c, at, w)))
+
+    return _bind(F.filter(F.sequence(F.lit(0), F.size(n) - 1), lambda i: F.get(n, i) > 0), worded)
+
+
+def compared(text: Column, whole: bool) -> Column:
+    """The array of (key, start, end) of a text's chunks that are compared and, if ``whole``, its shortest runs of LONG words.
+
+    All in one expression over the text, so that lines are cut, counted and digested
+    once for both, and a long text is never copied into each of its runs' rows.
+    """
+
+    def runs(lines: Column, n: Column, d: Column) -> Column:
+        return F.concat(chunks(lines, n, d), windows(n, d)) if whole else chunks(lines, n, d)
+
+    def digests(lines: Column, n: Column) -> Column:
+        """Lines without words stand for themselves: many empty ones take no more room than they do, and none looks like a digest."""
+        return F.transform(lines, lambda x, i: F.when(F.get(n, i) > 0, F.sha2(x, 256)).otherwise(x))
+
+    return _bind(F.split(text, "\n"), lambda lines: _bind(counts(lines), lambda n: _bind(digests(lines, n), lambda d: runs(lines, n, d))))
+
 
+def _place() -> Column:
+    return (F.col("doc_id").cast("decimal(38,0)") * PLACE + F.pmod("t", F.lit(PLACE))) * PLACE + F.col("start")
 
-def passages(docs: DataFrame) -> DataFrame:
-    """Rows (*KEYS, start, end) of runs of lines to remove; docs as for repeats()."""
-    rows = docs.filter("doc_id is not null and text is not null").select(*KEYS, F.explode(windows(F.col("text"))).alias("w"))
-    rows = materialize(rows.select(*KEYS, "w.*"), "line-windows")
+
+def repeats(docs: DataFrame, whole: bool) -> DataFrame:
+    """Rows (*KEYS, start, end) of runs to remove; docs has KEYS (doc_id, and t to tell texts of one doc_id apart) and text."""
+    rows = docs.filter("doc_id is not null and text is not null").select(*KEYS, F.explode(compared(F.col("text"), whole)).alias("w"))
+    rows = materialize(rows.select(*KEYS, "w.*"), "line-runs")
     first = rows.groupBy("key").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).filter("first < last")
-    first = materialize(first.select("key", "first"), "line-window-first")
+    first = materialize(first.select("key", "first"), "line-first")
     marked = rows.join(first.hint("shuffle_hash"), "key").filter(_place() > F.col("first"))
-    return materialize(marked.select(*KEYS, "start", "end").distinct(), "line-passages")
+    return materialize(marked.select(*KEYS, "start", "end").distinct(), "line-repeats")
 
 
 def _merged(runs: DataFrame) -> DataFrame:
@@ -203,10 +213,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: st
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), key.alias("t"), F.col(text).alias("text"))
     names = private(df, "id", "t", "d", "u", "gone", "new")
     with scratch(df.sparkSession):
-        runs = repeats(docs)
-        if whole:
-            runs = runs.unionByName(passages(docs)).distinct()
-        gone = _merged(runs).select(F.col("doc_id").alias(names["d"]), F.col("t").alias(names["u"]), F.col("runs").alias(names["gone"]))
+        gone = _merged(repeats(docs, whole)).select(F.col("doc_id").alias(names["d"]), F.col("t").alias(names["u"]), F.col("runs").alias(names["gone"]))
         gone = materialize(gone, "line-gone", result=True)
     rows = df.withColumn(names["id"], F.col(doc_id).cast("long")).withColumn(names["t"], key)
     joined = rows.join(gone.hint("shuffle_hash"), (F.col(names["id"]) == F.col(names["d"])) & (F.col(names["t"]) == F.col(names["u"])), "left")

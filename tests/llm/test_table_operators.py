@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quire.llm import common, line_dedup, mixing, shard_store, simhash, topk, url_filter
 from quire.llm.components import components
@@ -363,6 +364,39 @@ def test_line_dedup_long_text(spark):
     assert len(got[1]) == len(other) and not set(got[2]) & {x for i in range(0, 20000, 40) for x in lines[i : i + 20]}
 
 
+def test_line_dedup_counts_words(spark):
+    """Words are counted as the pattern finds them, whatever white space is between them."""
+    rng = random.Random(5)
+    parts = ["a", "b", "\u00e9", "\U0001f600", "\x01", "\x1f", "\xa0", " ", " ", "  ", "\t", "\x0b", "\x0c", "\r"]
+    lines = ["", " ", "a", *("".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(2000))]
+    got = spark.createDataFrame([(lines,)], "x array<string>").select(line_dedup.counts(F.col("x"))).head()[0]
+    assert got == [len(re.findall(common.WORD, x)) for x in lines]
+
+
+def test_line_dedup_cuts_texts_once(spark):
+    """Texts are read twice: once for the runs of all kinds, once for the result."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    passage = "\n".join(f"{k} words of a passage that two texts hold" for k in range(9))
+    df = spark.createDataFrame([(i, f"own line {i}\n{passage if i % 2 else i}") for i in range(4)], "doc_id long, text string")
+    got = line_dedup.dedup(df.mapInArrow(counted, df.schema), removed="n").collect()
+    assert {r["doc_id"]: r["n"] for r in got} == {0: 0, 1: 0, 2: 0, 3: 9}
+    assert read.value == 2 * 4
+
+
+def test_line_dedup_blank_lines(spark):
+    """Lines without words tell chunks apart, whatever their white space, and none passes for another's digest."""
+    docs = {1: "a b\n \nc d", 2: "a b\n\t\nc d", 3: "a b\n\nc d", 4: "a b\n\n\nc d", 5: "a b\n \nc d", 6: "a b\nc d", 7: "\n" * 100000}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()}
+    assert got == brute_whole(docs)
+
+
 def test_line_dedup_whole_passages(spark):
     """Of a passage over 50 words no line is left but in its first place; one below 50 words stays."""
     rng = random.Random(3)
